@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from caselake.catalogs import FALLBACK_KEY_COLUMNS, LINEAGE_COLUMNS, SOURCE_SYSTEM, UNKNOWN_VERSION
-from caselake.functions import dates, keys
+from caselake.functions import as_col, dates, keys
 from caselake.functions.names import sanitize_names
 from caselake.operators import dedup
 
@@ -28,6 +28,7 @@ CSV_OPTIONS = {
     "sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
     "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE",
 }
+PATH = "_caminho_arquivo"
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -46,7 +47,7 @@ def header_names(header: str, sep: str = ";") -> list[str]:
 def read_files(
     spark: SparkSession, paths: list[str], options: Mapping[str, str] = CSV_OPTIONS
 ) -> DataFrame | None:
-    """All rows of the files as text, with clean column names plus ``nome_arquivo_origem``.
+    """All rows of the files as text, with clean column names, file name and path.
 
     Files are grouped by header; layouts are united by name, absent columns read NULL.
     """
@@ -58,21 +59,22 @@ def read_files(
         names = header_names(header, options["sep"])
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
         raw = spark.read.options(**options).schema(schema).csv(files)
-        frames.append(raw.select("*", "_metadata.file_name").toDF(*names, "nome_arquivo_origem"))
+        located = raw.select("*", "_metadata.file_name", "_metadata.file_path")
+        frames.append(located.toDF(*names, "nome_arquivo_origem", PATH))
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def file_version(file_name: Column | str, versions: Mapping[str, str]) -> Column:
-    """Version of the first file-name part that matches."""
-    name = F.col(file_name) if isinstance(file_name, str) else file_name
-    return F.coalesce(*[F.when(name.contains(part), F.lit(v)) for part, v in versions.items()],
+def file_version(path: Column | str, versions: Mapping[str, str]) -> Column:
+    """Version of the first listed part the file's path contains."""
+    path = as_col(path)
+    return F.coalesce(*[F.when(path.contains(part), F.lit(v)) for part, v in versions.items()],
                       F.lit(UNKNOWN_VERSION))
 
 
 def detect_date_format(
-    df: DataFrame, column: str = "dt_notific", file: str = "nome_arquivo_origem"
+    df: DataFrame, column: str = "dt_notific", file: str = PATH
 ) -> DataFrame:
     """Date format label per file, from all its values."""
     value = F.col(column)
@@ -94,10 +96,10 @@ def add_file_lineage(
             "dh_ingestao_bronze": ingested_at,
             "run_id": F.lit(run_id),
             "nome_sistema_origem": F.lit(system),
-            "versao_arquivo_origem": file_version("nome_arquivo_origem", versions),
+            "versao_arquivo_origem": file_version(PATH, versions),
         }
     )
-    return stamped.join(labels, "nome_arquivo_origem", "left")
+    return stamped.join(labels, PATH, "left").drop(PATH)
 
 
 def dedup_batch(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
