@@ -20,13 +20,13 @@ def clean_title(value: Column | str) -> Column:
     return F.initcap(F.trim(as_col(value)))
 
 
-def blocked_term(text: Column | str, terms: Iterable[str], whole_words: bool = False) -> Column:
-    """First term of the list the lower-cased text contains, NULL when it contains none.
+def first_term(lowered: Column | str, terms: Iterable[str], whole_words: bool = False) -> Column:
+    """First term of the list a lower-cased text contains, NULL when it contains none.
 
     ``whole_words`` asks for word boundaries, so a short term such as an
     abbreviation does not hit inside longer words.
     """
-    lowered = F.lower(as_col(text))
+    lowered = as_col(lowered)
 
     def hit(term: str) -> Column:
         if whole_words:
@@ -36,6 +36,11 @@ def blocked_term(text: Column | str, terms: Iterable[str], whole_words: bool = F
     return F.coalesce(*[F.when(hit(t), F.lit(t)) for t in terms])
 
 
+def blocked_term(text: Column | str, terms: Iterable[str], whole_words: bool = False) -> Column:
+    """:func:`first_term` of a text in any case."""
+    return first_term(F.lower(as_col(text)), terms, whole_words)
+
+
 def matches_any(text: Column | str, patterns: Iterable[str]) -> Column:
     """True when one of the patterns occurs in the text."""
     text = as_col(text)

@@ -18,9 +18,13 @@ from caselake.operators import dedup
 def flag_blocked_terms(
     df: DataFrame, text: str, terms: Iterable[str] = BLOCKED_TERMS_AGENT, whole_words: bool = False
 ) -> DataFrame:
-    """Add ``termo_bloqueado`` (first term hit) and ``aprovado``."""
-    term = tx.blocked_term(text, terms, whole_words)
-    return df.withColumns({"termo_bloqueado": term, "aprovado": term.isNull()})
+    """Add ``termo_bloqueado`` (first term hit) and ``aprovado``.
+
+    The lower-cased text is a projection of its own, computed once for all terms.
+    """
+    lowered = df.withColumn("_lower", F.lower(text))
+    found = lowered.withColumn("termo_bloqueado", tx.first_term("_lower", terms, whole_words))
+    return found.withColumn("aprovado", F.col("termo_bloqueado").isNull()).drop("_lower")
 
 
 def detect_pii(
@@ -30,7 +34,8 @@ def detect_pii(
     counted = df.withColumns(
         {f"n_{name}": F.regexp_count(text, F.lit(p)) for name, p in patterns.items()}
     )
-    return counted.withColumn("contem_pii", tx.matches_any(text, patterns.values()))
+    hits = F.greatest(F.lit(0), *[F.col(f"n_{name}") for name in patterns])
+    return counted.withColumn("contem_pii", hits > 0)
 
 
 def correct_terms(
@@ -42,18 +47,15 @@ def correct_terms(
 
 def length_gate(df: DataFrame, text: str) -> DataFrame:
     """Add ``motivo_tamanho`` (NULL when the length is fine) and ``tamanho_ok``."""
-    problem = tx.length_problem(text)
-    return df.withColumns({"motivo_tamanho": problem, "tamanho_ok": problem.isNull()})
+    gated = df.withColumn("motivo_tamanho", tx.length_problem(text))
+    return gated.withColumn("tamanho_ok", F.col("motivo_tamanho").isNull())
 
 
 def guard_answers(df: DataFrame, text: str) -> DataFrame:
     """Output guard: blocked (text withheld) when personal numbers occur, else corrected wording."""
-    hit = tx.matches_any(text, (CPF_BOUNDED, CNS_BOUNDED))
-    return df.withColumns(
-        {
-            "aprovado": ~hit,
-            "texto": F.when(~hit, tx.correct_terms(text, MISLEADING_TERMS)),
-        }
+    checked = df.withColumn("aprovado", ~tx.matches_any(text, (CPF_BOUNDED, CNS_BOUNDED)))
+    return checked.withColumn(
+        "texto", F.when(F.col("aprovado"), tx.correct_terms(text, MISLEADING_TERMS))
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from caselake.catalogs import (
     CASE_FLAGS, DATE_COLUMNS, DATE_FORMATS, DOSE_COLUMNS, INT_COLUMNS, WATERMARK_COLUMNS, Flag,
@@ -26,7 +27,11 @@ def cast_ints(df: DataFrame, columns: Iterable[str] = INT_COLUMNS) -> DataFrame:
 def parse_dates(
     df: DataFrame, columns: Iterable[str] = DATE_COLUMNS, formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
-    return df.withColumns({c: dates.parse_date_multi(c, formats) for c in _present(df, columns)})
+    """Date typing of the listed text columns that exist; columns that are dates already stay."""
+    text_columns = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    return df.withColumns(
+        {c: dates.parse_date_multi(c, formats) for c in columns if c in text_columns}
+    )
 
 
 def normalize_text(df: DataFrame, upper: Iterable[str] = (), title: Iterable[str] = ()) -> DataFrame:
@@ -40,16 +45,15 @@ def derive_flags(df: DataFrame, rules: Iterable[Flag] = CASE_FLAGS) -> DataFrame
 
 
 def derive_case_columns(df: DataFrame, dose_columns: Iterable[str] = DOSE_COLUMNS) -> DataFrame:
-    """Age in years and its band, days in intensive care, recorded doses."""
-    age = codes.normalize_age("nu_idade_n", "tp_idade")
-    return df.withColumns(
-        {
-            "idade_anos_calculada": age,
-            "faixa_etaria": codes.bucketize(age),
-            "dias_uti": dates.duration_days("dt_entuti", "dt_saiduti"),
-            "qtd_doses_covid_registradas": codes.count_present(_present(df, dose_columns)),
-        }
-    )
+    """Days in intensive care and recorded doses; age in years and its band when an age is given."""
+    derived = {
+        "dias_uti": dates.duration_days("dt_entuti", "dt_saiduti"),
+        "qtd_doses_covid_registradas": codes.count_present(_present(df, dose_columns)),
+    }
+    if "nu_idade_n" in df.columns:
+        age = codes.normalize_age("nu_idade_n", "tp_idade")
+        derived |= {"idade_anos_calculada": age, "faixa_etaria": codes.bucketize(age)}
+    return df.withColumns(derived)
 
 
 def type_cases(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ Keys are computed from the row itself, so the fact needs no join to get them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,18 +145,23 @@ def fact_table(current: DataFrame) -> DataFrame:
 def orphan_counts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Per foreign key: fact rows whose non-NULL key is missing in the dimension.
 
-    The fact is counted per key before the anti join, so a key shared by a
-    third of all rows joins as a single row.
+    One pass over the fact for all keys. It is counted per key before the
+    join, so a key shared by a third of all rows joins as a single row.
     """
-    result = None
-    for key, dimension in dimensions.items():
-        used = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        missing = used.join(dimension.select(key), key, "left_anti")
-        counted = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orfaos")).select(
-            F.lit(key).alias("chave"), "orfaos"
-        )
-        result = counted if result is None else result.unionByName(counted)
-    return result
+    entries = [
+        F.struct(F.lit(k).alias("chave"), F.col(k).cast("string").alias("valor")) for k in dimensions
+    ]
+    used = fact.select(F.inline(F.array(*entries))).groupBy("chave", "valor").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    known = reduce(DataFrame.unionByName, [
+        d.select(F.lit(k).alias("chave"), F.col(k).cast("string").alias("valor")).distinct()
+        for k, d in dimensions.items()
+    ]).withColumn("_known", F.lit(True))
+    missing = F.col("valor").isNotNull() & F.col("_known").isNull()
+    return used.join(known, ["chave", "valor"], "left").groupBy("chave").agg(
+        F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("orfaos")
+    )
 
 
 def rollup_by_dimension(

@@ -9,7 +9,6 @@ be split by the adaptive skew join. Closed history passes through untouched.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,19 +37,8 @@ def current_view(df: DataFrame, flag: str = CURRENT) -> DataFrame:
     return df.filter(F.col(flag))
 
 
-def _open(df: DataFrame, now: Column, is_current: Column | None = None) -> DataFrame:
-    """Version columns of rows that enter the history now."""
-    is_current = F.lit(True) if is_current is None else is_current
-    return df.withColumns(
-        {
-            CURRENT: is_current,
-            START: now,
-            END: F.when(is_current, F.lit(None)).otherwise(now).cast("timestamp"),
-        }
-    )
-
-
-def _order(order: Iterable[str], fingerprint: str) -> Column:
+def _position(order: Iterable[str], fingerprint: str) -> Column:
+    """Place of a version among the versions of its key; the fingerprint settles ties."""
     return F.struct(*order, fingerprint)
 
 
@@ -59,10 +47,15 @@ def scd2_first_load(
     order: Iterable[str] = ("dh_ultima_atualizacao",),
 ) -> DataFrame:
     """History of a first delivery: the last version of every key is the current one."""
-    last = source.groupBy(key).agg(F.max(_order(order, fingerprint)).alias("_last"))
-    rows = source.join(last, key)
-    is_last = _order(order, fingerprint).eqNullSafe(F.col("_last"))
-    return _open(rows, now, is_last).select(*source.columns, CURRENT, START, END)
+    position = _position(order, fingerprint)
+    last = source.groupBy(key).agg(F.max(position).alias("_last"))
+    is_last = position == F.col("_last")
+    return source.join(last, key).select(
+        *source.columns,
+        is_last.alias(CURRENT),
+        now.alias(START),
+        F.when(~is_last, now).alias(END),
+    )
 
 
 def scd2_merge(
@@ -81,48 +74,54 @@ def scd2_merge(
     only the last stays current. ``close_only``: changed current rows are
     closed and only unknown keys are inserted.
 
-    ``source`` holds at most one row per (key, fingerprint).
+    ``source`` holds at most one row per (key, fingerprint). Stored and
+    delivered rows travel together, so the wide rows are shuffled once; the
+    per-key summary beside them carries only key, order and fingerprint.
     """
     if mode not in ("versions", "close_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
-    columns = target.columns
-    payload = [c for c in source.columns if c in columns]
-    position = _order(order, fingerprint)
-
+    columns = [*target.columns, *[c for c in source.columns if c not in target.columns]]
     closed_before = target.filter(~F.col(CURRENT))
-    current = target.filter(F.col(CURRENT))
-    summary = source.groupBy(key).agg(
-        F.min(position).alias("_first"), F.max(position).alias("_last"),
-        F.count(F.lit(1)).alias("_n"),
+    current = target.filter(F.col(CURRENT)).withColumn("_new", F.lit(False))
+    rows = current.unionByName(source.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+
+    new, position = F.col("_new"), _position(order, fingerprint)
+    narrow = rows.select(key, "_new", *order, fingerprint)
+    if mode == "close_only":  # a key known only from closed rows is not inserted again
+        narrow = narrow.unionByName(
+            closed_before.select(key, F.lit(False).alias("_new"), *order,
+                                 F.lit(None).cast("string").alias(fingerprint))
+        )
+    summary = narrow.groupBy(key).agg(
+        F.min(F.when(new, position)).alias("_first"),
+        F.max(F.when(new, position)).alias("_last"),
+        F.count_if(new).alias("_delivered"),
+        F.count_if(~new).alias("_stored"),
+        F.max(F.when(~new, F.col(fingerprint))).alias("_current"),
     )
 
-    # current rows: closed when the delivery holds any other content for the key
-    touched = current.join(summary.select(key, "_first", "_n"), key, "left")
-    changed = F.coalesce(
-        (F.col("_n") > 1) | (F.col(f"_first.{fingerprint}") != F.col(fingerprint)), F.lit(False)
-    )
-    still = touched.withColumn("_changed", changed).withColumns(
-        {CURRENT: ~F.col("_changed"), END: F.when(F.col("_changed"), now).otherwise(F.col(END))}
-    ).select(*columns)
-
-    # delivered rows, each next to its key's first/last row and the content now current
-    if mode == "close_only":
-        known = target.select(key).distinct()
-        opened = _open(source.join(known, key, "left_anti"), now)
+    first_is_current = F.coalesce(F.col(f"_first.{fingerprint}") == F.col("_current"), F.lit(False))
+    changed = (F.col("_delivered") > 1) | ((F.col("_delivered") == 1) & ~first_is_current)
+    if mode == "versions":
+        enters = ~(first_is_current & (position == F.col("_first")))
+        stays_current = position == F.col("_last")
     else:
-        facts = summary.join(
-            current.select(key, F.col(fingerprint).alias("_current")), key, "left"
-        ).drop("_n")
-        rows = source.join(facts, key)
-        repeats_current = position.eqNullSafe(F.col("_first")) & (
-            F.coalesce(F.col(fingerprint) == F.col("_current"), F.lit(False))
+        enters = F.col("_stored") == 0
+        stays_current = F.lit(True)
+    merged = (
+        rows.join(summary, key)
+        .filter(~new | enters)
+        .withColumn("_is_current", F.when(new, stays_current).otherwise(~changed))
+        .withColumns(
+            {
+                CURRENT: F.col("_is_current"),
+                START: F.when(new, now).otherwise(F.col(START)),
+                END: F.when(~F.col("_is_current"), now),
+            }
         )
-        opened = _open(rows.filter(~repeats_current), now, position.eqNullSafe(F.col("_last")))
-    opened = opened.select(*payload, CURRENT, START, END)
-
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [closed_before, still, opened]
+        .select(*columns)
     )
+    return closed_before.unionByName(merged, allowMissingColumns=True)
 
 
 def unmerged_runs(

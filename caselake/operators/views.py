@@ -20,7 +20,7 @@ def kpi_with_alerts(kpi: DataFrame, log: DataFrame) -> DataFrame:
 
     The alert text is a one-row scalar subquery, bounded by the rules of a run.
     """
-    alerts = quality.alert_summary(log)
+    alerts = quality.alert_summary(log).select(F.struct("nivel_geral", "alertas")).scalar()
     latest = kpi.orderBy(F.desc("data_execucao")).limit(1)
     growth_caveat = F.concat(F.lit("taxa_aumento: "), F.col("obs_aumento"))
     return latest.select(
@@ -29,8 +29,8 @@ def kpi_with_alerts(kpi: DataFrame, log: DataFrame) -> DataFrame:
         "casos_ultimos_30_dias", "obitos_ultimos_30_dias",
         *[codes.scale_percent(c).alias(f"{c}_pct") for c in RATE_COLUMNS],
         F.col("observacao_confiabilidade").alias("confiabilidade"),
-        alerts.select("nivel_geral").scalar().alias("nivel_geral"),
-        alerts.select("alertas").scalar().alias("alertas_qualidade"),
+        alerts.getField("nivel_geral").alias("nivel_geral"),
+        alerts.getField("alertas").alias("alertas_qualidade"),
         F.concat_ws("; ", *[F.lit(c) for c in KPI_CAVEATS], growth_caveat).alias("limitacoes"),
     )
 

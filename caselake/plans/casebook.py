@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.operators import normalize, privacy, star, versioning
+from caselake.operators import normalize, privacy, versioning
 
 SALT = "case-salt"
 AS_OF = "2001-08-11"
@@ -31,22 +31,29 @@ def stamp(text: str) -> Column:
 
 
 def case_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: what its line items say."""
-    items = table(spark, sf_dir, "lineitem")
-    returned = F.col("l_returnflag")
-    shipped = F.col("l_shipdate").cast("date")
-    return items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.min(shipped).alias("first_ship"),
-        F.max(shipped).alias("last_ship"),
-        F.min(F.when(returned == "R", shipped)).alias("first_r"),
-        F.max(F.when(returned == "R", shipped)).alias("last_r"),
-        F.min(F.when(returned == "N", shipped)).alias("first_n"),
-        F.max(F.when(F.col("l_linestatus") == "F", shipped)).alias("last_f"),
-        F.max(F.when(returned == "A", 1).otherwise(0)).alias("has_a"),
-        F.min("l_linestatus").alias("low_status"),
-        F.max("l_linestatus").alias("high_status"),
-        F.max("l_discount").alias("top_discount"),
+    """One row per order: what its line items say.
+
+    Every aggregate is a number or a date, so Spark reduces by hash on the map side.
+    """
+    shipped = {
+        "first_ship": "min(cast(l_shipdate AS date))",
+        "last_ship": "max(cast(l_shipdate AS date))",
+        "first_r": "min(CASE WHEN l_returnflag = 'R' THEN cast(l_shipdate AS date) END)",
+        "last_r": "max(CASE WHEN l_returnflag = 'R' THEN cast(l_shipdate AS date) END)",
+        "first_n": "min(CASE WHEN l_returnflag = 'N' THEN cast(l_shipdate AS date) END)",
+        "last_f": "max(CASE WHEN l_linestatus = 'F' THEN cast(l_shipdate AS date) END)",
+    }
+    marks = {
+        "has_a": "max(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END)",
+        "has_open": "max(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END)",
+        "has_filled": "max(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END)",
+        "top_discount": "max(l_discount)",
+        "n_lines": "count(1)",
+    }
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(*[F.expr(e).alias(n) for n, e in {**shipped, **marks}.items()])
     )
 
 
@@ -63,105 +70,113 @@ def case_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _written(day: Column, status: Column, priority: Column) -> Column:
-    """A date the way the delivery of this status writes it."""
+# case column -> expression over orders and their line items
+_PRIORITY = "substring(o_orderpriority, 1, 1)"
+_HOSPITAL = "CASE WHEN has_a = 1 THEN '1' WHEN first_n IS NOT NULL THEN '2' WHEN n_lines IS NOT NULL THEN '9' END"
+_ICU = "CASE WHEN first_r IS NOT NULL THEN '1' WHEN n_lines IS NOT NULL THEN '2' END"
+_FLU = "CASE WHEN has_open = 0 THEN '1' WHEN has_filled = 0 THEN '2' WHEN n_lines IS NOT NULL THEN '9' END"
+_COVID = ("CASE WHEN top_discount >= 0.08D THEN '1' WHEN top_discount >= 0.05D THEN '2' "
+          "WHEN n_lines IS NOT NULL THEN ' ' END")
+CASE_DATES = {
+    "dt_notific": "first_ship",
+    "dt_sin_pri": "cast(o_orderdate AS date)",
+    "dt_interna": "first_n",
+    "dt_entuti": "first_r",
+    "dt_saiduti": "last_f",
+    "dt_evoluca": "last_ship",
+    "dt_encerra": "last_r",
+    "dt_digita": f"CASE WHEN {_PRIORITY} <> '5' THEN last_ship END",
+    "dose_1_cov": "first_ship",
+    "dose_2_cov": "first_r",
+    "dose_ref": "first_n",
+    "dose_adic": "last_f",
+}
+CASE_CODES = {
+    "nu_notific": "cast(o_orderkey AS string)",
+    "tp_idade": f"CASE WHEN {_PRIORITY} < '3' THEN {_PRIORITY} WHEN {_PRIORITY} < '5' THEN '3' ELSE '9' END",
+    "cs_gestant": "cast(n_lines AS string)",
+    "cs_escol_n": "CASE o_orderstatus WHEN 'F' THEN '0' WHEN 'O' THEN '3' ELSE 'x' END",
+    "febre": "CASE WHEN o_totalprice > 300000 THEN '1' WHEN o_totalprice > 100000 THEN '2' ELSE '9' END",
+    "tosse": _ICU,
+    "dispneia": _HOSPITAL,
+    "saturacao": _FLU,
+    "fator_risc": "CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE '1' END",
+    "vacina": _FLU,
+    "vacina_cov": _COVID,
+    "hospital": _HOSPITAL,
+    "uti": _ICU,
+    "suport_ven": "cast(n_lines AS string)",
+    "pcr_resul": "cast(n_lines AS string)",
+    "classi_fin": _PRIORITY,
+    "evolucao": f"CASE WHEN o_orderstatus = 'F' THEN '1' WHEN o_orderstatus = 'O' THEN '2' "
+                f"WHEN {_PRIORITY} = '5' THEN '9' ELSE '3' END",
+    "nu_cpf": "lpad(cast(o_custkey AS string), 11, '0')",
+    "dh_ingestao_bronze": "cast(date_add(cast(o_orderdate AS date), 30) AS timestamp)",
+    "nome_arquivo_origem": "concat('cases_', o_orderstatus, '.csv')",
+    "run_id": "concat('run-', cast(year(o_orderdate) AS string))",
+}
+# case column -> expression over the customer
+PERSON_DATES = {"dt_nasc": "date_sub(cast(o_orderdate AS date), cast(floor(c_acctbal) AS int))"}
+PERSON_CODES = {
+    "sg_uf": "concat(lower(r_name), ' ')",
+    "sg_uf_not": "r_name",
+    "co_mun_not": "cast(n_nationkey AS string)",
+    "co_mun_res": "cast(n_nationkey AS string)",
+    "id_mn_resi": "n_name",
+    "cs_sexo": "CASE c_mktsegment WHEN 'MACHINERY' THEN 'M' WHEN 'FURNITURE' THEN 'f ' "
+               "WHEN 'HOUSEHOLD' THEN 'I' WHEN 'BUILDING' THEN 'X' END",
+    "nu_idade_n": "cast(cast(floor(c_acctbal / 100) AS int) AS string)",
+    "cs_raca": "cast(r_regionkey + 1 AS string)",
+    "criterio": "cast(r_regionkey + 1 AS string)",
+    "nm_pacient": "c_name",
+}
+
+
+def _written(day: str) -> str:
+    """A date the way the delivery of this order status writes it."""
     return (
-        F.when(status == "F", F.date_format(day, "yyyy-MM-dd"))
-        .when(status == "P", F.date_format(day, "yyyyMMdd"))
-        .when(priority < "3", F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        f"CASE WHEN o_orderstatus = 'F' THEN date_format({day}, 'yyyy-MM-dd') "
+        f"WHEN o_orderstatus = 'P' THEN date_format({day}, 'yyyyMMdd') "
+        f"WHEN {_PRIORITY} < '3' THEN date_format({day}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") "
+        f"ELSE date_format({day}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END"
     )
 
 
+def _case_source(spark: SparkSession, sf_dir: str, people: bool) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").join(case_lines(spark, sf_dir), "o_orderkey", "left")
+    return orders.join(case_people(spark, sf_dir), "o_custkey", "left") if people else orders
+
+
 def bronze_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw cases: every data column text, plus lineage."""
-    joined = (
-        table(spark, sf_dir, "orders")
-        .join(case_people(spark, sf_dir), "o_custkey", "left")
-        .join(case_lines(spark, sf_dir), "o_orderkey", "left")
-    )
-    status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
-    price, day = F.col("o_totalprice"), F.col("o_orderdate").cast("date")
+    days = {n: _written(e) for n, e in {**CASE_DATES, **PERSON_DATES}.items()}
+    columns = {**days, **CASE_CODES, **PERSON_CODES}
+    return _case_source(spark, sf_dir, True).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
 
-    def text(value: Column) -> Column:
-        return value.cast("string")
 
-    def written(value: Column) -> Column:
-        return _written(value, status, priority)
+def typed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw cases pseudonymised and typed."""
+    keyed = privacy.add_case_key(bronze_cases(spark, sf_dir), SALT)
+    return normalize.type_cases(privacy.mask_for_analytics(keyed, SALT))
 
-    hospital = (
-        F.when(F.col("has_a") == 1, "1").when(F.col("first_n").isNotNull(), "2")
-        .when(F.col("n_lines").isNotNull(), "9")
-    )
-    icu = F.when(F.col("first_r").isNotNull(), "1").when(F.col("n_lines").isNotNull(), "2")
-    flu = (
-        F.when(F.col("high_status") == "F", "1").when(F.col("low_status") == "O", "2")
-        .when(F.col("n_lines").isNotNull(), "9")
-    )
-    covid = (
-        F.when(F.col("top_discount") >= 0.08, "1").when(F.col("top_discount") >= 0.05, "2")
-        .when(F.col("n_lines").isNotNull(), " ")
-    )
-    segment = F.col("c_mktsegment")
-    return joined.select(
-        text(F.col("o_orderkey")).alias("nu_notific"),
-        written(F.col("first_ship")).alias("dt_notific"),
-        written(day).alias("dt_sin_pri"),
-        written(F.col("first_n")).alias("dt_interna"),
-        written(F.col("first_r")).alias("dt_entuti"),
-        written(F.col("last_f")).alias("dt_saiduti"),
-        written(F.col("last_ship")).alias("dt_evoluca"),
-        written(F.col("last_r")).alias("dt_encerra"),
-        F.when(priority != "5", written(F.col("last_ship"))).alias("dt_digita"),
-        written(F.date_sub(day, F.floor("c_acctbal").cast("int"))).alias("dt_nasc"),
-        F.concat(F.lower("r_name"), F.lit(" ")).alias("sg_uf"),
-        F.col("r_name").alias("sg_uf_not"),
-        text(F.col("n_nationkey")).alias("co_mun_not"),
-        text(F.col("n_nationkey")).alias("co_mun_res"),
-        F.col("n_name").alias("id_mn_resi"),
-        F.when(segment == "MACHINERY", "M").when(segment == "FURNITURE", "f ")
-        .when(segment == "HOUSEHOLD", "I").when(segment == "BUILDING", "X").alias("cs_sexo"),
-        text(F.floor(F.col("c_acctbal") / 100).cast("int")).alias("nu_idade_n"),
-        F.when(priority < "3", priority).when(priority < "5", "3").otherwise("9").alias("tp_idade"),
-        text(F.col("r_regionkey") + 1).alias("cs_raca"),
-        text(F.col("n_lines")).alias("cs_gestant"),
-        F.when(status == "F", "0").when(status == "O", "3").otherwise("x").alias("cs_escol_n"),
-        F.when(price > 300000, "1").when(price > 100000, "2").otherwise("9").alias("febre"),
-        icu.alias("tosse"),
-        hospital.alias("dispneia"),
-        flu.alias("saturacao"),
-        F.when(status == "P", " ").otherwise("1").alias("fator_risc"),
-        flu.alias("vacina"),
-        covid.alias("vacina_cov"),
-        hospital.alias("hospital"),
-        icu.alias("uti"),
-        text(F.col("n_lines")).alias("suport_ven"),
-        text(F.col("n_lines")).alias("pcr_resul"),
-        priority.alias("classi_fin"),
-        text(F.col("r_regionkey") + 1).alias("criterio"),
-        F.when(status == "F", "1").when(status == "O", "2").when(priority == "5", "9")
-        .otherwise("3").alias("evolucao"),
-        written(F.col("first_ship")).alias("dose_1_cov"),
-        written(F.col("first_r")).alias("dose_2_cov"),
-        written(F.col("first_n")).alias("dose_ref"),
-        written(F.col("last_f")).alias("dose_adic"),
-        F.lpad(text(F.col("o_custkey")), 11, "0").alias("nu_cpf"),
-        F.col("c_name").alias("nm_pacient"),
-        F.date_add(day, 30).cast("timestamp").alias("dh_ingestao_bronze"),
-        F.concat(F.lit("cases_"), status, F.lit(".csv")).alias("nome_arquivo_origem"),
-        F.concat(F.lit("run-"), F.year(day).cast("string")).alias("run_id"),
-    )
 
+def cases(spark: SparkSession, sf_dir: str, people: bool = True) -> DataFrame:
+    """The same typed cases with dates taken as dates, the way a typed table stores them.
 
-def typed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed, pseudonymised cases with derived columns and flags; one row per case by source."""
-    keyed = privacy.add_case_key(bronze_cases(spark, sf_dir), SALT)
+    One row per case by source. Without ``people`` the customer columns and
+    their join are left out, for indicators that need neither place nor person.
+    """
+    columns = {**CASE_DATES, **CASE_CODES}
+    if people:
+        columns |= {**PERSON_DATES, **PERSON_CODES}
+    values = _case_source(spark, sf_dir, people).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+    keyed = privacy.add_case_key(values, SALT)
     return normalize.type_cases(privacy.mask_for_analytics(keyed, SALT))
 
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact rows of the cases (unique by source, so no deduplication shuffle)."""
-    return star.fact_rows(typed_cases(spark, sf_dir))
+def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases with dates, stay and flags only."""
+    return cases(spark, sf_dir, people=False)
 
 
 FIRST_DELIVERY_BEFORE = "2000-01-01"
@@ -184,9 +199,9 @@ def deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         day.cast("timestamp").alias("dh_ultima_atualizacao"),
     )
     lines = case_lines(spark, sf_dir).select(
-        F.col("o_orderkey").alias("caso"), "low_status", "high_status", "last_ship"
+        F.col("o_orderkey").alias("caso"), "has_open", "has_filled", "last_ship"
     )
-    outcome = F.when(F.col("low_status") == F.col("high_status"), F.col("low_status")).otherwise("P")
+    outcome = F.when(F.col("has_open") == 0, "F").when(F.col("has_filled") == 0, "O").otherwise("P")
     followed = reported.join(lines, "caso").select(
         "hash_caso", "caso", outcome.alias("evolucao"), "classi_fin",
         F.greatest(F.col("last_ship").cast("timestamp"), "dh_ultima_atualizacao")

@@ -47,33 +47,33 @@ def query(name: str) -> Callable[[Query], Query]:
 
 @query("daily_metrics")
 def daily_metrics(spark, sf):
-    return metrics.daily_metrics(cb.fact_rows(spark, sf))
+    return metrics.daily_metrics(cb.indicators(spark, sf))
 
 
 @query("daily_ma7_rows")
 def daily_ma7_rows(spark, sf):
-    daily = metrics.daily_totals(cb.fact_rows(spark, sf), sums={"total_casos": "flag_caso_srag"})
+    daily = metrics.daily_totals(cb.indicators(spark, sf), sums={"total_casos": "flag_caso_srag"})
     return metrics.moving_average(daily, "total_casos", "media_movel_7d_casos")
 
 
 @query("daily_ma7_calendar")
 def daily_ma7_calendar(spark, sf):
-    daily = metrics.daily_totals(cb.fact_rows(spark, sf), sums={"total_casos": "flag_caso_srag"})
+    daily = metrics.daily_totals(cb.indicators(spark, sf), sums={"total_casos": "flag_caso_srag"})
     return metrics.moving_average(daily, "total_casos", "media_movel_7d_casos", calendar=True)
 
 
 @query("daily_metrics_by_place")
 def daily_metrics_by_place(spark, sf):
-    return metrics.daily_metrics(cb.typed_cases(spark, sf), by=["sg_uf_residencia"])
+    return metrics.daily_metrics(cb.cases(spark, sf), by=["sg_uf_residencia"])
 
 
 @query("monthly_metrics")
 def monthly_metrics(spark, sf):
-    return metrics.monthly_metrics(cb.fact_rows(spark, sf))
+    return metrics.monthly_metrics(cb.indicators(spark, sf))
 
 
 def _kpi(spark, sf):
-    return metrics.kpi_snapshot(cb.fact_rows(spark, sf), cb.as_of())
+    return metrics.kpi_snapshot(cb.indicators(spark, sf), cb.as_of())
 
 
 @query("kpi_snapshot")
@@ -88,7 +88,7 @@ def kpi_report_long(spark, sf):
 
 @query("category_mix")
 def category_mix(spark, sf):
-    fact = cb.fact_rows(spark, sf)
+    fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
     recent = metrics.trailing_month_rows(fact, "dt_sin_pri", ref)
     return metrics.category_mix(metrics.monthly_metrics(recent), ref)
@@ -96,19 +96,19 @@ def category_mix(spark, sf):
 
 @query("place_month_matrix")
 def place_month_matrix(spark, sf):
-    cases = cb.typed_cases(spark, sf)
+    cases = cb.cases(spark, sf)
     ref = metrics.reference_date(cases, "dt_sin_pri")
     return metrics.place_month_matrix(cases, ref, place="id_mn_resi")
 
 
 @query("peak_day")
 def peak_day(spark, sf):
-    return metrics.peak_day(metrics.daily_totals(cb.fact_rows(spark, sf)))
+    return metrics.peak_day(metrics.daily_totals(cb.indicators(spark, sf)))
 
 
 @query("trailing_30d")
 def trailing_30d(spark, sf):
-    fact = cb.fact_rows(spark, sf)
+    fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
     return metrics.trailing_days(metrics.daily_metrics(fact), ref=ref).orderBy(
         F.desc("data_referencia")
@@ -117,7 +117,7 @@ def trailing_30d(spark, sf):
 
 @query("trailing_12m")
 def trailing_12m(spark, sf):
-    fact = cb.fact_rows(spark, sf)
+    fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
     recent = metrics.trailing_month_rows(fact, "dt_sin_pri", ref)
     return metrics.monthly_metrics(recent).orderBy("ano", "mes")
@@ -125,12 +125,12 @@ def trailing_12m(spark, sf):
 
 @query("fact_summary")
 def fact_summary(spark, sf):
-    return metrics.fact_summary(cb.fact_rows(spark, sf))
+    return metrics.fact_summary(cb.indicators(spark, sf))
 
 
 @query("remainder_share")
 def remainder_share(spark, sf):
-    return metrics.remainder_share(metrics.monthly_metrics(cb.fact_rows(spark, sf)))
+    return metrics.remainder_share(metrics.monthly_metrics(cb.indicators(spark, sf)))
 
 
 @query("frequency_file_format")
@@ -141,7 +141,7 @@ def frequency_file_format(spark, sf):
 
 @query("frequency_by_year")
 def frequency_by_year(spark, sf):
-    cases = cb.typed_cases(spark, sf)
+    cases = cb.cases(spark, sf)
     return metrics.frequency(cases, [F.year("dt_sin_pri").alias("ano")], "total")
 
 
@@ -228,7 +228,7 @@ def first_non_null_watermark(spark, sf):
 
 @query("calendar")
 def calendar(spark, sf):
-    return star.generate_calendar(cb.typed_cases(spark, sf), cb.as_of())
+    return star.generate_calendar(cb.cases(spark, sf), cb.as_of())
 
 
 @query("sanitize_columns")
@@ -279,7 +279,7 @@ def natural_key(spark, sf):
 
 @query("surrogate_keys")
 def surrogate_keys(spark, sf):
-    return cb.typed_cases(spark, sf).select(
+    return cb.cases(spark, sf).select(
         "nu_notific", keys.time_key("dt_interna").alias("sk_interna"),
         star.place_key().alias("sk_localidade"), star.profile_key().alias("sk_perfil"),
         star.class_key().alias("sk_classificacao"),
@@ -290,32 +290,32 @@ def surrogate_keys(spark, sf):
 
 @query("dim_date")
 def dim_date(spark, sf):
-    return star.date_dimension(cb.typed_cases(spark, sf))
+    return star.date_dimension(cb.cases(spark, sf))
 
 
 @query("dim_place")
 def dim_place(spark, sf):
-    return star.place_dimension(cb.typed_cases(spark, sf))
+    return star.place_dimension(cb.cases(spark, sf))
 
 
 @query("dim_profile")
 def dim_profile(spark, sf):
-    return star.profile_dimension(cb.typed_cases(spark, sf))
+    return star.profile_dimension(cb.cases(spark, sf))
 
 
 @query("dim_class")
 def dim_class(spark, sf):
-    return star.class_dimension(cb.typed_cases(spark, sf))
+    return star.class_dimension(cb.cases(spark, sf))
 
 
 @query("fact")
 def fact(spark, sf):
-    return star.fact_table(cb.typed_cases(spark, sf))
+    return star.fact_table(cb.cases(spark, sf))
 
 
 @query("orphan_counts")
 def orphan_counts(spark, sf):
-    cases = cb.typed_cases(spark, sf)
+    cases = cb.cases(spark, sf)
     earlier = cases.filter(F.col("dt_sin_pri") < F.lit("1995-01-10").cast("date"))
     return star.orphan_counts(
         star.fact_rows(cases),
@@ -330,7 +330,7 @@ def orphan_counts(spark, sf):
 
 @query("rollup_by_dimension")
 def rollup_by_dimension(spark, sf):
-    cases = cb.typed_cases(spark, sf)
+    cases = cb.cases(spark, sf)
     return star.rollup_by_dimension(
         star.fact_rows(cases), star.place_dimension(cases), "sk_localidade", ["sg_uf"],
         {"casos": "flag_caso_srag", "obitos": "flag_obito_srag"}, by=[dates.year_month("dt_sin_pri")],
@@ -339,7 +339,7 @@ def rollup_by_dimension(spark, sf):
 
 @query("null_safe_join")
 def null_safe_join(spark, sf):
-    cases = cb.typed_cases(spark, sf).select("nu_notific", "cs_sexo", "cs_gestant")
+    cases = cb.cases(spark, sf).select("nu_notific", "cs_sexo", "cs_gestant")
     sizes = metrics.frequency(cases, ["cs_sexo", "cs_gestant"], "tamanho").select(
         F.col("cs_sexo").alias("sexo"), F.col("cs_gestant").alias("gestante"), "tamanho"
     )
@@ -361,7 +361,7 @@ def capacity_rollup(spark, sf):
 @query("capacity_use")
 def capacity_use(spark, sf):
     rollup = capacity.capacity_rollup(capacity.type_beds(cb.bronze_beds(spark, sf)))
-    return capacity.capacity_use(cb.typed_cases(spark, sf), rollup)
+    return capacity.capacity_use(cb.cases(spark, sf), rollup)
 
 
 @query("coverage_by_year")
@@ -518,7 +518,7 @@ def rules_all(spark, sf):
 
 
 def _gold_source(spark, sf):
-    cases = cb.typed_cases(spark, sf)
+    cases = cb.cases(spark, sf)
     return cases.withColumns(
         {"sk_tempo": keys.time_key("dt_sin_pri"), "sk_classificacao": star.class_key()}
     )
@@ -527,7 +527,7 @@ def _gold_source(spark, sf):
 @query("gold_checks")
 def gold_checks(spark, sf):
     return quality.run_rules(
-        cb.fact_rows(spark, sf), quality.fact_rules(), "Gold", "fato", cb.as_of(),
+        star.fact_rows(cb.cases(spark, sf)), quality.fact_rules(), "Gold", "fato", cb.as_of(),
         cb.stamp(RULES_AT), "run-g",
     )
 
@@ -561,8 +561,15 @@ def gold_log(spark, sf):
     )
 
 
+def _stored(log: DataFrame) -> DataFrame:
+    """The log written once to its history and read back, as its consumers see it."""
+    path = storage.fresh_dir(log.sparkSession, "quality-log")
+    tables.append(log, path)
+    return tables.read_table(log.sparkSession, path)
+
+
 def _complete(spark, sf):
-    return dedup.latest_complete_run(quality_log(spark, sf))
+    return dedup.latest_complete_run(_stored(quality_log(spark, sf)))
 
 
 @query("quality_log_by_run")
@@ -577,12 +584,12 @@ def latest_complete_run(spark, sf):
 
 @query("latest_covering_gold_run")
 def latest_covering_gold_run(spark, sf):
-    return dedup.latest_complete_run(gold_log(spark, sf), min_dimensions=None)
+    return dedup.latest_complete_run(_stored(gold_log(spark, sf)), min_dimensions=None)
 
 
 @query("inherit_alerts")
 def inherit_alerts(spark, sf):
-    log = quality_log(spark, sf).filter(F.col("tabela_avaliada") == "casos")
+    log = _stored(quality_log(spark, sf)).filter(F.col("tabela_avaliada") == "casos")
     return quality.inherit_alerts(log, F.lit("run-g"), cb.stamp(RULES_AT))
 
 
@@ -720,14 +727,14 @@ def kpi_with_alerts(spark, sf):
 
 @query("daily_series_view")
 def daily_series_view(spark, sf):
-    fact = cb.fact_rows(spark, sf)
+    fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
     return views.daily_series(metrics.daily_metrics(fact), ref)
 
 
 @query("monthly_series_view")
 def monthly_series_view(spark, sf):
-    fact = cb.fact_rows(spark, sf)
+    fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
     recent = metrics.trailing_month_rows(fact, "dt_sin_pri", ref)
     return views.monthly_series(metrics.monthly_metrics(recent), ref)
@@ -745,18 +752,19 @@ def stage_case_files(spark, sf) -> str:
     F files lack a column the others have, O files carry it first; P files
     come from a source no version rule knows.
     """
-    root = storage.fresh_dir(spark, "staged")
-    raw = cb.bronze_cases(spark, sf)
-    status = F.col("nome_arquivo_origem")
+    root, whole = storage.fresh_dir(spark, "staged"), storage.fresh_dir(spark, "raw")
+    cb.bronze_cases(spark, sf).write.parquet(whole)
+    raw = tables.read_table(spark, whole)
     data = [c for c in raw.columns if c not in _LINEAGE]
+    short = [c for c in data if c != "dose_adic"]
     layouts = {
-        "cases_F": [c for c in data if c != "dose_adic"],
-        "cases_F_again": [c for c in data if c != "dose_adic"],
-        "cases_O": ["dose_adic", *[c for c in data if c != "dose_adic"]],
-        "cases_P": data,
+        "cases_F": ("cases_F.csv", short),
+        "cases_F_again": ("cases_F.csv", short),
+        "cases_O": ("cases_O.csv", ["dose_adic", *short]),
+        "cases_P": ("cases_P.csv", data),
     }
-    for folder, columns in layouts.items():
-        part = raw.filter(status == f"cases_{folder[6]}.csv")
+    for folder, (file, columns) in layouts.items():
+        part = raw.filter(F.col("nome_arquivo_origem") == file)
         part.select(*[F.col(c).alias(c.upper()) for c in columns]).write.options(
             header=True, sep=";", quote='"', escape='"', encoding="UTF-8"
         ).csv(f"{root}/{folder}")
@@ -815,7 +823,7 @@ def append_log(spark, sf):
 def overwrite_table(spark, sf):
     """A table rebuilt from its own contents with another schema."""
     name, root = f"dim_{uuid.uuid4().hex}", storage.fresh_dir(spark, "tables")
-    tables.overwrite(star.class_dimension(cb.typed_cases(spark, sf)), name, root)
+    tables.overwrite(star.class_dimension(cb.cases(spark, sf)), name, root)
     rebuilt = tables.read_table(spark, name).filter(F.col("classi_fin").isin(1, 5)).select(
         "sk_classificacao", F.col("descricao_evolucao").alias("desfecho")
     )
