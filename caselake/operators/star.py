@@ -81,12 +81,20 @@ def generate_calendar(df: DataFrame, as_of: Column, day: str = "dt_sin_pri") ->
 
 
 def place_dimension(df: DataFrame, attributes: Sequence[str] = ("id_mn_resi",)) -> DataFrame:
-    """Residence places. Attributes that vary within a place keep their smallest value."""
-    grouped = df.groupBy(
-        F.coalesce(F.col("sg_uf_residencia"), F.lit("n/a")).alias("sg_uf"),
-        F.coalesce(F.col("co_mun_res"), F.lit("n/a")).alias("co_mun_residencia"),
-    ).agg(*[F.min(a).alias(a) for a in attributes])
-    return grouped.select(
+    """Residence places. Attributes that vary within a place keep their smallest value.
+
+    Cases are reduced to distinct combinations by hash before the minimum of text columns, which
+    Spark can only take on sorted rows.
+    """
+    combos = dedup.distinct_projection(
+        df,
+        [F.coalesce(F.col("sg_uf_residencia"), F.lit("n/a")).alias("sg_uf"),
+         F.coalesce(F.col("co_mun_res"), F.lit("n/a")).alias("co_mun_residencia"), *attributes],
+    )
+    places = combos.groupBy("sg_uf", "co_mun_residencia").agg(
+        *[F.min(a).alias(a) for a in attributes]
+    )
+    return places.select(
         keys.surrogate_key("sg_uf", "co_mun_residencia").alias("sk_localidade"), "*"
     )
 

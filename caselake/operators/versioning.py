@@ -58,21 +58,23 @@ def scd2_first_load(
     )
 
 
-def scd2_merge(
-    target: DataFrame,
+def scd2_changes(
+    current: DataFrame,
     source: DataFrame,
     now: Column,
     key: str = "hash_caso",
     fingerprint: str = "hash_registros",
     order: Iterable[str] = ("dh_ultima_atualizacao",),
     mode: str = "versions",
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """New full history after a delivery.
+    """Current rows after a delivery, plus every row the delivery closes.
 
     ``versions``: a changed key closes its current row and opens the new
     version; several versions of a key in one delivery chain in ``order`` and
     only the last stays current. ``close_only``: changed current rows are
-    closed and only unknown keys are inserted.
+    closed and only unknown keys are inserted; ``known`` names keys that exist
+    in closed rows alone.
 
     ``source`` holds at most one row per (key, fingerprint). Stored and
     delivered rows travel together, so the wide rows are shuffled once; the
@@ -80,17 +82,15 @@ def scd2_merge(
     """
     if mode not in ("versions", "close_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
-    columns = [*target.columns, *[c for c in source.columns if c not in target.columns]]
-    closed_before = target.filter(~F.col(CURRENT))
-    current = target.filter(F.col(CURRENT)).withColumn("_new", F.lit(False))
-    rows = current.unionByName(source.withColumn("_new", F.lit(True)), allowMissingColumns=True)
-
+    columns = [*current.columns, *[c for c in source.columns if c not in current.columns]]
+    rows = current.withColumn("_new", F.lit(False)).unionByName(
+        source.withColumn("_new", F.lit(True)), allowMissingColumns=True
+    )
     new, position = F.col("_new"), _position(order, fingerprint)
     narrow = rows.select(key, "_new", *order, fingerprint)
-    if mode == "close_only":  # a key known only from closed rows is not inserted again
+    if known is not None:
         narrow = narrow.unionByName(
-            closed_before.select(key, F.lit(False).alias("_new"), *order,
-                                 F.lit(None).cast("string").alias(fingerprint))
+            known.select(key, F.lit(False).alias("_new")), allowMissingColumns=True
         )
     summary = narrow.groupBy(key).agg(
         F.min(F.when(new, position)).alias("_first"),
@@ -108,7 +108,7 @@ def scd2_merge(
     else:
         enters = F.col("_stored") == 0
         stays_current = F.lit(True)
-    merged = (
+    return (
         rows.join(summary, key)
         .filter(~new | enters)
         .withColumn("_is_current", F.when(new, stays_current).otherwise(~changed))
@@ -121,7 +121,19 @@ def scd2_merge(
         )
         .select(*columns)
     )
-    return closed_before.unionByName(merged, allowMissingColumns=True)
+
+
+def scd2_merge(
+    target: DataFrame, source: DataFrame, now: Column, key: str = "hash_caso", mode: str = "versions",
+    **options,
+) -> DataFrame:
+    """New full history after a delivery: closed rows as they are, plus :func:`scd2_changes`."""
+    closed = target.filter(~F.col(CURRENT))
+    known = closed.select(key) if mode == "close_only" else None
+    changes = scd2_changes(
+        target.filter(F.col(CURRENT)), source, now, key, mode=mode, known=known, **options
+    )
+    return closed.unionByName(changes, allowMissingColumns=True)
 
 
 def unmerged_runs(

@@ -134,11 +134,12 @@ PERSON_CODES = {
 
 def _written(day: str) -> str:
     """A date the way the delivery of this order status writes it."""
+    text = f"cast({day} AS string)"
     return (
-        f"CASE WHEN o_orderstatus = 'F' THEN date_format({day}, 'yyyy-MM-dd') "
-        f"WHEN o_orderstatus = 'P' THEN date_format({day}, 'yyyyMMdd') "
-        f"WHEN {_PRIORITY} < '3' THEN date_format({day}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") "
-        f"ELSE date_format({day}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END"
+        f"CASE WHEN o_orderstatus = 'F' THEN {text} "
+        f"WHEN o_orderstatus = 'P' THEN replace({text}, '-', '') "
+        f"WHEN {_PRIORITY} < '3' THEN concat({text}, 'T00:00:00.000Z') "
+        f"ELSE concat({text}, 'T00:00:00Z') END"
     )
 
 

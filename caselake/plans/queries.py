@@ -16,7 +16,7 @@ from caselake.operators import (
     capacity, context, dedup, metrics, normalize, privacy, quality, star, versioning, views,
 )
 from caselake.plans import casebook as cb
-from caselake.sources import storage, tables
+from caselake.sources import history, storage, tables
 from caselake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,17 +445,12 @@ def current_view(spark, sf):
 
 @query("scd2_table_roundtrip")
 def scd2_table_roundtrip(spark, sf):
-    """First load and merge through a catalogue table."""
+    """First load and merge through the stored history, the second delivery sent twice."""
     first, second = cb.deliveries(spark, sf)
     name, root = f"casos_{uuid.uuid4().hex}", storage.fresh_dir(spark, "scd2")
-    for now, source in ((cb.FIRST_DELIVERY_BEFORE, first), (DELIVERY, second)):
-        stamp = cb.stamp(now)
-        tables.upsert_table(
-            spark, name, root,
-            first=lambda: versioning.scd2_first_load(source, stamp),
-            merge=lambda target: versioning.scd2_merge(target, source, stamp),
-        )
-    return tables.read_table(spark, name)
+    for delivery, source in ((cb.FIRST_DELIVERY_BEFORE, first), (DELIVERY, second), (DELIVERY, second)):
+        history.merge_delivery(spark, name, root, f"d{delivery}", source, cb.stamp(delivery))
+    return history.read_history(spark, name)
 
 
 @query("latest_run")

@@ -8,7 +8,7 @@ the old contents in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,23 +35,20 @@ def overwrite(df: DataFrame, name: str, root: str) -> str:
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     df.write.parquet(location)
-    _point(spark, name, location)
+    point_at(spark, name, location)
     return location
 
 
-def _point(spark: SparkSession, name: str, location: str) -> None:
+def point_at(spark: SparkSession, name: str, location: str) -> None:
     """Catalogue entry of an external table; dropping the old entry keeps its files."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=location, source="parquet")
 
 
-def upsert_table(
-    spark: SparkSession, name: str, root: str,
-    first: Callable[[], DataFrame], merge: Callable[[DataFrame], DataFrame],
-) -> str:
-    """First load when the table is absent, merge with its contents otherwise."""
-    df = merge(spark.table(name)) if table_exists(spark, name) else first()
-    return overwrite(df, name, root)
+def location(spark: SparkSession, name: str) -> str:
+    """Folder a catalogue table points at."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
