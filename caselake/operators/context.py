@@ -95,6 +95,18 @@ def prepare_context(
     )
 
 
+def news_log_rows(context: DataFrame, run_id: Column, executed_at: Column) -> DataFrame:
+    """Prepared articles in the schema of the news log; columns a source lacks are empty."""
+    def given(name: str) -> Column:
+        return F.col(name) if name in context.columns else F.lit("").alias(name)
+
+    return context.select(
+        "news_id", run_id.alias("run_id"), given("termo_busca"), "titulo", given("fonte"),
+        given("data_publicacao"), "url", given("resumo"), "confiabilidade_fonte",
+        "usado_no_relatorio", executed_at.alias("dh_consulta"),
+    )
+
+
 def audit_rows(
     interactions: DataFrame, run_id: Column, executed_at: Column, identity: Sequence[str],
     widths: Mapping[str, int] = AUDIT_WIDTHS,

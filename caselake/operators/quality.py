@@ -7,7 +7,7 @@ partial counts keep a repeated key from piling up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,13 +31,18 @@ LOG_COLUMNS = (
 
 @dataclass(frozen=True)
 class RowRule:
-    """Valid when ``valid`` holds for the row."""
+    """Valid when ``valid`` holds for the row.
+
+    ``derived`` are columns the condition reads; all rules that name the same
+    one share its computation.
+    """
 
     name: str
     dimension: str
     column: str
     valid: Column
     note: str | None = None
+    derived: tuple[tuple[str, Column], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -61,6 +66,7 @@ class FreshRule:
     date: Column
     limit: int = FRESHNESS_LIMIT_DAYS
     note: str | None = None
+    derived: tuple[tuple[str, Column], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -99,15 +105,20 @@ def domains(allowed: Mapping[str, Sequence[str]]) -> list[Rule]:
     ]
 
 
-def date_orders(orders: Iterable[tuple[str, str, str]], parse=dates.parse_date_prefix) -> list[Rule]:
+def _parsed(column: str, parse: Callable[[str], Column]) -> tuple[str, Column]:
+    return f"_{parse.__name__}_{column}", parse(column)
+
+
+def date_orders(orders: Iterable[tuple[str, str, str]],
+                parse: Callable[[str], Column] = dates.parse_date_prefix) -> list[Rule]:
     """Earlier date not after the later one; an absent or unreadable date is valid."""
     rules = []
     for earlier, later, name in orders:
-        a, b = parse(earlier), parse(later)
+        derived = (_parsed(earlier, parse), _parsed(later, parse))
         involved = name.replace(">=", "<=").split(" <= ")
         rules.append(RowRule(
             f"Consistência Temporal - {name}", "Consistência", " / ".join(involved),
-            F.coalesce(a <= b, F.lit(True)),
+            F.coalesce(F.col(derived[0][0]) <= F.col(derived[1][0]), F.lit(True)), derived=derived,
         ))
     return rules
 
@@ -116,9 +127,14 @@ def unique_keys(keys: Iterable[tuple[str, ...]]) -> list[Rule]:
     return [UniqueRule(f"Unicidade - {' + '.join(k)}", "Unicidade", " / ".join(k), k) for k in keys]
 
 
-def freshness(columns: Iterable[str], parse=dates.parse_date_prefix,
+def freshness(columns: Iterable[str], parse: Callable[[str], Column] = dates.parse_date_prefix,
               limit: int = FRESHNESS_LIMIT_DAYS) -> list[Rule]:
-    return [FreshRule(f"Atualidade - {c}", "Atualidade", c, parse(c), limit) for c in columns]
+    rules = []
+    for c in columns:
+        derived = _parsed(c, parse)
+        rules.append(FreshRule(f"Atualidade - {c}", "Atualidade", c, F.col(derived[0]), limit,
+                               derived=(derived,)))
+    return rules
 
 
 def case_rules() -> list[Rule]:
@@ -158,6 +174,7 @@ def _entry(rule: Rule, total: Column, valid: Column) -> Column:
 
 
 def _single_pass(df: DataFrame, rules: Sequence[Rule], as_of: Column, by: Sequence[str]) -> DataFrame:
+    derived = dict(d for rule in rules for d in getattr(rule, "derived", ()))
     aggregates, entries = [F.count(F.lit(1)).alias("_n")], []
     for i, rule in enumerate(rules):
         name = f"_r{i}"
@@ -173,7 +190,8 @@ def _single_pass(df: DataFrame, rules: Sequence[Rule], as_of: Column, by: Sequen
                            F.sum(rule.denominator).alias(f"{name}d")]
             inside = codes.safe_rate(f"{name}n", f"{name}d").between(rule.low, rule.high)
             entries.append(_entry(rule, F.lit(1), F.coalesce(inside, F.lit(False)).cast("int")))
-    return df.groupBy(*by).agg(*aggregates).select(*by, F.inline(F.array(*entries)))
+    grouped = df.withColumns(derived).groupBy(*by).agg(*aggregates)
+    return grouped.select(*by, F.inline(F.array(*entries)))
 
 
 def _uniqueness(df: DataFrame, rule: UniqueRule, by: Sequence[str]) -> DataFrame:

@@ -762,6 +762,11 @@ QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""", "articles"
 _oracle("context_top", f"""
 SELECT page_id, md5(url) AS news_id, fonte, {_reliability} AS confiabilidade_fonte FROM unique_articles
 ORDER BY page_id LIMIT {cat.ARTICLE_CAP}""", "unique_articles")
+_oracle("news_log", f"""
+SELECT md5(url) AS news_id, 'run-n' AS run_id, '' AS termo_busca, substr(titulo, 1, 200) AS titulo,
+  substr(fonte, 1, 100) AS fonte, '' AS data_publicacao, substr(url, 1, 500) AS url, substr(resumo, 1, 500) AS resumo,
+  {_reliability} AS confiabilidade_fonte, true AS usado_no_relatorio, '{q.RULES_AT} 00:00:00' AS dh_consulta
+FROM unique_articles""", "unique_articles")
 _blocked = _first_term("p.text", cat.BLOCKED_TERMS_APP) + " IS NOT NULL"
 _oracle("audit_log", f"""
 SELECT sha256('run-a||' || p.conv_id || '||' || p.turn) AS audit_id, 'run-a' AS run_id,
@@ -817,3 +822,21 @@ _oracle("compact_and_cluster", f"SELECT * REPLACE ({_day('o_orderdate')} AS o_or
 _oracle("overwrite_table", f"""
 SELECT DISTINCT sk_classificacao, {_case('evolucao', cat.OUTCOME_LABELS)} AS desfecho
 FROM cases WHERE classi_fin IN (1, 5)""", "cases")
+_oracle("vault_checked_write", f"""
+SELECT DISTINCT {_salted('nu_notific')} AS hash_caso, {_salted('nu_cpf')} AS nu_cpf_hash, nm_pacient
+FROM raw_cases""", "raw_cases")
+_cte("gold_log", _log(_gold("1"), "Gold", "fato", "'run-g'", _AT), "cases")
+_oracle("stages_gold", """
+SELECT 'dim_tempo' AS tabela, count(DISTINCT dt_sin_pri) AS linhas, CAST(NULL AS BIGINT) AS casos FROM cases
+UNION ALL SELECT 'dim_localidade', count(DISTINCT sk_localidade), NULL FROM cases
+UNION ALL SELECT 'dim_perfil', count(DISTINCT sk_perfil), NULL FROM cases
+UNION ALL SELECT 'dim_classificacao', count(DISTINCT sk_classificacao), NULL FROM cases
+UNION ALL SELECT 'fact', count(*), count(*) FROM cases
+UNION ALL SELECT 'agg_diarias', count(*), CAST(sum(total_casos) AS BIGINT) FROM daily0
+UNION ALL SELECT 'agg_mensais', count(*), CAST(sum(total_casos) AS BIGINT) FROM monthly
+UNION ALL SELECT 'agg_indicadores', count(*), NULL FROM kpi
+UNION ALL SELECT 'orfaos', 4, 0
+UNION ALL SELECT 'quality', count(*), CAST(sum(registros_invalidos) AS BIGINT) FROM gold_log""",
+        "cases", "daily0", "monthly", "kpi", "gold_log")
+_oracle("stages_beds", f"""
+SELECT uf, ano_mes, uti_total_exist, 'run-b' AS run_id, {_AT} AS dh_ingestao_silver FROM rollup""", "rollup")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselake import catalogs as cat
+from caselake import stages
 from caselake.functions import codes, dates, keys, text
 from caselake.functions.names import sanitize_columns
 from caselake.operators import (
@@ -699,6 +701,12 @@ def context_top(spark, sf):
     ).select("page_id", "news_id", "fonte", "confiabilidade_fonte")
 
 
+@query("news_log")
+def news_log(spark, sf):
+    ready = context.prepare_context(cb.articles(spark, sf), order=["page_id"])
+    return context.news_log_rows(ready, F.lit("run-n"), cb.stamp(RULES_AT))
+
+
 @query("audit_log")
 def audit_log(spark, sf):
     asked = cb.interactions(spark, sf)
@@ -824,3 +832,49 @@ def overwrite_table(spark, sf):
     )
     tables.overwrite(rebuilt, name, root)
     return tables.read_table(spark, name)
+
+
+@query("vault_checked_write")
+def vault_checked_write(spark, sf):
+    path = storage.fresh_dir(spark, "vault")
+    vault = privacy.build_pii_vault(cb.bronze_cases(spark, sf), cb.SALT, "vault-run")
+    tables.write_checked(vault, path, {"hash_caso": F.col("hash_caso").isNotNull()})
+    return tables.read_table(spark, path).select("hash_caso", "nu_cpf_hash", "nm_pacient")
+
+
+def _gold(spark, sf):
+    """Raw cases through the stored history to the published star schema and indicators."""
+    run = uuid.uuid4().hex
+    root = storage.fresh_dir(spark, "stages")
+    bronze_path = f"{root}/bronze"
+    cb.bronze_cases(spark, sf).write.parquet(bronze_path)
+    stages.load_cases(
+        spark, tables.read_table(spark, bronze_path), f"casos_{run}", root, f"{root}/vault", cb.SALT,
+        "d1", cb.stamp(RULES_AT),
+    )
+    current = history.read_current(spark, f"casos_{run}")
+    return stages.build_gold(current, f"g{run}", root, "run-g", cb.as_of(), cb.stamp(RULES_AT))
+
+
+@query("stages_gold")
+def stages_gold(spark, sf):
+    """Every published table of the case stages: rows, and the cases they account for."""
+    gold = _gold(spark, sf)
+    cases = {"fact": "flag_caso_srag", "agg_diarias": "total_casos", "agg_mensais": "total_casos",
+             "orfaos": "orfaos", "quality": "registros_invalidos"}
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("linhas"), F.sum(cases[n]).alias("casos")
+               if n in cases else F.lit(None).cast("long").alias("casos"))
+        .select(F.lit(n).alias("tabela"), "linhas", "casos")
+        for n, df in gold.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query("stages_beds")
+def stages_beds(spark, sf):
+    root = storage.fresh_dir(spark, "stages")
+    beds = stages.build_beds(
+        cb.bronze_beds(spark, sf), f"b{uuid.uuid4().hex}", root, "run-b", cb.stamp(RULES_AT)
+    )
+    return beds["leitos_por_uf"].select("uf", "ano_mes", "uti_total_exist", "run_id", "dh_ingestao_silver")

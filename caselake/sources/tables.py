@@ -8,9 +8,9 @@ the old contents in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,28 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def write_checked(df: DataFrame, path: str, checks: Mapping[str, Column] | None = None) -> int:
+    """Write and verify in one pass; returns the number of rows. A rerun replaces the folder.
+
+    Rows and violations are counted while they are written. No rows, or a row
+    for which a named check does not hold, raises after the write, so the
+    caller must not publish the folder.
+    """
+    checks = checks or {}
+    violated = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"bad_{i}")
+                for i, ok in enumerate(checks.values())]
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *violated)
+    counted.write.mode("overwrite").parquet(path)
+    found = seen.get
+    failed = [f"{name}: {found[f'bad_{i}']} rows" for i, name in enumerate(checks) if found[f"bad_{i}"]]
+    if found["rows"] == 0:
+        failed.append("no rows")
+    if failed:
+        raise ValueError(f"{path}: " + "; ".join(failed))
+    return found["rows"]
+
+
 def overwrite(df: DataFrame, name: str, root: str) -> str:
     """Rebuild table ``name``; returns the folder that now holds it."""
     spark = df.sparkSession
@@ -51,18 +73,27 @@ def location(spark: SparkSession, name: str) -> str:
     return described.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Range-cluster rows for row-group skipping, in ``files`` evenly sized parts.
 
-    A row hash follows the clustering columns in the range key, so one value
+    Without a number the adaptive plan chooses it by size. A row hash follows the clustering columns in the range key, so one value
     that holds most rows is cut over several files instead of filling one.
     """
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartitionByRange(files, *[F.col(c) for c in columns], spread).sortWithinPartitions(
-        *columns
-    )
+    keys = [*[F.col(c) for c in columns], spread]
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*columns)
+
 
+def compact_and_cluster(
+    df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None
+) -> None:
+    """Rewrite to few files in a new folder, clustered when columns are given.
 
-def compact_and_cluster(df: DataFrame, path: str, columns: Sequence[str] = (), files: int = 1) -> None:
-    """Rewrite to ``files`` files in a new folder, clustered when columns are given."""
-    (cluster(df, columns, files) if columns else df.repartition(files)).write.parquet(path)
+    Without a number of files the adaptive plan merges small partitions up to its advisory size.
+    """
+    if columns:
+        compact = cluster(df, columns, files)
+    else:
+        compact = df.repartition(files) if files else df.hint("rebalance")
+    compact.write.parquet(path)

@@ -108,7 +108,7 @@ def dedup_batch(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -
     key = keys.natural_key("nu_notific", [c for c in fallback if c in df.columns])
     return dedup.keep_first(
         df, [key],
-        ["dh_ingestao_bronze", "nome_arquivo_origem", keys.row_fingerprint(content)],
+        ["dh_ingestao_bronze", "nome_arquivo_origem", F.xxhash64(*content)],
     )
 
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from caselake.sources import storage, tables
@@ -93,3 +94,22 @@ def test_append_merges_schemas(spark, tmp_path):
     tables.append(spark.range(1), path)
     tables.append(spark.range(1, 2).withColumn("x", F.lit("v")), path)
     assert sorted((r.id, r.x or "") for r in tables.read_table(spark, path).collect()) == [(0, ""), (1, "v")]
+
+
+def test_checked_write(spark, tmp_path):
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    path = str(tmp_path / "w")
+    with pytest.raises(ValueError, match="k: 1 rows"):
+        tables.write_checked(df, path, {"k": F.col("k").isNotNull()})
+    assert tables.write_checked(df.filter("k is not null"), path, {"k": F.col("k").isNotNull()}) == 1
+    with pytest.raises(ValueError, match="no rows"):
+        tables.write_checked(df.filter("false"), path)
+
+
+def test_compaction_without_a_file_count(spark, tmp_path):
+    path = str(tmp_path / "r")
+    tables.compact_and_cluster(spark.range(0, 1000, 1, 20), path)
+    assert spark.read.parquet(path).count() == 1000 and len(list((tmp_path / "r").glob("*.parquet"))) < 20
+    clustered = str(tmp_path / "s")
+    tables.compact_and_cluster(spark.range(1000), clustered, ["id"])
+    assert spark.read.parquet(clustered).count() == 1000
