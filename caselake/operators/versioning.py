@@ -1,9 +1,9 @@
 """Type-2 history on immutable files.
 
-A merge never windows over a key's rows. Each key is summarised by a partially
-aggregated first/last row, and the summary is joined back, so a key with very
-many rows in one delivery is reduced before the shuffle and its rows can still
-be split by the adaptive skew join. Closed history passes through untouched.
+A merge never windows over a key's rows. Each key is summarised by partially
+aggregated first and last rows, and the summary is joined back in a way the
+adaptive skew join can split, so a key with very many rows in one delivery does
+not end in one task. Closed history passes through untouched.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from caselake.catalogs import FALLBACK_KEY_COLUMNS, TECHNICAL_COLUMNS
 from caselake.functions import keys
 from caselake.operators import dedup
+from caselake.operators.joins import join_summary
 
 CURRENT, START, END = "registro_mais_atual", "dh_inicio_vigencia", "dh_fim_vigencia"
 
@@ -50,7 +51,7 @@ def scd2_first_load(
     position = _position(order, fingerprint)
     last = source.groupBy(key).agg(F.max(position).alias("_last"))
     is_last = position == F.col("_last")
-    return source.join(last, key).select(
+    return join_summary(source, last, key).select(
         *source.columns,
         is_last.alias(CURRENT),
         now.alias(START),
@@ -109,7 +110,7 @@ def scd2_changes(
         enters = F.col("_stored") == 0
         stays_current = F.lit(True)
     return (
-        rows.join(summary, key)
+        join_summary(rows, summary, key)
         .filter(~new | enters)
         .withColumn("_is_current", F.when(new, stays_current).otherwise(~changed))
         .withColumns(

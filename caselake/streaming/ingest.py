@@ -89,8 +89,12 @@ def add_file_lineage(
     df: DataFrame, run_id: str, ingested_at: Column, versions: Mapping[str, str],
     system: str = SOURCE_SYSTEM, date_column: str = "dt_notific",
 ) -> DataFrame:
-    """Stamp ingest time, file, version, run, system and the file's date format."""
-    labels = detect_date_format(df, date_column)
+    """Stamp ingest time, file, version, run, system and the file's date format.
+
+    The labels hold one row per file of a micro-batch, which ``files_per_batch``
+    bounds, so they are broadcast and the rows of a large file are not shuffled.
+    """
+    labels = F.broadcast(detect_date_format(df, date_column))
     stamped = df.withColumns(
         {
             "dh_ingestao_bronze": ingested_at,

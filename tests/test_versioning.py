@@ -153,3 +153,36 @@ def test_latest_run_and_fallbacks(spark):
     assert run(dedup.latest_complete_run(log, min_dimensions=9)) == {"r3"}
     assert run(dedup.latest_complete_run(log, min_dimensions=None)) == {"r1"}
     assert run(dedup.latest_complete_run(log, min_dimensions=3)) == {"r2"}
+
+
+@pytest.fixture()
+def eager_skew_splitting(spark):
+    """Lets small test data count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_key_is_split_over_tasks(spark, eager_skew_splitting):
+    base = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("hash_caso"),
+        F.sha2(F.col("id").cast("string"), 256).alias("hash_registros"),
+        F.timestamp_seconds(F.col("id")).alias("dh_ultima_atualizacao"),
+    )
+    first = versioning.scd2_first_load(base, now(10))
+    rows = first.collect()
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    assert len(rows) == 60000 and sum(r.registro_mais_atual for r in rows) == 40001
