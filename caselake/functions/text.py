@@ -59,6 +59,28 @@ def correct_terms(text: Column | str, corrections: Mapping[str, str]) -> Column:
     return result
 
 
+def fold_case(text: Column | str) -> Column:
+    """Text in one case, in which a Latin-1 letter equals all letters a case-blind match accepts for it.
+
+    Besides lower-casing that takes the dotless i, the long s and the dot that
+    the dotted capital I leaves behind.
+    """
+    return F.translate(F.lower(as_col(text)), "ıſ\u0307", "is")
+
+
+def foldable(term: str) -> bool:
+    """Whether :func:`fold_case` finds every case-blind match of the term (Latin-1, one-to-one letters)."""
+    return all(ch < "\u0100" and ch not in "ßµ" for ch in term)
+
+
+def mentions_any(folded: Column | str, terms: Iterable[str]) -> Column:
+    """True when a text in one case contains one of the terms in any case."""
+    folded, found = as_col(folded), F.lit(False)
+    for term in terms:
+        found = found | folded.contains(fold_case(F.lit(term)))
+    return found
+
+
 def length_problem(
     text: Column | str, low: int = QUESTION_MIN_CHARS, high: int = QUESTION_MAX_CHARS
 ) -> Column:

@@ -42,7 +42,17 @@ def correct_terms(
     df: DataFrame, text: str, corrections: Mapping[str, str] = MISLEADING_TERMS,
     output: str = "texto_corrigido",
 ) -> DataFrame:
-    return df.withColumn(output, tx.correct_terms(text, corrections))
+    """Add the text with each wrong wording replaced in turn, ignoring case.
+
+    The first replacement needs a wording that stands in the original text, so
+    texts without any (one plain search each) skip the regular expressions.
+    """
+    corrected = tx.correct_terms(text, corrections)
+    if not all(tx.foldable(wrong) for wrong in corrections):
+        return df.withColumn(output, corrected)
+    searched = df.withColumn("_folded", tx.fold_case(text))
+    hit = tx.mentions_any("_folded", corrections)
+    return searched.withColumn(output, F.when(hit, corrected).otherwise(F.col(text))).drop("_folded")
 
 
 def length_gate(df: DataFrame, text: str) -> DataFrame:
@@ -54,9 +64,8 @@ def length_gate(df: DataFrame, text: str) -> DataFrame:
 def guard_answers(df: DataFrame, text: str) -> DataFrame:
     """Output guard: blocked (text withheld) when personal numbers occur, else corrected wording."""
     checked = df.withColumn("aprovado", ~tx.matches_any(text, (CPF_BOUNDED, CNS_BOUNDED)))
-    return checked.withColumn(
-        "texto", F.when(F.col("aprovado"), tx.correct_terms(text, MISLEADING_TERMS))
-    )
+    corrected = correct_terms(checked, text, output="_corrected")
+    return corrected.withColumn("texto", F.when(F.col("aprovado"), F.col("_corrected"))).drop("_corrected")
 
 
 def title_mentions(title: Column | str, keywords: Sequence[str]) -> Column:

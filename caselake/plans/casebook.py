@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.operators import normalize, privacy, versioning
+from caselake.sources import tables
 
 SALT = "case-salt"
 AS_OF = "2001-08-11"
@@ -144,7 +145,8 @@ def _written(day: str) -> str:
 
 
 def _case_source(spark: SparkSession, sf_dir: str, people: bool) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").join(case_lines(spark, sf_dir), "o_orderkey", "left")
+    orders = tables.spread(table(spark, sf_dir, "orders"))
+    orders = orders.join(case_lines(spark, sf_dir), "o_orderkey", "left")
     return orders.join(case_people(spark, sf_dir), "o_custkey", "left") if people else orders
 
 
@@ -264,10 +266,14 @@ def bronze_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as articles."""
     html, url = F.col("html"), F.col("url")
-    return table(spark, sf_dir, "pages").select(
+    return tables.spread(table(spark, sf_dir, "pages")).select(
         "page_id",
         F.regexp_extract(html, "<title>(.*?)</title>", 1).alias("titulo"),
         F.regexp_extract(url, "^https?://([^/:?#]+)", 1).alias("fonte"),

@@ -645,7 +645,7 @@ TEXT_CORRECTIONS = {"éti": "E-ti", "the ": "[the] ", **cat.MISLEADING_TERMS}
 
 @query("blocked_terms")
 def blocked_terms(spark, sf):
-    docs = cb.table(spark, sf, "documents").select("doc_id", "text")
+    docs = cb.documents(spark, sf)
     return context.flag_blocked_terms(docs, "text", cat.BLOCKED_TERMS_APP).drop("text")
 
 
@@ -657,14 +657,14 @@ def blocked_questions(spark, sf):
 
 @query("pii_detect")
 def pii_detect(spark, sf):
-    docs = cb.table(spark, sf, "documents").select("doc_id", "text")
+    docs = cb.documents(spark, sf)
     patterns = {"cpf": cat.CPF_BOUNDED, "cpf_solto": cat.CPF_ANYWHERE, "cns": cat.CNS_BOUNDED}
     return context.detect_pii(docs, "text", patterns).drop("text")
 
 
 @query("correct_terms")
 def correct_terms(spark, sf):
-    docs = cb.table(spark, sf, "documents").select("doc_id", "text")
+    docs = cb.documents(spark, sf)
     return context.correct_terms(docs, "text", TEXT_CORRECTIONS).drop("text")
 
 
@@ -676,7 +676,7 @@ def length_gate(spark, sf):
 
 @query("guard_answers")
 def guard_answers(spark, sf):
-    docs = cb.table(spark, sf, "documents").select("doc_id", "text")
+    docs = cb.documents(spark, sf)
     return context.guard_answers(docs, "text").select("doc_id", "aprovado", F.md5("texto").alias("m"))
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselake import catalogs as cat
+from caselake.functions import text as tx
 from caselake.operators import capacity, context, normalize, privacy, star
 
 SALT = "sal"
@@ -159,3 +160,32 @@ def test_output_guard(spark):
     df = spark.createDataFrame([("cpf 123.456.789-00",), ("Ocupação de leitos alta",)], "t string")
     got = [(r.aprovado, r.texto) for r in context.guard_answers(df, "t").collect()]
     assert got == [(False, None), (True, "uso de UTI registrado entre casos SRAG hospitalizados alta")]
+
+
+def test_corrections_equal_the_plain_expression_on_odd_letters(spark):
+    """The search before the replacement never skips a text the replacement would change."""
+    values = [
+        "COBERTURA VACİNAL", "cobertura vacınal", "coberturA vacinal", "ocupação de leitoſ", "OCUPAÇÃO DE UTI",
+        "ocupação de uti e cobertura de VACINAÇÃO", "x", "", None, "coberturȧ vacinal", "Åelo", "åelo",
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string")
+    pairs = {**cat.MISLEADING_TERMS, "åelo": "anel", "kilo": "k", "anel": "elo"}
+    got = context.correct_terms(df, "t", pairs).withColumn("plain", tx.correct_terms("t", pairs)).orderBy("i").collect()
+    assert [r.texto_corrigido for r in got] == [r.plain for r in got]
+    assert sum(r.t != r.plain for r in got) >= 7
+    assert not tx.foldable("straße") and not tx.foldable("ΣΑΣ") and not tx.foldable("µ") and all(map(tx.foldable, cat.MISLEADING_TERMS))
+    sharp = context.correct_terms(df.select(F.lit("STRAẞE").alias("t")), "t", {"straße": "rua"})
+    assert sharp.first().texto_corrigido == sharp.select(tx.correct_terms("t", {"straße": "rua"})).first()[0]
+
+
+def test_folding_covers_every_case_blind_match(spark):
+    """All characters of the basic plane against all Latin letters."""
+    chars = spark.range(1, 0x10000).filter("id < 55296 or id > 57343").select(
+        F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    letters = [ch for ch in map(chr, range(0x100)) if ch.isalpha() and ch not in "ßµªº"]
+    folded = chars.withColumn("f", tx.fold_case("c"))
+    missed = [
+        F.count_if(F.col("c").rlike(rf"(?iu)^\Q{ch}\E$") & ~F.col("f").contains(tx.fold_case(F.lit(ch))))
+        for ch in letters
+    ]
+    assert set(folded.agg(*[m.alias(f"m{i}") for i, m in enumerate(missed)]).first()) == {0}
