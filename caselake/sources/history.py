@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caselake.operators import versioning
 from caselake.sources import tables
@@ -20,10 +21,18 @@ def _newest(spark: SparkSession, name: str) -> str:
     return tables.location(spark, name).rstrip("/").rsplit("delivery=", 1)[1]
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    """Rows below a folder; the current marker is a folder name, so it is read as text."""
-    rows = spark.read.option("mergeSchema", "true").parquet(path)
-    return rows.withColumn(versioning.CURRENT, F.col(versioning.CURRENT).cast("boolean"))
+def _read(spark: SparkSession, path: str, newest_folder: str) -> DataFrame:
+    """Rows below a folder in the schema of the newest delivery.
+
+    A delivery carries every column seen so far, so one file's schema is enough
+    and no other footer is read to plan the scan.
+    """
+    stored = spark.read.parquet(newest_folder).schema
+    fields = [f for f in stored if f.name != versioning.CURRENT]
+    schema = T.StructType(fields).add(versioning.CURRENT, "boolean")
+    if path != newest_folder:
+        schema = schema.add("delivery", "string")
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_delivery(
@@ -49,12 +58,13 @@ def read_history(spark: SparkSession, name: str) -> DataFrame:
     Delivery ids sort in the order of the deliveries; a folder beyond the
     newest complete delivery is left over from an interrupted run.
     """
-    newest = _newest(spark, name)
-    root = tables.location(spark, name).rstrip("/").rsplit("/delivery=", 1)[0]
-    delivery = F.col("delivery").cast("string")
+    folder = tables.location(spark, name).rstrip("/")
+    root, newest = folder.rsplit("/delivery=", 1)
+    delivery = F.col("delivery")
     kept = ~F.col(versioning.CURRENT) | (delivery == newest)
-    return _read(spark, root).filter((delivery <= newest) & kept).drop("delivery")
+    return _read(spark, root, folder).filter((delivery <= newest) & kept).drop("delivery")
 
 
 def read_current(spark: SparkSession, name: str) -> DataFrame:
-    return versioning.current_view(_read(spark, tables.location(spark, name)))
+    folder = tables.location(spark, name).rstrip("/")
+    return versioning.current_view(_read(spark, folder, folder))

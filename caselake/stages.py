@@ -36,6 +36,20 @@ def silver_cases(bronze: DataFrame, salt: str) -> DataFrame:
     return versioning.dedup_case_versions(versioning.fingerprint_cases(typed))
 
 
+def pending_cases(
+    spark: SparkSession, bronze: DataFrame, name: str, stamp_column: str = "dh_ingestao_bronze"
+) -> DataFrame:
+    """Raw rows ingested after everything the history holds, however many runs wait.
+
+    Rows that changed nothing leave no trace in the history and may be offered
+    again; merging them again changes nothing.
+    """
+    if not tables.table_exists(spark, name):
+        return bronze
+    merged_until = history.read_history(spark, name).agg(F.max(stamp_column).alias("t")).scalar()
+    return versioning.unmerged_runs(bronze, merged_until, stamp_column)
+
+
 def load_cases(
     spark: SparkSession, bronze: DataFrame, name: str, root: str, vault_path: str, salt: str,
     delivery: str, now: Column,

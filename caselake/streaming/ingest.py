@@ -171,6 +171,11 @@ def ingest_csv_stream(
     )
 
 
-def read_bronze(spark: SparkSession, sink: str) -> DataFrame:
-    """The raw table: all batches, columns of all layouts."""
-    return spark.read.option("mergeSchema", "true").parquet(sink).drop("stream", "batch")
+def read_bronze(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
+    """The raw table: all batches, columns of all layouts.
+
+    Without a schema the columns are merged from the files; pass the known one
+    to plan large tables without reading their footers.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    return reader.parquet(sink).drop("stream", "batch")

@@ -1,9 +1,11 @@
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from caselake import stages
 from caselake.operators import dedup, versioning
 from caselake.sources import history, storage
 
@@ -186,3 +188,58 @@ def test_hot_key_is_split_over_tasks(spark, eager_skew_splitting):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
     assert len(rows) == 60000 and sum(r.registro_mais_atual for r in rows) == 40001
+
+
+def expected_history(deliveries):
+    """Plain-Python model: per key a list of [content, current, opened, closed]."""
+    state = {}
+    for stamp, items in deliveries:
+        by_key = {}
+        for key, content, day in items:
+            by_key.setdefault(key, []).append((day, content))
+        for key, versions in by_key.items():
+            for _, content in sorted(versions):
+                history_of_key = state.setdefault(key, [])
+                if history_of_key and history_of_key[-1][1]:
+                    if history_of_key[-1][0] == content:
+                        continue
+                    history_of_key[-1][1:] = [False, history_of_key[-1][2], stamp]
+                history_of_key.append([content, True, stamp, None])
+    return sorted((k, *v) for k, rows_of_key in state.items() for v in rows_of_key)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_deliveries_equal_the_model(spark, seed):
+    rng = random.Random(seed)
+    deliveries = []
+    for stamp in (10, 15, 20):
+        items = {}
+        for _ in range(400):
+            key, content = f"k{rng.choice([0, 0, rng.randrange(120)])}", str(rng.randrange(6))
+            items[key, content] = rng.randrange(1, 9)  # one row per key and content
+        deliveries.append((stamp, [(k, c, d) for (k, c), d in items.items()]))
+    got = versioning.scd2_first_load(rows(spark, *deliveries[0][1]), now(10))
+    for stamp, items in deliveries[1:]:
+        got = versioning.scd2_merge(got, rows(spark, *items), now(stamp))
+    as_tuple = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(summary(got), key=as_tuple) == sorted(map(tuple, expected_history(deliveries)), key=as_tuple)
+
+
+def test_pending_cases(spark):
+    name, root = "historia_pendente", storage.fresh_dir(spark, "test-pending")
+    with_stamp = lambda df, day: df.withColumn("dh_ingestao_bronze", now(day))
+    bronze = with_stamp(rows(spark, ("a", "1", 1)), 1).unionByName(with_stamp(rows(spark, ("b", "1", 1)), 5))
+    assert stages.pending_cases(spark, bronze, name).count() == 2
+    history.merge_delivery(spark, name, root, "d1", bronze.filter("hash_caso = 'a'"), now(10))
+    assert [r.hash_caso for r in stages.pending_cases(spark, bronze, name).collect()] == ["b"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_history_gains_columns(spark):
+    name, root = "historia_colunas", storage.fresh_dir(spark, "test-columns")
+    history.merge_delivery(spark, name, root, "d1", rows(spark, ("a", "1", 1)), now(10))
+    wider = rows(spark, ("a", "2", 5)).withColumn("nova", F.lit("n"))
+    history.merge_delivery(spark, name, root, "d2", wider, now(20))
+    got = {r.hash_registros: r.nova for r in history.read_history(spark, name).collect()}
+    assert got == {"1": None, "2": "n"}
+    spark.sql(f"DROP TABLE {name}")
