@@ -87,8 +87,9 @@ def location(spark: SparkSession, name: str) -> str:
 def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Range-cluster rows for row-group skipping, in ``files`` evenly sized parts.
 
-    Without a number the adaptive plan chooses it by size. A row hash follows the clustering columns in the range key, so one value
-    that holds most rows is cut over several files instead of filling one.
+    Without a number the adaptive plan chooses it by size. A row hash follows
+    the clustering columns in the range key, so one value that holds most rows
+    is cut over several files instead of filling one.
     """
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     keys = [*[F.col(c) for c in columns], spread]
