@@ -9,9 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from caselake.plans.oracles import ORACLES as REGISTERED_SQL
+from caselake.plans.queries import REGISTRY
 from tests.compare import database, difference
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = REGISTRY, REGISTERED_SQL
 FAMILIES = (
     "daily_metrics daily_ma7_calendar daily_metrics_by_place monthly_metrics kpi_snapshot kpi_report_long "
     "category_mix place_month_matrix remainder_share parse_date_multi detect_date_format decode_codes "
