@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from caselake.llm import chat, quality, sharding
+from caselake.llm import chat, pii, quality, secrets, sharding
 
 QUERIES = {
+    "op2_secrets": secrets.op2_secrets,
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op6_pii": pii.op6_pii,
     "op7_chat": chat.op7_chat,
 }
 
