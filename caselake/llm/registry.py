@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caselake.llm import chat, pii, quality, secrets, sharding
+from caselake.llm import chat, classifier, neardup, pii, quality, secrets, sharding
 
 QUERIES = {
     "op2_secrets": secrets.op2_secrets,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_pii": pii.op6_pii,
     "op7_chat": chat.op7_chat,
+    "op9_quality_classifier": classifier.op9_quality_classifier,
+    "op10_neardup": neardup.op10_neardup,
 }
 
 ORACLES = {
