@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from caselake.llm import chat, classifier, neardup, pii, quality, secrets, sharding
+from caselake.llm import chat, classifier, decontaminate, neardup, pieces, pii, quality, secrets, sharding
 
 QUERIES = {
     "op2_secrets": secrets.op2_secrets,
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_pieces": pieces.op5_pieces,
     "op6_pii": pii.op6_pii,
     "op7_chat": chat.op7_chat,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_classifier": classifier.op9_quality_classifier,
     "op10_neardup": neardup.op10_neardup,
 }
