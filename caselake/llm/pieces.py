@@ -35,6 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from caselake.llm.common import table
 from caselake.llm.textnp import BASES, RollingHash, slices
@@ -395,7 +396,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, _lists(ids, per)],
                                                  [*[batch.schema.names[i] for i in rest], "token_ids"])
 
-    schema = docs.drop("text").schema.add("token_ids", "array<int>")
+    schema = docs.drop("text").schema.add("token_ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema)
 
 
@@ -417,7 +418,7 @@ def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary()), pa.array(digest)],
                                                  [*part.schema.names, "decoded", "decoded_sha256"])
 
-    schema = encoded.select("*").schema.add("decoded", "binary").add("decoded_sha256", "string")
+    schema = encoded.select("*").schema.add("decoded", T.BinaryType()).add("decoded_sha256", T.StringType())
     return encoded.mapInArrow(run, schema)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from caselake.llm import chat, classifier, decontaminate, neardup, pieces, pii, quality, secrets, sharding
+import corpus_pipeline
+from caselake.llm import (chat, classifier, decontaminate, neardup, pieces, pii, quality, secrets, sharding, suffixes)
 
 QUERIES = {
+    "op1_suffixes": suffixes.op1_suffixes,
     "op2_secrets": secrets.op2_secrets,
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality.op4_quality_rules,
@@ -14,8 +16,11 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_classifier": classifier.op9_quality_classifier,
     "op10_neardup": neardup.op10_neardup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op4_quality_rules": quality.OP4_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
