@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.common import stored, table, text_or_empty
+from caselake.llm.common import packed, stored, table, text_or_empty
 from caselake.llm.textnp import RollingHash, lower_ascii, mix, slices, words
 
 BUCKETS = 1 << 16
@@ -181,10 +181,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with log_weight, noisy_weight and kept."""
+    """doc_id, log_weight, noisy_weight and kept for every row of ``docs``, and the row itself as ``_row``."""
+    docs = packed(docs, "doc_id", "text")
     ratio, cut = fit(docs, labels)
     noisy = with_noise(with_weights(docs, ratio))
-    return noisy.withColumn("kept", F.col("has_words") & (F.col("noisy_weight") >= F.lit(cut))).drop("has_words")
+    return noisy.withColumn("kept", F.col("has_words") & (F.col("noisy_weight") >= F.lit(cut))).drop("has_words", "text")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

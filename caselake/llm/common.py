@@ -28,6 +28,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def packed(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """All columns of ``docs`` as one struct ``_row`` beside the named ones.
+
+    Operators that return whole rows work on this, so their own columns never
+    clash with columns of the caller.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return docs.select(whole, *columns)
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

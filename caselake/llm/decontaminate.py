@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.common import table
+from caselake.llm.common import packed, table
 
 Q = 8
 #: Edits allowed per hundred characters of an item.
@@ -218,6 +218,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 def with_matches(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT) -> DataFrame:
     """``docs`` with ``benchmark_matches``: array of (item_id, distance, shared, end_char), empty when clean."""
     column = "benchmark_matches"
+    docs = docs.drop(column)
     out = docs.withColumn(column, F.array().cast(MATCHES))
     schema = T.StructType(docs.schema.fields + [T.StructField(column, MATCHES)])
     at = docs.columns.index("text")
@@ -247,7 +248,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a benchmark passage."""
-    return with_matches(docs, benchmark).filter(F.size("benchmark_matches") == 0).drop("benchmark_matches")
+    return with_matches(packed(docs, "text"), benchmark).filter(F.size("benchmark_matches") == 0).select("_row.*")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

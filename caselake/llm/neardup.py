@@ -278,9 +278,8 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = found.filter("n_shingles = 0").select("doc_id", "text_hash").distinct().unionByName(
         found.filter("n_shingles > 0").withColumn("_r", F.row_number().over(first)).filter("_r = 1")
         .select("doc_id", "text_hash"))
-    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
-    return docs.join(keys, same, "left_semi")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(text_or_empty("d.text")) == F.col("k.text_hash"))
+    return docs.alias("d").join(kept.alias("k"), same, "left_semi")
 
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -383,6 +383,7 @@ def _lists(ids: np.ndarray, per: np.ndarray) -> pa.Array:
 
 def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` without its text, with ``token_ids``."""
+    docs = docs.drop("token_ids")
     held = docs.sparkSession.sparkContext.broadcast(load(path))
     at = docs.columns.index("text")
     rest = [i for i in range(len(docs.columns)) if i != at]
@@ -402,6 +403,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes its ``token_ids`` stand for, and their SHA-256 in hex."""
+    encoded = encoded.drop("decoded", "decoded_sha256")
     held = encoded.sparkSession.sparkContext.broadcast(load(path))
     at = encoded.columns.index("token_ids")
 

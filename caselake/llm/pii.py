@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm.common import table, text_or_empty
+from caselake.llm.common import packed, table, text_or_empty
 
 KEY = "pii-key"
 ROUNDS = 10
@@ -145,7 +145,8 @@ def _equals(kind: str) -> Callable[[Column], Column]:
 
 
 def pseudonymize_text(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced, and ``n_<kind>`` counts added."""
+    """``docs`` with personal data in ``text`` replaced, and ``n_<kind>`` counts added (or put in place of columns so named)."""
+    names, docs = docs.columns, packed(docs, "text")
     text = text_or_empty()
     has = text.rlike("[0-9@]") & text.rlike(PATTERN)
     none = F.array().cast("array<string>")
@@ -155,8 +156,9 @@ def pseudonymize_text(docs: DataFrame, key: str = KEY) -> DataFrame:
     pieces = F.split(text, PATTERN, -1)
     whole = F.array_join(F.transform(pieces, lambda piece, i: F.concat(piece, F.coalesce(F.get("_new", i), F.lit("")))), "")
     counts = {f"n_{k}": F.size(F.filter("_kinds", _equals(k))).cast("long") for k in KINDS}
-    return (df.withColumn("text", F.when(F.size("_found") > 0, whole).otherwise(F.col("text")))
-            .withColumns(counts).drop("_found", "_kinds", "_new"))
+    new = F.when(F.size("_found") > 0, whole).otherwise(F.col("text")).alias("text")
+    rest = [new if c == "text" else F.col(f"_row.`{c}`") for c in names if c not in counts]
+    return df.select(*rest, *[n.alias(c) for c, n in counts.items()])
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,10 +65,10 @@ def with_rates(measured: DataFrame) -> DataFrame:
     """Adds the measures that have adaptive cutoffs; whole numbers, NULL without words."""
     return measured.selectExpr(
         "*",
-        "100 * word_chars DIV n_words AS word_length",
-        "1000 * n_symbols DIV n_words AS symbol_rate",
-        "1000 * n_dup_lines DIV n_lines AS dup_line_rate",
-        "1000 * n_repeat_words DIV n_words AS repeat_rate")
+        "100 * word_chars DIV nullif(n_words, 0) AS word_length",
+        "1000 * n_symbols DIV nullif(n_words, 0) AS symbol_rate",
+        "1000 * n_dup_lines DIV nullif(n_lines, 0) AS dup_line_rate",
+        "1000 * n_repeat_words DIV nullif(n_words, 0) AS repeat_rate")
 
 
 def bucket(value: str) -> Column:

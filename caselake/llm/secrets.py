@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm.common import stored, table, text_or_empty
+from caselake.llm.common import packed, stored, table, text_or_empty
 
 #: kind, pattern, group of the value, least characters of the value; in the order of listing.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -129,12 +129,14 @@ def mask_secrets(docs: DataFrame, owner: Column, repository: Column) -> DataFram
 
     Only documents that hold a candidate are joined with the verdicts.
     """
-    verdicts = by_document(scan(docs, owner, repository)).select("doc_id", "text_hash", "secret_hashes")
+    names = docs.columns
+    rows = packed(docs, "doc_id", "text", owner.alias("_owner"), repository.alias("_repository"))
+    verdicts = by_document(scan(rows, F.col("_owner"), F.col("_repository"))).select("doc_id", "text_hash", "secret_hashes")
     holds = F.lit(False)
     for gate in GATES.values():
         holds = holds | text_or_empty().rlike(gate)
-    rest = docs.filter(~holds)
-    held = find(docs.filter(holds)).withColumn("text_hash", F.xxhash64(text_or_empty()))
+    rest = rows.filter(~holds)
+    held = find(rows.filter(holds)).withColumn("text_hash", F.xxhash64(text_or_empty()))
     secrets = F.transform(F.filter("candidates", lambda s: F.array_contains("secret_hashes", F.sha2(s["value"], 256))),
                           lambda s: F.struct((-F.length(s["value"])).alias("n"), s["value"].alias("value")))
     clean = F.aggregate(F.sort_array(F.array_distinct(secrets)), F.col("text"),
@@ -142,7 +144,8 @@ def mask_secrets(docs: DataFrame, owner: Column, repository: Column) -> DataFram
     masked = (held.alias("a").join(verdicts.alias("b"), _same(), "left")
               .select("a.*", F.coalesce("b.secret_hashes", F.array().cast("array<string>")).alias("secret_hashes"))
               .withColumn("text", F.when(F.col("text").isNotNull(), clean)))
-    return rest.unionByName(masked.select(*docs.columns))
+    both = rest.select("_row", "text").unionByName(masked.select("_row", "text"))
+    return both.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in names])
 
 
 def owners(docs: DataFrame) -> tuple[Column, Column]:

@@ -12,7 +12,7 @@ from caselake.llm.common import stored, table
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the labelled good texts keeps."""
     judged = classifier.classify(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    return judged.filter("kept").select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets that are no widely copied examples masked; ``n_chars`` follows the text."""
     masked = secrets.mask_secrets(docs, *secrets.owners(docs))
-    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    n_chars = F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
