@@ -281,12 +281,7 @@ SOURCE_RELIABILITY = {
 }
 RELIABILITY_DEFAULT = "Média"
 TITLE_KEYWORDS = ("srag", "gripe", "influenza", "surto", "epidemia", "síndrome respiratória")
-ARTICLE_WIDTHS = {"titulo": 200, "fonte": 100, "data_publicacao": 50, "url": 500, "resumo": 500}
 ARTICLE_CAP = 20
-AUDIT_WIDTHS = {
-    "pergunta": 500, "tools_acionadas": 1000, "queries_executadas": 2000,
-    "fontes_noticias_consultadas": 1000, "resposta_resumida": 500, "guardrails_acionados": 500,
-}
 STATUS_OK = "SUCESSO"
 STATUS_BLOCKED = "BLOQUEADO"
 SOURCE_SYSTEM = "Open DATASUS - SIVEP-Gripe"

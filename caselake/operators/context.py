@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.catalogs import (
-    ARTICLE_WIDTHS, AUDIT_WIDTHS, BLOCKED_TERMS_AGENT, CNS_BOUNDED, CPF_BOUNDED, MISLEADING_TERMS,
+    BLOCKED_TERMS_AGENT, CNS_BOUNDED, CPF_BOUNDED, MISLEADING_TERMS,
     RELIABILITY_DEFAULT, SOURCE_RELIABILITY, STATUS_BLOCKED, STATUS_OK,
 )
 from caselake.functions import text as tx
@@ -75,22 +75,19 @@ def title_mentions(title: Column | str, keywords: Sequence[str]) -> Column:
 def prepare_context(
     articles: DataFrame,
     order: Sequence[str | Column],
-    widths: Mapping[str, int] = ARTICLE_WIDTHS,
     keywords: Sequence[str] | None = None,
     cap: int | None = None,
 ) -> DataFrame:
-    """Articles for the news log: one per address, stable id, source reliability, column widths.
+    """Articles for the news log: one per whole address, stable id, source reliability, whole texts.
 
-    Keyword filter, id and reliability look at the whole values; only the
-    stored columns are cut to the widths of the log. ``cap`` keeps the first
-    articles in ``order`` (a top-k).
+    ``cap`` is for callers that want a top-k: the first articles in ``order``.
     """
     if keywords:
         articles = articles.filter(title_mentions("titulo", keywords))
     unique = dedup.keep_first(articles, ["url"], [*order, F.xxhash64(*articles.columns)])
     if cap is not None:
         unique = unique.orderBy(*order, "url").limit(cap)
-    ready = unique.withColumns(
+    return unique.withColumns(
         {
             "news_id": F.md5("url"),
             "confiabilidade_fonte": tx.source_reliability(
@@ -99,9 +96,6 @@ def prepare_context(
             "usado_no_relatorio": F.lit(True),
         }
     )
-    return ready.withColumns(
-        {c: F.substring(c, 1, n) for c, n in widths.items() if c in articles.columns}
-    )
 
 
 def news_log_rows(context: DataFrame, run_id: Column, executed_at: Column) -> DataFrame:
@@ -118,20 +112,19 @@ def news_log_rows(context: DataFrame, run_id: Column, executed_at: Column) -> Da
 
 def audit_rows(
     interactions: DataFrame, run_id: Column, executed_at: Column, identity: Sequence[str],
-    widths: Mapping[str, int] = AUDIT_WIDTHS,
 ) -> DataFrame:
-    """Audit log rows in one schema.
+    """Audit log rows in one schema, texts and lists whole.
 
     Expects ``usuario``, ``pergunta``, ``resposta``, ``bloqueado`` and the list
     columns ``tools``, ``queries``, ``fontes``, ``guardrails``; lists are
     written as JSON text. The id is a hash of run and identity columns, so a
     repeated write is recognisable.
     """
-    ready = interactions.select(
+    return interactions.select(
         F.sha2(F.concat_ws("||", run_id, *[F.col(c).cast("string") for c in identity]), 256)
         .alias("audit_id"),
         run_id.alias("run_id"),
-        F.substring("usuario", 1, 100).alias("usuario"),
+        "usuario",
         "pergunta",
         F.to_json("tools").alias("tools_acionadas"),
         F.to_json("queries").alias("queries_executadas"),
@@ -141,4 +134,3 @@ def audit_rows(
         F.when(F.col("bloqueado"), STATUS_BLOCKED).otherwise(STATUS_OK).alias("status_execucao"),
         executed_at.alias("dh_execucao"),
     )
-    return ready.withColumns({c: F.substring(c, 1, n) for c, n in widths.items()})

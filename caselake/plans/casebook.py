@@ -145,7 +145,7 @@ def _written(day: str) -> str:
 
 
 def _case_source(spark: SparkSession, sf_dir: str, people: bool) -> DataFrame:
-    orders = tables.spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     orders = orders.join(case_lines(spark, sf_dir), "o_orderkey", "left")
     return orders.join(case_people(spark, sf_dir), "o_custkey", "left") if people else orders
 
@@ -267,17 +267,17 @@ def bronze_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as articles."""
     html, url = F.col("html"), F.col("url")
-    return tables.spread(table(spark, sf_dir, "pages")).select(
+    return table(spark, sf_dir, "pages").select(
         "page_id",
-        F.regexp_extract(html, "<title>(.*?)</title>", 1).alias("titulo"),
+        F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1).alias("titulo"),
         F.regexp_extract(url, "^https?://([^/:?#]+)", 1).alias("fonte"),
-        F.regexp_replace(url, "[?#].*$", "").alias("url"),
+        "url",
         html.alias("resumo"),
     )
 

@@ -308,7 +308,7 @@ _oracle("place_month_matrix", "SELECT id_mn_resi, " + ", ".join(
     f"count(*) FILTER (strftime(dt_sin_pri, '%Y-%m') = strftime(ref - INTERVAL {k} MONTH, '%Y-%m')) AS m{k:02d}"
     for k in range(12)) + """, count(*) AS total
 FROM cases, refd, first_month WHERE strftime(dt_sin_pri, '%Y-%m') >= fm
-GROUP BY 1 ORDER BY total DESC, 1 LIMIT 27""", "cases", "refd", "first_month")
+GROUP BY 1""", "cases", "refd", "first_month")
 _oracle("peak_day", f"""
 SELECT {_day('d')} AS data_referencia, total_casos FROM daily0 ORDER BY total_casos DESC, d LIMIT 1""", "daily0")
 _oracle("trailing_30d", f"""
@@ -743,37 +743,35 @@ SELECT doc_id, {_hits['cpf']} + {_hits['cns']} = 0 AS aprovado,
 FROM documents""")
 
 _cte("articles", r"""
-SELECT page_id, coalesce(regexp_extract(html, '<title>(.*?)</title>', 1), '') AS titulo,
-  regexp_extract(url, '^https?://([^/:?#]+)', 1) AS fonte, regexp_replace(url, '[?#].*$', '') AS url, html AS resumo
+SELECT page_id, coalesce(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS titulo,
+  regexp_extract(url, '^https?://([^/:?#]+)', 1) AS fonte, url, html AS resumo
 FROM pages""")
 _cte("unique_articles", """
 SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""", "articles")
 _reliability = "CASE " + " ".join(
     f"WHEN contains(url, '{d}') THEN '{v}'" for d, v in cat.SOURCE_RELIABILITY.items()) + " ELSE 'Média' END"
 _oracle("prepare_context", f"""
-SELECT page_id, substr(titulo, 1, 200) AS titulo, substr(fonte, 1, 100) AS fonte, substr(url, 1, 500) AS url,
-  substr(resumo, 1, 500) AS resumo, md5(url) AS news_id, {_reliability} AS confiabilidade_fonte,
+SELECT page_id, titulo, fonte, url, resumo, md5(url) AS news_id, {_reliability} AS confiabilidade_fonte,
   true AS usado_no_relatorio FROM unique_articles""", "unique_articles")
 _words = (*cat.TITLE_KEYWORDS, "reti", "eau")
 _oracle("context_by_keyword", f"""
-SELECT page_id, md5(url) AS news_id, substr(titulo, 1, 200) AS titulo FROM articles
+SELECT page_id, md5(url) AS news_id, titulo FROM articles
 WHERE {_first_term('titulo', _words)} IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""", "articles")
 _oracle("context_top", f"""
 SELECT page_id, md5(url) AS news_id, fonte, {_reliability} AS confiabilidade_fonte FROM unique_articles
 ORDER BY page_id LIMIT {cat.ARTICLE_CAP}""", "unique_articles")
 _oracle("news_log", f"""
-SELECT md5(url) AS news_id, 'run-n' AS run_id, '' AS termo_busca, substr(titulo, 1, 200) AS titulo,
-  substr(fonte, 1, 100) AS fonte, '' AS data_publicacao, substr(url, 1, 500) AS url, substr(resumo, 1, 500) AS resumo,
+SELECT md5(url) AS news_id, 'run-n' AS run_id, '' AS termo_busca, titulo, fonte, '' AS data_publicacao, url, resumo,
   {_reliability} AS confiabilidade_fonte, true AS usado_no_relatorio, '{q.RULES_AT} 00:00:00' AS dh_consulta
 FROM unique_articles""", "unique_articles")
 _blocked = _first_term("p.text", cat.BLOCKED_TERMS_APP) + " IS NOT NULL"
 _oracle("audit_log", f"""
 SELECT sha256('run-a||' || p.conv_id || '||' || p.turn) AS audit_id, 'run-a' AS run_id,
-  'user-' || p.conv_id AS usuario, substr(p.text, 1, 500) AS pergunta,
+  'user-' || p.conv_id AS usuario, p.text AS pergunta,
   CASE WHEN {_blocked} THEN '[]' ELSE '["indicadores","series"]' END AS tools_acionadas,
   CASE WHEN {_blocked} THEN '[]' ELSE '["kpi"]' END AS queries_executadas, '[]' AS fontes_noticias_consultadas,
-  substr(coalesce(r.text, ''), 1, 500) AS resposta_resumida,
+  coalesce(r.text, '') AS resposta_resumida,
   CASE WHEN {_blocked} THEN '["G1_input_bloqueado"]' ELSE '[]' END AS guardrails_acionados,
   CASE WHEN {_blocked} THEN 'BLOQUEADO' ELSE 'SUCESSO' END AS status_execucao, {_AT} AS dh_execucao
 FROM conversations p LEFT JOIN conversations r
@@ -821,7 +819,7 @@ FROM delivered GROUP BY ALL""", "delivered")
 _oracle("compact_and_cluster", f"SELECT * REPLACE ({_day('o_orderdate')} AS o_orderdate) FROM orders")
 _oracle("overwrite_table", f"""
 SELECT DISTINCT sk_classificacao, {_case('evolucao', cat.OUTCOME_LABELS)} AS desfecho
-FROM cases WHERE classi_fin IN (1, 5)""", "cases")
+FROM cases""", "cases")
 _oracle("vault_checked_write", f"""
 SELECT DISTINCT {_salted('nu_notific')} AS hash_caso, {_salted('nu_cpf')} AS nu_cpf_hash, nm_pacient
 FROM raw_cases""", "raw_cases")

@@ -827,7 +827,7 @@ def overwrite_table(spark, sf):
     """A table rebuilt from its own contents with another schema."""
     name, root = f"dim_{uuid.uuid4().hex}", storage.fresh_dir(spark, "tables")
     tables.overwrite(star.class_dimension(cb.cases(spark, sf)), name, root)
-    rebuilt = tables.read_table(spark, name).filter(F.col("classi_fin").isin(1, 5)).select(
+    rebuilt = tables.read_table(spark, name).select(
         "sk_classificacao", F.col("descricao_evolucao").alias("desfecho")
     )
     tables.overwrite(rebuilt, name, root)

@@ -21,17 +21,6 @@ def read_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input of very few splits to all cores.
-
-    One small file is one task however many cores there are; heavy row work
-    behind it would run on one. An input with splits for more than half of the
-    cores, such as any large table, is returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
