@@ -3,8 +3,10 @@
 The stream discovers files (paths only, contents unread) and remembers them in
 its checkpoint; each micro-batch then reads its files with the batch CSV
 reader, once per header layout, so columns are matched by name and may appear,
-move or disappear between files. A micro-batch owns one folder that a replay
-overwrites, which makes the sink idempotent.
+move or disappear between files. A micro-batch owns its folders, which a replay
+overwrites, so the sink is idempotent. Rows are written once as they come; the
+format label of a file is taken from the one date column of what was written,
+and duplicates are removed over all batches of a run when the table is read.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import csv
 import hashlib
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +35,22 @@ PATH = "_caminho_arquivo"
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Header line of each file of one micro-batch, by one job that stops after a line per file."""
-    heads = [spark.read.text(p).limit(1).select(F.lit(p).alias("path"), "value") for p in paths]
-    return {r.path: r.value for r in reduce(DataFrame.unionAll, heads).collect()}
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of one file, read through the file system Spark uses for it."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def _first_lines(spark: SparkSession, paths: list[str], readers: int = 32) -> dict[str, str]:
+    """Header line of each file of one micro-batch, read side by side; an empty file has none."""
+    with ThreadPoolExecutor(min(readers, len(paths))) as pool:
+        heads = pool.map(lambda p: _first_line(spark, p), paths)
+        return {p: h for p, h in zip(paths, heads) if h is not None}
 
 
 def header_names(header: str, sep: str = ";") -> list[str]:
@@ -87,15 +102,10 @@ def detect_date_format(
 
 def add_file_lineage(
     df: DataFrame, run_id: str, ingested_at: Column, versions: Mapping[str, str],
-    system: str = SOURCE_SYSTEM, date_column: str = "dt_notific",
+    system: str = SOURCE_SYSTEM,
 ) -> DataFrame:
-    """Stamp ingest time, file, version, run, system and the file's date format.
-
-    The labels hold one row per file of a micro-batch, which ``files_per_batch``
-    bounds, so they are broadcast and the rows of a large file are not shuffled.
-    """
-    labels = F.broadcast(detect_date_format(df, date_column))
-    stamped = df.withColumns(
+    """Stamp ingest time, version, run and system; the file's name and path are there already."""
+    return df.withColumns(
         {
             "dh_ingestao_bronze": ingested_at,
             "run_id": F.lit(run_id),
@@ -103,31 +113,21 @@ def add_file_lineage(
             "versao_arquivo_origem": file_version(PATH, versions),
         }
     )
-    return stamped.join(labels, PATH, "left").drop(PATH)
 
 
-def dedup_batch(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
-    """One row per natural key inside a batch; equal ingest times are settled by file and content."""
-    content = [c for c in df.columns if c not in LINEAGE_COLUMNS]
+def dedup_runs(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
+    """One row per run and natural key, settled by file and content.
+
+    Neither the order of files nor the limits of micro-batches take part.
+    """
+    content = [c for c in df.columns if c not in (*LINEAGE_COLUMNS, "stream", "batch", PATH)]
     key = keys.natural_key("nu_notific", [c for c in fallback if c in df.columns])
     return dedup.keep_first(
-        df, [key],
-        ["dh_ingestao_bronze", "nome_arquivo_origem", F.xxhash64(*content)],
+        df, ["run_id", key],
+        ["nome_arquivo_origem", "versao_arquivo_origem", F.xxhash64(*content), "dh_ingestao_bronze"],
     )
 
 
-def bronze_rows(
-    files: DataFrame, run_id: str, ingested_at: Column, versions: Mapping[str, str],
-    system: str = SOURCE_SYSTEM,
-) -> DataFrame:
-    """File rows to raw-table rows: lineage, batch deduplication, mandatory columns checked."""
-    rows = dedup_batch(add_file_lineage(files, run_id, ingested_at, versions, system))
-    missing = [c for c in LINEAGE_COLUMNS if c not in rows.columns]
-    if missing:
-        raise ValueError(f"mandatory columns missing: {missing}")
-    return rows
-
-
 def ingest_csv_stream(
     spark: SparkSession,
     directory: str,
@@ -151,9 +151,13 @@ def ingest_csv_stream(
         session = batch.sparkSession
         paths = [r.path for r in batch.collect()]  # at most files_per_batch paths
         files = read_files(session, paths) if paths else None
-        if files is not None:
-            target = f"{sink}/stream={stream_key}/batch={batch_id}"
-            bronze_rows(files, run_id, stamp, versions, system).write.mode("overwrite").parquet(target)
+        if files is None:
+            return
+        own = f"stream={stream_key}/batch={batch_id}"
+        rows = add_file_lineage(files, run_id, stamp, versions, system)
+        rows.write.mode("overwrite").parquet(f"{sink}/rows/{own}")
+        written = session.read.parquet(f"{sink}/rows/{own}")  # of which one column is read
+        detect_date_format(written).write.mode("overwrite").parquet(f"{sink}/formats/{own}")
 
     discovered = (
         spark.readStream.format("binaryFile").schema(_LISTING)
@@ -171,11 +175,23 @@ def ingest_csv_stream(
     )
 
 
-def read_bronze(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
-    """The raw table: all batches, columns of all layouts.
+def read_bronze(
+    spark: SparkSession, sink: str, schema: T.StructType | None = None, run_id: str | None = None
+) -> DataFrame:
+    """The raw table: columns of all layouts, one row per run and natural key.
 
-    Without a schema the columns are merged from the files; pass the known one
-    to plan large tables without reading their footers.
+    Duplicates are removed here, over all batches of a run, so the rows do not
+    depend on how many files a batch took. ``run_id`` reads one run. Without a
+    schema the columns are merged from the files; pass the known one to plan
+    large tables without reading their footers.
     """
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    return reader.parquet(sink).drop("stream", "batch")
+    rows = reader.parquet(f"{sink}/rows")
+    if run_id is not None:
+        rows = rows.filter(F.col("run_id") == run_id)
+    formats = spark.read.parquet(f"{sink}/formats")
+    kept = dedup_runs(rows).join(formats, ["stream", "batch", PATH], "left").drop("stream", "batch", PATH)
+    missing = [c for c in LINEAGE_COLUMNS if c not in kept.columns]
+    if missing:
+        raise ValueError(f"mandatory columns missing: {missing}")
+    return kept

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,12 +46,29 @@ def test_incremental_files_new_columns_and_restart(spark, tmp_path):
     assert run(spark, tmp_path, "r3").count() == 4
 
 
-def test_small_batches_give_the_same_rows(spark, tmp_path):
+def test_rows_do_not_depend_on_the_batch_size(spark, tmp_path):
     for i in range(5):
-        drop(tmp_path / "in", f"f{i}.csv", f"NU_NOTIFIC;DT_NOTIFIC\n{i};2025-01-15\n")
-    got = run(spark, tmp_path, "r", files_per_batch=2)
-    assert sorted(r.nu_notific for r in got.collect()) == ["0", "1", "2", "3", "4"]
-    assert len(list((tmp_path / "out").glob("stream=*/batch=*"))) == 3
+        drop(tmp_path / "in", f"f{i}.csv", f"NU_NOTIFIC;DT_NOTIFIC;X\n{i};2025-01-15;{i}\n7;2025-01-16;{i % 2}\n;2025-01-17;\n")
+    found = []
+    for size, batches in ((1, 5), (2, 3), (256, 1)):
+        query = ingest.ingest_csv_stream(
+            spark, str(tmp_path / "in"), str(tmp_path / f"out{size}"), str(tmp_path / f"chk{size}"), "r", VERSIONS,
+            ingested_at=F.lit("2025-01-01").cast("timestamp"), files_per_batch=size)
+        query.awaitTermination()
+        got = ingest.read_bronze(spark, str(tmp_path / f"out{size}"))
+        found.append(sorted(map(repr, got.collect())))
+        assert len(list((tmp_path / f"out{size}").glob("rows/stream=*/batch=*"))) == batches
+    assert len(found[0]) == 7 and found[0] == found[1] == found[2]
+
+
+def test_headers_of_many_files(spark, tmp_path):
+    for i in range(256):
+        drop(tmp_path / "in", f"f{i:03d}.csv", f"A;C{i % 3}\n1;2\n")
+    paths = [str(p) for p in sorted((tmp_path / "in").glob("*.csv"))]
+    start = time.perf_counter()
+    heads = ingest._first_lines(spark, paths)
+    assert time.perf_counter() - start < 3
+    assert [heads[p] for p in paths[:3]] == ["A;C0", "A;C1", "A;C2"] and len(heads) == 256
 
 
 def test_rows_without_identifier_are_deduplicated_by_content_key(spark, tmp_path):
