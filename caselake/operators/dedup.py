@@ -54,13 +54,14 @@ def latest_complete_run(
     """Rows of the newest run that covers enough dimensions.
 
     Runs below ``min_dimensions`` are used only when no run reaches it; with
-    ``None`` the newest among the runs of widest coverage is taken.
+    ``None`` the newest among the runs of widest coverage is taken. The log is
+    read once: coverage is taken per run, and the best run is a rank whose group
+    limit leaves one run per partition before the rows meet.
     """
-    runs = log.groupBy(run).agg(
-        F.countDistinct(dimension).alias("n_dims"), F.max(stamp).alias("last_stamp")
-    )
-    coverage = F.col("n_dims") if min_dimensions is None else F.col("n_dims") >= min_dimensions
-    best = runs.agg(
-        F.max_by(F.col(run), F.struct(coverage.alias("c"), "last_stamp", run)).alias("run")
-    )
-    return log.filter(F.col(run) == best.scalar())
+    per_run = Window.partitionBy(run)
+    covered = F.size(F.collect_set(dimension).over(per_run))
+    coverage = covered if min_dimensions is None else (covered >= min_dimensions).cast("int")
+    marked = log.withColumns({"_coverage": coverage, "_last": F.max(stamp).over(per_run)})
+    order = [F.desc("_coverage"), F.desc("_last"), F.desc(run)]
+    best = marked.withColumn("_rank", F.rank().over(Window.orderBy(*order))).filter("_rank = 1")
+    return best.drop("_coverage", "_last", "_rank")

@@ -838,3 +838,4 @@ UNION ALL SELECT 'quality', count(*), CAST(sum(registros_invalidos) AS BIGINT) F
         "cases", "daily0", "monthly", "kpi", "gold_log")
 _oracle("stages_beds", f"""
 SELECT uf, ano_mes, uti_total_exist, 'run-b' AS run_id, {_AT} AS dh_ingestao_silver FROM rollup""", "rollup")
+ORACLES["scd2_table_close_only"] = ORACLES["scd2_close_only"]

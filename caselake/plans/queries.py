@@ -455,6 +455,16 @@ def scd2_table_roundtrip(spark, sf):
     return history.read_history(spark, name)
 
 
+@query("scd2_table_close_only")
+def scd2_table_close_only(spark, sf):
+    """The stored history in the mode that closes only; an older delivery sent again at the end."""
+    first, second = cb.deliveries(spark, sf)
+    name, root = f"casos_{uuid.uuid4().hex}", storage.fresh_dir(spark, "scd2")
+    for delivery, source in ((cb.FIRST_DELIVERY_BEFORE, first), (DELIVERY, second), (cb.FIRST_DELIVERY_BEFORE, first)):
+        history.merge_delivery(spark, name, root, f"d{delivery}", source, cb.stamp(delivery), mode="close_only")
+    return history.read_history(spark, name)
+
+
 @query("latest_run")
 def latest_run(spark, sf):
     return dedup.latest_run(cb.bronze_cases(spark, sf)).select("nu_notific", "run_id")
@@ -558,15 +568,8 @@ def gold_log(spark, sf):
     )
 
 
-def _stored(log: DataFrame) -> DataFrame:
-    """The log written once to its history and read back, as its consumers see it."""
-    path = storage.fresh_dir(log.sparkSession, "quality-log")
-    tables.append(log, path)
-    return tables.read_table(log.sparkSession, path)
-
-
 def _complete(spark, sf):
-    return dedup.latest_complete_run(_stored(quality_log(spark, sf)))
+    return dedup.latest_complete_run(quality_log(spark, sf))
 
 
 @query("quality_log_by_run")
@@ -581,12 +584,12 @@ def latest_complete_run(spark, sf):
 
 @query("latest_covering_gold_run")
 def latest_covering_gold_run(spark, sf):
-    return dedup.latest_complete_run(_stored(gold_log(spark, sf)), min_dimensions=None)
+    return dedup.latest_complete_run(gold_log(spark, sf), min_dimensions=None)
 
 
 @query("inherit_alerts")
 def inherit_alerts(spark, sf):
-    log = _stored(quality_log(spark, sf)).filter(F.col("tabela_avaliada") == "casos")
+    log = quality_log(spark, sf).filter(F.col("tabela_avaliada") == "casos")
     return quality.inherit_alerts(log, F.lit("run-g"), cb.stamp(RULES_AT))
 
 
@@ -809,7 +812,7 @@ def file_lineage(spark, sf):
 def compact_and_cluster(spark, sf):
     path = storage.fresh_dir(spark, "clustered")
     orders = cb.table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    tables.compact_and_cluster(orders, path, ["o_orderdate", "o_orderstatus"], files=4)
+    tables.compact_and_cluster(orders, path, ["o_orderdate", "o_orderstatus"])
     return tables.read_table(spark, path)
 
 
@@ -817,9 +820,9 @@ def compact_and_cluster(spark, sf):
 def append_log(spark, sf):
     """Two quality runs appended to one history."""
     path = storage.fresh_dir(spark, "log")
-    tables.append(_case_log(spark, sf, quality.completeness(cat.COMPLETENESS_COLUMNS)), path)
-    tables.append(_case_log(spark, sf, quality.date_orders(cat.DATE_ORDERS)), path)
-    return tables.read_table(spark, path)
+    tables.append(_case_log(spark, sf, quality.completeness(cat.COMPLETENESS_COLUMNS)), path, "completude")
+    tables.append(_case_log(spark, sf, quality.date_orders(cat.DATE_ORDERS)), path, "consistencia")
+    return tables.read_log(spark, path)
 
 
 @query("overwrite_table")

@@ -1,70 +1,103 @@
 """Versioned case history on Parquet, one folder per delivery.
 
-``<root>/<name>/delivery=<id>/registro_mais_atual=<bool>/`` holds the current
-rows after that delivery and the rows it closed. Closed rows are never written
-again: the history is every folder's closed part plus the newest current part.
-The catalogue entry names the newest complete delivery; it moves only after the
-folder is written, so an interrupted delivery is simply run again.
+``<root>/<name>/delivery=<id>/registro_mais_atual=<bool>/`` holds what one
+delivery changed: the rows it closed and the versions it opened. Nothing written
+is ever written again, so a delivery costs its own size. A stored current row
+that a later delivery closed is recognised by its closed copy (same key, start
+and content). The catalogue entry lists the merged deliveries and is replaced in
+one call after the folder is complete; folders it does not list are left over
+from interrupted runs and are not read. ``read_history`` and ``read_current``
+give the rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselake.operators import versioning
-from caselake.sources import tables
-
-
-def _newest(spark: SparkSession, name: str) -> str:
-    return tables.location(spark, name).rstrip("/").rsplit("delivery=", 1)[1]
+from caselake.sources import storage, tables
 
 
-def _read(spark: SparkSession, path: str, newest_folder: str) -> DataFrame:
-    """Rows below a folder in the schema of the newest delivery.
-
-    A delivery carries every column seen so far, so one file's schema is enough
-    and no other footer is read to plan the scan.
-    """
-    stored = spark.read.parquet(newest_folder).schema
-    fields = [f for f in stored if f.name != versioning.CURRENT]
-    schema = T.StructType(fields).add(versioning.CURRENT, "boolean")
-    if path != newest_folder:
-        schema = schema.add("delivery", "string")
-    return spark.read.schema(schema).parquet(path)
+def merged_deliveries(spark: SparkSession, name: str) -> list[str]:
+    """Ids merged so far, oldest first; none for an unknown history."""
+    if not tables.table_exists(spark, name):
+        return []
+    return tables.entry_properties(spark, name)["merged"].split(",")
 
 
 def merge_delivery(
     spark: SparkSession, name: str, root: str, delivery: str, source: DataFrame, now: Column,
-    **options,
+    mode: str = "versions", **options,
 ) -> None:
-    """Apply one delivery; applying the newest one again changes nothing."""
-    folder = f"{root.rstrip('/')}/{name}/delivery={delivery}"
-    if tables.table_exists(spark, name):
-        if _newest(spark, name) == delivery:
-            return
-        current = read_current(spark, name)
-        changes = versioning.scd2_changes(current, source, now, **options)
+    """Apply one delivery. An id that has been merged changes nothing; an id older than the newest is refused.
+
+    The delivery is computed once, into the shared folder, and merged from there.
+    """
+    merged = merged_deliveries(spark, name)
+    if delivery in merged:
+        return
+    if "," in delivery or "'" in delivery:
+        raise ValueError(f"a delivery id has no comma or quote: {delivery!r}")
+    if merged and delivery < merged[-1]:
+        raise ValueError(f"delivery {delivery} is older than the merged {merged[-1]}")
+    prepared = storage.fresh_dir(spark, "delivery")
+    source.write.parquet(prepared)
+    source = spark.read.schema(source.schema).parquet(prepared)
+    if merged:
+        known = read_history(spark, name).filter(~F.col(versioning.CURRENT)) if mode == "close_only" else None
+        changes = versioning.scd2_changes(
+            read_current(spark, name), source, now, mode=mode, known=known, only_changes=True, **options)
     else:
         changes = versioning.scd2_first_load(source, now, **options)
+    folder = f"{root.rstrip('/')}/{name}/delivery={delivery}"
     changes.write.mode("overwrite").partitionBy(versioning.CURRENT).parquet(folder)
-    tables.point_at(spark, name, folder)
+    _enter(spark, name, {
+        "root": f"{root.rstrip('/')}/{name}", "merged": ",".join([*merged, delivery]), "columns": _columns(changes)})
+    storage.Folder(spark, prepared).delete()
 
 
-def read_history(spark: SparkSession, name: str) -> DataFrame:
-    """All versions: older current snapshots are skipped by partition pruning.
+def _enter(spark: SparkSession, name: str, entry: dict[str, str]) -> None:
+    """Replaces the catalogue entry in one call: where the history is, what is merged, which columns it has."""
+    properties = ", ".join(f"'{k}' = '{v}'" for k, v in entry.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS "
+              f"SELECT '{entry['root']}' AS root, '{entry['merged']}' AS merged")
 
-    Delivery ids sort in the order of the deliveries; a folder beyond the
-    newest complete delivery is left over from an interrupted run.
-    """
-    folder = tables.location(spark, name).rstrip("/")
-    root, newest = folder.rsplit("/delivery=", 1)
-    delivery = F.col("delivery")
-    kept = ~F.col(versioning.CURRENT) | (delivery == newest)
-    return _read(spark, root, folder).filter((delivery <= newest) & kept).drop("delivery")
+
+def _columns(df: DataFrame) -> str:
+    """Stored columns as a schema text: all columns of all deliveries so far."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != versioning.CURRENT)
+
+
+def _deliveries(spark: SparkSession, name: str) -> DataFrame:
+    """Rows of all merged deliveries; folders that are not listed are pruned."""
+    entry = tables.entry_properties(spark, name)
+    schema = T._parse_datatype_string(entry["columns"]).add(versioning.CURRENT, "boolean").add("delivery", "string")
+    rows = spark.read.schema(schema).parquet(entry["root"])
+    return rows.filter(F.col("delivery").isin(entry["merged"].split(",")))
+
+
+def _open(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
+    """Current rows that no later delivery has closed; only key, start and content of closed rows are compared."""
+    closed = rows.filter(~F.col(versioning.CURRENT)).select(key, versioning.START, fingerprint, "delivery").alias("c")
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (key, versioning.START, fingerprint)]
+    later = F.col("c.delivery") > F.col("o.delivery")
+    return versioning.current_view(rows).alias("o").join(closed, reduce(lambda a, b: a & b, same) & later, "left_anti")
+
+
+def read_history(
+    spark: SparkSession, name: str, key: str = "hash_caso", fingerprint: str = "hash_registros"
+) -> DataFrame:
+    """All versions: closed rows, and current rows that no delivery has closed since."""
+    rows = _deliveries(spark, name)
+    closed = rows.filter(~F.col(versioning.CURRENT))
+    return closed.unionByName(_open(rows, key, fingerprint)).drop("delivery")
 
 
-def read_current(spark: SparkSession, name: str) -> DataFrame:
-    folder = tables.location(spark, name).rstrip("/")
-    return versioning.current_view(_read(spark, folder, folder))
+def read_current(
+    spark: SparkSession, name: str, key: str = "hash_caso", fingerprint: str = "hash_registros"
+) -> DataFrame:
+    return _open(_deliveries(spark, name), key, fingerprint).drop("delivery")

@@ -27,5 +27,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """New folder name under the shared folder; nothing is ever reused or deleted."""
+    """New folder name under the shared folder; names are never used again."""
     return f"{shared_dir(spark).rstrip('/')}/caselake/{name}-{uuid.uuid4().hex}"
+
+
+class Folder:
+    """A folder in whatever file system holds it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def delete(self) -> None:
+        self.system.delete(self.place, True)
+
+    def replace(self, path: str) -> None:
+        """Moves the folder to ``path``; what is there goes first."""
+        target = Folder(self.spark, path)
+        target.delete()
+        self.system.mkdirs(target.place.getParent())
+        if not self.system.rename(self.place, target.place):
+            raise OSError(f"could not publish {path}")

@@ -13,11 +13,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.sources import storage
 
-def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """Catalogue table by name, or a Parquet folder by path (columns added over time are merged)."""
+
+def read_table(spark: SparkSession, source: str, merge_schema: bool = False) -> DataFrame:
+    """Catalogue table by name, or a Parquet folder by path.
+
+    ``merge_schema`` unites columns added over time; it reads the footers of all files.
+    """
     if "/" in source:
-        return spark.read.option("mergeSchema", "true").parquet(source)
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(source)
     return spark.table(source)
 
 
@@ -25,30 +30,43 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add a block of rows to a log."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append(df: DataFrame, path: str, block: str, partition_by: Sequence[str] = ()) -> None:
+    """Add a block of rows to a log; a block of the same name (a repeated run) is replaced.
+
+    Every block owns a folder, so a retry never doubles rows.
+    """
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/block={block}")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All blocks of a log, columns added over time merged."""
+    return read_table(spark, path, merge_schema=True).drop("block")
 
 
 def write_checked(df: DataFrame, path: str, checks: Mapping[str, Column] | None = None) -> int:
-    """Write and verify in one pass; returns the number of rows. A rerun replaces the folder.
+    """Write to a folder beside ``path``, verify in the same pass, then publish; returns the number of rows.
 
     Rows and violations are counted while they are written. No rows, or a row
-    for which a named check does not hold, raises after the write, so the
-    caller must not publish the folder.
+    for which a named check does not hold, raises: ``path`` keeps what it held
+    and the rejected rows are deleted.
     """
     checks = checks or {}
     violated = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"bad_{i}")
                 for i, ok in enumerate(checks.values())]
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *violated)
-    counted.write.mode("overwrite").parquet(path)
+    parent, _, leaf = path.rstrip("/").rpartition("/")
+    aside = f"{parent}/_{leaf}-{uuid.uuid4().hex}"  # readers skip names that begin with an underscore
+    counted.write.parquet(aside)
     found = seen.get
     failed = [f"{name}: {found[f'bad_{i}']} rows" for i, name in enumerate(checks) if found[f"bad_{i}"]]
     if found["rows"] == 0:
         failed.append("no rows")
+    folder = storage.Folder(df.sparkSession, aside)
     if failed:
+        folder.delete()
         raise ValueError(f"{path}: " + "; ".join(failed))
+    folder.replace(path)
     return found["rows"]
 
 
@@ -61,16 +79,20 @@ def overwrite(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
-def point_at(spark: SparkSession, name: str, location: str) -> None:
-    """Catalogue entry of an external table; dropping the old entry keeps its files."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=location, source="parquet")
+def point_at(spark: SparkSession, name: str, location: str, **properties: str) -> None:
+    """Catalogue entry of a folder, replaced in one call: readers find the old contents or the new ones."""
+    given = {"location": location, **properties}
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in given.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT * FROM parquet.`{location}`")
+
+
+def entry_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def location(spark: SparkSession, name: str) -> str:
-    """Folder a catalogue table points at."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-    return described.filter(F.col("col_name") == "Location").first()["data_type"]
+    """Folder a catalogue entry points at."""
+    return entry_properties(spark, name)["location"]
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:

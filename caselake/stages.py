@@ -79,7 +79,7 @@ def build_gold(
 
     The fact is deduplicated and written once; the indicators read the stored fact.
     """
-    def write(name: str, df: DataFrame, n: int | None = 1) -> DataFrame:
+    def write(name: str, df: DataFrame, n: int | None = None) -> DataFrame:
         stamped = stamp(df, run_id, now, "dh_ingestao_gold")
         return publish(stamped, name, f"{prefix}_{name}", root, n)
 
@@ -108,7 +108,7 @@ def build_beds(
     raw: DataFrame, prefix: str, root: str, run_id: str, now: Column, files: int | None = None
 ) -> dict[str, DataFrame]:
     """Facility-month rows and their roll-up; no roll-up row may lack its place."""
-    def write(name: str, df: DataFrame, n: int | None = 1) -> DataFrame:
+    def write(name: str, df: DataFrame, n: int | None = None) -> DataFrame:
         stamped = stamp(df, run_id, now, "dh_ingestao_silver")
         return publish(stamped, name, f"{prefix}_{name}", root, n)
 

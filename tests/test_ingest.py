@@ -105,24 +105,40 @@ def test_table_rebuilt_from_itself(spark, tmp_path):
     tables.overwrite(tables.read_table(spark, name).withColumn("n", F.col("id") + 1), name, str(tmp_path))
     assert tables.table_exists(spark, name)
     assert sorted(r.n for r in tables.read_table(spark, name).collect()) == [1, 2, 3]
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
 
 
-def test_append_merges_schemas(spark, tmp_path):
+def test_log_blocks_merge_schemas_and_repeat(spark, tmp_path):
     path = str(tmp_path / "log")
-    tables.append(spark.range(1), path)
-    tables.append(spark.range(1, 2).withColumn("x", F.lit("v")), path)
-    assert sorted((r.id, r.x or "") for r in tables.read_table(spark, path).collect()) == [(0, ""), (1, "v")]
+    for _ in range(2):  # a repeated run
+        tables.append(spark.range(1), path, "a")
+        tables.append(spark.range(1, 2).withColumn("x", F.lit("v")), path, "b")
+    assert sorted((r.id, r.x or "") for r in tables.read_log(spark, path).collect()) == [(0, ""), (1, "v")]
 
 
 def test_checked_write(spark, tmp_path):
     df = spark.createDataFrame([("a",), (None,)], "k string")
-    path = str(tmp_path / "w")
+    path = str(tmp_path / "w" / "one")
+    whole = {"k": F.col("k").isNotNull()}
+    assert tables.write_checked(df.filter("k is not null"), path, whole) == 1
     with pytest.raises(ValueError, match="k: 1 rows"):
-        tables.write_checked(df, path, {"k": F.col("k").isNotNull()})
-    assert tables.write_checked(df.filter("k is not null"), path, {"k": F.col("k").isNotNull()}) == 1
+        tables.write_checked(df, path, whole)
     with pytest.raises(ValueError, match="no rows"):
         tables.write_checked(df.filter("false"), path)
+    assert [r.k for r in spark.read.parquet(path).collect()] == ["a"]  # a rejected write leaves what was there
+    assert [p.name for p in (tmp_path / "w").iterdir()] == ["one"]
+
+
+def test_readers_during_a_rebuild_find_the_table(spark, tmp_path):
+    name = "tabela_lida"
+    tables.overwrite(spark.range(3), name, str(tmp_path))
+    before = tables.read_table(spark, name)
+    tables.overwrite(spark.range(5), name, str(tmp_path))
+    assert before.count() == 3 and tables.read_table(spark, name).count() == 5
+    with pytest.raises(Exception):
+        tables.overwrite(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), name, str(tmp_path))
+    assert tables.read_table(spark, name).count() == 5
+    spark.sql(f"DROP VIEW {name}")
 
 
 def test_compaction_without_a_file_count(spark, tmp_path):

@@ -133,7 +133,7 @@ def test_stored_history(spark):
     }).write.partitionBy("registro_mais_atual").parquet(f"{root}/{name}/delivery=d4")
     assert summary(history.read_history(spark, name)) == expected
     assert {r.hash_registros for r in history.read_current(spark, name).collect()} == {"3", "1"}
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
 
 
 def test_keep_first_reduces_hot_keys_before_the_shuffle(spark):
@@ -225,6 +225,44 @@ def test_random_deliveries_equal_the_model(spark, seed):
     assert sorted(summary(got), key=as_tuple) == sorted(map(tuple, expected_history(deliveries)), key=as_tuple)
 
 
+def test_sending_an_older_delivery_again_changes_nothing(spark):
+    name, root = "historia_repetida", storage.fresh_dir(spark, "test-replay")
+    first, second = rows(spark, ("a", "1", 1), ("b", "1", 1)), rows(spark, ("a", "2", 5), ("c", "1", 5))
+    history.merge_delivery(spark, name, root, "d1", first, now(10))
+    history.merge_delivery(spark, name, root, "d3", second, now(20))
+    expected = summary(history.read_history(spark, name))
+    history.merge_delivery(spark, name, root, "d1", first, now(30))
+    history.merge_delivery(spark, name, root, "d3", second, now(31))
+    assert summary(history.read_history(spark, name)) == expected
+    assert ("a", "1", False, 10, 20) in expected and ("a", "2", True, 20, None) in expected
+    with pytest.raises(ValueError, match="older"):
+        history.merge_delivery(spark, name, root, "d2", second, now(28))
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_stored_close_only(spark):
+    name, root = "historia_fecha", storage.fresh_dir(spark, "test-close")
+    deliveries = [[("a", "1", 1), ("b", "1", 1)], [("a", "2", 5), ("c", "1", 5)], [("a", "3", 6), ("b", "1", 6), ("d", "1", 6)]]
+    got = versioning.scd2_first_load(rows(spark, *deliveries[0]), now(10))
+    for i, items in enumerate(deliveries):
+        history.merge_delivery(spark, name, root, f"d{i}", rows(spark, *items), now(10 + i), mode="close_only")
+        if i:
+            got = versioning.scd2_merge(got, rows(spark, *items), now(10 + i), mode="close_only")
+    assert summary(history.read_history(spark, name)) == summary(got)
+    assert {r.hash_caso for r in history.read_current(spark, name).collect()} == {"b", "c", "d"}
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_a_delivery_writes_its_own_size(spark):
+    name, root = "historia_delta", storage.fresh_dir(spark, "test-delta")
+    for n in (500, 5000):
+        history.merge_delivery(spark, f"{name}{n}", root, "d1", rows(spark, *[(f"k{i}", "1", 1) for i in range(n)]), now(10))
+        history.merge_delivery(spark, f"{name}{n}", root, "d2", rows(spark, ("k1", "2", 5), ("new", "1", 5), ("k2", "1", 5)), now(20))
+        assert spark.read.parquet(f"{root}/{name}{n}/delivery=d2").count() == 3  # k1 closed and opened, one new
+        assert history.read_current(spark, f"{name}{n}").count() == n + 1
+        spark.sql(f"DROP VIEW {name}{n}")
+
+
 def test_pending_cases(spark):
     name, root = "historia_pendente", storage.fresh_dir(spark, "test-pending")
     with_stamp = lambda df, day: df.withColumn("dh_ingestao_bronze", now(day))
@@ -232,7 +270,7 @@ def test_pending_cases(spark):
     assert stages.pending_cases(spark, bronze, name).count() == 2
     history.merge_delivery(spark, name, root, "d1", bronze.filter("hash_caso = 'a'"), now(10))
     assert [r.hash_caso for r in stages.pending_cases(spark, bronze, name).collect()] == ["b"]
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
 
 
 def test_history_gains_columns(spark):
@@ -242,4 +280,4 @@ def test_history_gains_columns(spark):
     history.merge_delivery(spark, name, root, "d2", wider, now(20))
     got = {r.hash_registros: r.nova for r in history.read_history(spark, name).collect()}
     assert got == {"1": None, "2": "n"}
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
