@@ -43,19 +43,21 @@ class Template:
 
 
 TEMPLATE = Template()
-#: Characters with which a mark begins or ends; escaped in texts and roles by a backslash.
+#: Characters with which a mark begins or ends, and the letters that stand for them after a backslash.
+_LETTERS = {"\\": "\\", "#": "h", "<": "l", "[": "b", "]": "e"}
 _MARKS = re.compile(r"[\\#<\[\]]")
-_ESCAPED = re.compile(r"\\(.)", re.DOTALL)
+_ESCAPED = re.compile(r"\\([\\hlbe])")
+_CHARACTERS = {letter: character for character, letter in _LETTERS.items()}
 SEGMENTS = "conv_id long, turn_no long, segment int, text string, loss boolean, valid boolean"
 TURNS = "conv_id long, turn_no long, role string, text string, loss boolean, chars long, valid boolean"
 
 
 def escape(text: str) -> str:
-    return _MARKS.sub(r"\\\g<0>", text)
+    return _MARKS.sub(lambda m: "\\" + _LETTERS[m[0]], text)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
+    return _ESCAPED.sub(lambda m: _CHARACTERS[m[1]], text) if "\\" in text else text
 
 
 def header(role: str, template: Template = TEMPLATE) -> str:
@@ -77,8 +79,7 @@ def split_turn(whole: str, template: Template = TEMPLATE) -> tuple[str, str]:
             head = known
             break
     else:
-        head = re.match(re.escape(template.other[0]) + r"(?:\\.|[^\\\]])*" + re.escape(template.other[1]),
-                        whole, re.DOTALL).group()
+        head = whole[:whole.index(template.other[1]) + len(template.other[1])]  # roles hold no bare bracket
     if not whole.endswith(template.end):
         raise ValueError("a formatted turn has lost its end mark")
     return role_of(head, template), unescape(whole[len(head):len(whole) - len(template.end)])

@@ -118,7 +118,8 @@ def judge(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> Data
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    inside = [F.col(m) <= F.col(f"max_{m}") for m in FLOORS] + [F.col(m) >= F.col(f"min_{m}") for m in CEILINGS]
+    # Cutoffs are edges of buckets, so the value's own bucket is compared.
+    inside = [bucket(m) <= F.col(f"max_{m}") for m in FLOORS] + [bucket(m) >= F.col(f"min_{m}") for m in CEILINGS]
     within = F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(False))
     return (rated.join(limits, same, "left").withColumn("base_failed", base_failed)
             .withColumn("kept", ~F.col("base_failed") & within))
@@ -138,7 +139,10 @@ def _sql() -> str:
     lows = ", ".join(
         f"least(max(q1 - {SPREAD} * (q3 - q1)) FILTER (WHERE measure = '{m}'), {v}) AS min_{m}" for m, v in CEILINGS.items())
     rows = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in FLOORS)
-    inside = " AND ".join([f"{m} <= max_{m}" for m in FLOORS] + [f"{m} >= min_{m}" for m in CEILINGS])
+    def edge(m: str) -> str:
+        return f"((CAST({m} AS BIGINT) >> greatest(0, length(bin({m})) - 6)) << greatest(0, length(bin({m})) - 6))"
+
+    inside = " AND ".join([f"{edge(m)} <= max_{m}" for m in FLOORS] + [f"{edge(m)} >= min_{m}" for m in CEILINGS])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i

@@ -42,8 +42,8 @@ def edit_map(before: np.ndarray, sizes: np.ndarray, shards: int) -> np.ndarray:
     """The next version of a slot map: shard loads near equal, few slots moved.
 
     ``before[slot]`` is the present shard (outside 0..shards-1: not placed),
-    ``sizes[slot]`` its bytes. Shards above the mean give up their smallest
-    slots, the free slots go to the lightest shards in order of size, and the
+    ``sizes[slot]`` its bytes. Shards above the mean give up the largest slots
+    that leave them there, the free slots go to the lightest shards in order of size, and the
     heaviest and the lightest shard then exchange slots while that evens them.
     """
     owner = np.where((before >= 0) & (before < shards), before, -1)
@@ -51,11 +51,10 @@ def edit_map(before: np.ndarray, sizes: np.ndarray, shards: int) -> np.ndarray:
     target = sizes.sum() / shards
     for shard in np.flatnonzero(loads > target):
         mine = np.flatnonzero((owner == shard) & (sizes > 0))
-        for slot in mine[np.argsort(sizes[mine], kind="stable")]:
-            if loads[shard] <= target:
-                break
-            owner[slot] = -1
-            loads[shard] -= sizes[slot]
+        for slot in mine[np.argsort(-sizes[mine], kind="stable")]:
+            if loads[shard] - sizes[slot] >= target:
+                owner[slot] = -1
+                loads[shard] -= sizes[slot]
     free = np.flatnonzero(owner < 0)
     for slot in free[np.argsort(-sizes[free], kind="stable")]:
         shard = int(np.argmin(loads))
