@@ -189,6 +189,15 @@ BED_SUMS = {
     "uti_coronariana_sus": "uti_coronariana_sus",
 }
 
+MIX_SUMS = {
+    "covid": "total_covid", "influenza": "total_influenza", "outro_virus": "total_outro_virus",
+    "srag_nao_esp": "total_srag_nao_especificado", "obitos": "total_obitos", "evolucao": "total_casos_com_evolucao",
+    "total_casos": "total_casos", "uti": "total_uti", "hosp": "total_hospitalizados",
+}
+MIX_SHARES = {"taxa_mortalidade_pct": ("obitos", "evolucao"), "taxa_uso_uti_pct": ("uti", "hosp")}
+COVERAGE_NAMES = ("meses_cobertos", "primeiro_mes", "ultimo_mes")
+COVERAGE_SUMS = {"total_uti_exist": "uti_total_exist"}
+
 # --- fixed values: data quality --------------------------------------------------
 SEVERITY_LIMITS = ((0.80, "CRÍTICO"), (0.90, "ALTO"), (0.95, "MÉDIO"), (0.99, "BAIXO"))
 SEVERITY_OK = "ACEITÁVEL"

@@ -174,6 +174,12 @@ def _entry(rule: Rule, total: Column, valid: Column) -> Column:
 
 
 def _single_pass(df: DataFrame, rules: Sequence[Rule], as_of: Column, by: Sequence[str]) -> DataFrame:
+    """All rules in one aggregate over one scan.
+
+    Distinct keys are counted in the same pass: a row is repeated once per key
+    rule with the key's columns only, and reduced by key before the shuffle, so
+    a key that most rows share costs one row per map task.
+    """
     derived = dict(d for rule in rules for d in getattr(rule, "derived", ()))
     aggregates, entries = [F.count(F.lit(1)).alias("_n")], []
     for i, rule in enumerate(rules):
@@ -185,6 +191,10 @@ def _single_pass(df: DataFrame, rules: Sequence[Rule], as_of: Column, by: Sequen
             aggregates.append(F.max(rule.date).alias(name))
             fresh = F.datediff(as_of, F.col(name)) <= rule.limit
             entries.append(_entry(rule, F.lit(1), F.coalesce(fresh, F.lit(False)).cast("int")))
+        elif isinstance(rule, UniqueRule):
+            complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
+            aggregates += [F.count_if(complete).alias(f"{name}t"), F.count_distinct(*rule.keys).alias(f"{name}d")]
+            entries.append(_entry(rule, F.col(f"{name}t"), F.col(f"{name}d")))
         else:
             aggregates += [F.sum(rule.numerator).alias(f"{name}n"),
                            F.sum(rule.denominator).alias(f"{name}d")]
@@ -194,15 +204,6 @@ def _single_pass(df: DataFrame, rules: Sequence[Rule], as_of: Column, by: Sequen
     return grouped.select(*by, F.inline(F.array(*entries)))
 
 
-def _uniqueness(df: DataFrame, rule: UniqueRule, by: Sequence[str]) -> DataFrame:
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
-    per_key = df.filter(complete).groupBy(*by, *rule.keys).agg(F.count(F.lit(1)).alias("_c"))
-    counted = per_key.groupBy(*by).agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("_t"), F.count(F.lit(1)).alias("_d")
-    )
-    return counted.select(*by, F.inline(F.array(_entry(rule, F.col("_t"), F.col("_d")))))
-
-
 def run_rules(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -218,10 +219,7 @@ def run_rules(
     ``executed_at`` stamps all rules of a run alike.
     """
     by = [by_run] if by_run else []
-    single = [r for r in rules if not isinstance(r, UniqueRule)]
-    parts = [_single_pass(df, single, as_of, by)] if single else []
-    parts += [_uniqueness(df, r, by) for r in rules if isinstance(r, UniqueRule)]
-    checked = reduce(DataFrame.unionByName, parts)
+    checked = _single_pass(df, rules, as_of, by)
     total, valid = F.col("total_registros"), F.col("registros_validos")
     invalid = total - valid
 

@@ -16,6 +16,7 @@ from caselake.catalogs import (
     PREGNANCY_LABELS, RACE_LABELS, SCHOOLING_LABELS, SEX_LABELS,
 )
 from caselake.functions import codes, dates, keys
+from caselake.functions.names import ensure_column
 from caselake.operators import dedup
 from caselake.operators.metrics import reference_date
 
@@ -80,22 +81,29 @@ def generate_calendar(df: DataFrame, as_of: Column, day: str = "dt_sin_pri") ->
     )
 
 
-def place_dimension(df: DataFrame, attributes: Sequence[str] = ("id_mn_resi",)) -> DataFrame:
-    """Residence places. Attributes that vary within a place keep their smallest value.
+PLACE_ATTRIBUTES = ("id_mn_resi", "sg_uf_inte", "co_mu_inte", "id_mn_inte")
 
-    Cases are reduced to distinct combinations by hash before the minimum of text columns, which
-    Spark can only take on sorted rows.
+
+def place_dimension(df: DataFrame, attributes: Sequence[str] = PLACE_ATTRIBUTES) -> DataFrame:
+    """Residence places with the name and the hospital place of one of their cases.
+
+    Where cases of a place differ, the attributes come together from the case whose values sort
+    first (absent ones before all others), so every row is a combination that occurs. Cases are
+    reduced to distinct combinations by hash before that. Attributes a source lacks read NULL.
     """
+    for a in attributes:
+        df = ensure_column(df, a, "string")
     combos = dedup.distinct_projection(
         df,
         [F.coalesce(F.col("sg_uf_residencia"), F.lit("n/a")).alias("sg_uf"),
          F.coalesce(F.col("co_mun_res"), F.lit("n/a")).alias("co_mun_residencia"), *attributes],
     )
     places = combos.groupBy("sg_uf", "co_mun_residencia").agg(
-        *[F.min(a).alias(a) for a in attributes]
+        F.min_by(F.struct(*attributes), F.array(*[F.coalesce(F.col(a).cast("string"), F.lit("")) for a in attributes]))
+        .alias("_one")
     )
     return places.select(
-        keys.surrogate_key("sg_uf", "co_mun_residencia").alias("sk_localidade"), "*"
+        keys.surrogate_key("sg_uf", "co_mun_residencia").alias("sk_localidade"), "sg_uf", "co_mun_residencia", "_one.*"
     )
 
 

@@ -124,6 +124,9 @@ PERSON_CODES = {
     "co_mun_not": "cast(n_nationkey AS string)",
     "co_mun_res": "cast(n_nationkey AS string)",
     "id_mn_resi": "n_name",
+    "sg_uf_inte": "CASE WHEN has_a = 1 THEN r_name END",
+    "co_mu_inte": "CASE WHEN has_a = 1 THEN cast((n_nationkey + n_lines) % 25 AS string) END",
+    "id_mn_inte": "CASE WHEN has_a = 1 THEN concat(n_name, '-', cast(n_lines AS string)) END",
     "cs_sexo": "CASE c_mktsegment WHEN 'MACHINERY' THEN 'M' WHEN 'FURNITURE' THEN 'f ' "
                "WHEN 'HOUSEHOLD' THEN 'I' WHEN 'BUILDING' THEN 'X' END",
     "nu_idade_n": "cast(cast(floor(c_acctbal / 100) AS int) AS string)",
@@ -225,6 +228,10 @@ def deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 VERSION_FREE = ("dh_ultima_atualizacao", "hash_caso")
 
 
+# line number -> intensive-care ward whose beds such line items stand for
+BED_WARDS = {1: "PEDIATRICO", 2: "QUEIMADO", 3: "CORONARIANA"}
+
+
 def bronze_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw facility-month rows: one per supplier and month of its line items, headers as delivered."""
     place = (
@@ -247,6 +254,10 @@ def bronze_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
         beds((flag == "R") & (status == "F")).alias("UTI_TOTAL_SUS"),
         beds((flag == "R") & (F.col("l_quantity") > 25)).alias("UTI_ADULTO_EXIST"),
         beds((flag == "R") & (F.col("l_quantity") <= 25)).alias("UTI_NEONATAL_EXIST"),
+        beds((flag == "R") & (F.col("l_quantity") > 25) & (status == "F")).alias("UTI_ADULTO_SUS"),
+        beds((flag == "R") & (F.col("l_quantity") <= 25) & (status == "F")).alias("UTI_NEONATAL_SUS"),
+        *[beds((flag == "R") & (F.col("l_linenumber") == line) & own).alias(f"UTI_{ward}_{kind}")
+          for line, ward in BED_WARDS.items() for kind, own in (("EXIST", F.lit(True)), ("SUS", status == "F"))],
     )
     supplier = table(spark, sf_dir, "supplier").join(
         place, F.col("s_nationkey") == F.col("n_nationkey")
@@ -262,7 +273,8 @@ def bronze_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_acctbal") > 5000, "M").when(F.col("s_acctbal") > 2000, "E")
         .when(F.col("s_acctbal") > 0, "D").alias("TP_GESTAO"),
         "LEITOS_EXISTENTES", "LEITOS_SUS", "UTI_TOTAL_EXIST", "UTI_TOTAL_SUS",
-        "UTI_ADULTO_EXIST", "UTI_NEONATAL_EXIST",
+        "UTI_ADULTO_EXIST", "UTI_NEONATAL_EXIST", "UTI_ADULTO_SUS", "UTI_NEONATAL_SUS",
+        *[f"UTI_{ward}_{kind}" for ward in BED_WARDS.values() for kind in ("EXIST", "SUS")],
     )
 
 

@@ -125,6 +125,9 @@ RAW_COLUMNS = {
     "co_mun_not": "CAST(n_nationkey AS VARCHAR)",
     "co_mun_res": "CAST(n_nationkey AS VARCHAR)",
     "id_mn_resi": "n_name",
+    "sg_uf_inte": "CASE WHEN has_a THEN r_name END",
+    "co_mu_inte": "CASE WHEN has_a THEN CAST((n_nationkey + n_lines) % 25 AS VARCHAR) END",
+    "id_mn_inte": "CASE WHEN has_a THEN n_name || '-' || CAST(n_lines AS VARCHAR) END",
     "cs_sexo": "CASE c_mktsegment WHEN 'MACHINERY' THEN 'M' WHEN 'FURNITURE' THEN 'f ' "
                "WHEN 'HOUSEHOLD' THEN 'I' WHEN 'BUILDING' THEN 'X' END",
     "nu_idade_n": "CAST(CAST(floor(c_acctbal / 100) AS INTEGER) AS VARCHAR)",
@@ -258,7 +261,7 @@ _win = "dt_sin_pri BETWEEN ref - {a} AND ref - {b}"
 
 
 def _wsum(flag: str, a: int, b: int = 0) -> str:
-    return f"CAST(coalesce(sum({flag}) FILTER ({_win.format(a=a, b=b)}), 0) AS INTEGER)"
+    return f"CAST(coalesce(sum({flag}) FILTER ({_win.format(a=a, b=b)}), 0) AS BIGINT)"
 
 
 _cte("kpi", f"""
@@ -328,6 +331,11 @@ SELECT ano_mes, total_casos, total_hospitalizados, total_casos - total_hospitali
 _oracle("frequency_file_format", """
 SELECT 'cases_' || o_orderstatus || '.csv' AS nome_arquivo_origem,
   'run-' || CAST(year(o_orderdate) AS VARCHAR) AS run_id, count(*) AS total FROM orders GROUP BY 1, 2""")
+_oracle("frequency_file_format_version", """
+SELECT 'cases_' || o_orderstatus || '.csv' AS nome_arquivo_origem,
+  CASE o_orderstatus WHEN 'O' THEN 'ISO_DATETIME_UTC' ELSE 'ISO_DATE' END AS formato_data_origem,
+  CASE o_orderstatus WHEN 'F' THEN 'F-1995' WHEN 'O' THEN 'O-1996' ELSE 'desconhecida' END AS versao_arquivo_origem,
+  count(*) AS total FROM orders GROUP BY ALL""")
 _oracle("frequency_by_year",
         "SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS total FROM orders GROUP BY 1")
 
@@ -408,7 +416,9 @@ SELECT DISTINCT {_day('dt_sin_pri')} AS data, sk_tempo, CAST(year(dt_sin_pri) AS
 FROM cases, refd WHERE dt_sin_pri IS NOT NULL""", "cases", "refd")
 _oracle("dim_place", """
 SELECT sk_localidade, coalesce(sg_uf_residencia, 'n/a') AS sg_uf, coalesce(co_mun_res, 'n/a') AS co_mun_residencia,
-  min(id_mn_resi) AS id_mn_resi FROM cases GROUP BY 1, 2, 3""", "cases")
+  id_mn_resi, sg_uf_inte, co_mu_inte, id_mn_inte FROM cases
+QUALIFY row_number() OVER (PARTITION BY sk_localidade ORDER BY coalesce(id_mn_resi, ''), coalesce(sg_uf_inte, ''),
+  coalesce(co_mu_inte, ''), coalesce(id_mn_inte, '')) = 1""", "cases")
 _oracle("dim_profile", f"""
 SELECT DISTINCT sk_perfil, coalesce(cs_sexo, 'n/a') AS cs_sexo, faixa_etaria, cs_raca, cs_gestant, cs_escol_n,
   {_case('cs_sexo', cat.SEX_LABELS)} AS descricao_sexo, {_case('cs_raca', cat.RACE_LABELS)} AS descricao_raca,
@@ -450,13 +460,23 @@ SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS comp, upper(trim(any_val
   CAST(count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'F') AS INTEGER) AS uti_total_sus,
   CAST(count(*) FILTER (l_returnflag = 'R' AND l_quantity > 25) AS INTEGER) AS uti_adulto_exist,
   CAST(count(*) FILTER (l_returnflag = 'R' AND l_quantity <= 25) AS INTEGER) AS uti_neonatal_exist,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_quantity > 25 AND l_linestatus = 'F') AS INTEGER) AS uti_adulto_sus,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_quantity <= 25 AND l_linestatus = 'F') AS INTEGER) AS uti_neonatal_sus,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 1) AS INTEGER) AS uti_pediatrico_exist,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 1 AND l_linestatus = 'F') AS INTEGER) AS uti_pediatrico_sus,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 2) AS INTEGER) AS uti_queimado_exist,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 2 AND l_linestatus = 'F') AS INTEGER) AS uti_queimado_sus,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 3) AS INTEGER) AS uti_coronariana_exist,
+  CAST(count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 3 AND l_linestatus = 'F') AS INTEGER) AS uti_coronariana_sus,
   CAST(year(min(l_shipdate)) AS INTEGER) AS ano, CAST(month(min(l_shipdate)) AS INTEGER) AS mes,
   strftime(min(l_shipdate), '%Y-%m') AS ano_mes
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
 GROUP BY s_suppkey, strftime(l_shipdate, '%Y%m')""")
 _bed_sums = [c for c in ("leitos_existentes", "leitos_sus", "uti_total_exist", "uti_total_sus",
-                         "uti_adulto_exist", "uti_neonatal_exist")]
+                         "uti_adulto_exist", "uti_neonatal_exist", "uti_adulto_sus", "uti_neonatal_sus",
+                         "uti_pediatrico_exist", "uti_pediatrico_sus", "uti_queimado_exist", "uti_queimado_sus",
+                         "uti_coronariana_exist", "uti_coronariana_sus")]
 _cte("rollup", "SELECT uf, regiao, ano, mes, ano_mes, " + ", ".join(
     f"CAST(sum({c}) AS BIGINT) AS {c + '_total' if c.startswith('leitos') else c}" for c in _bed_sums)
     + ", count(DISTINCT cnes) AS qtd_estabelecimentos FROM beds GROUP BY ALL", "beds")

@@ -141,6 +141,15 @@ def frequency_file_format(spark, sf):
     return metrics.frequency(bronze, ["nome_arquivo_origem", "run_id"], "total")
 
 
+@query("frequency_file_format_version")
+def frequency_file_format_version(spark, sf):
+    file = "nome_arquivo_origem"
+    bronze = cb.bronze_cases(spark, sf).withColumn("versao_arquivo_origem", ingest.file_version(file, VERSIONS))
+    formats = ingest.detect_date_format(bronze, "dt_sin_pri", file)
+    counted = metrics.frequency(bronze, [file, "versao_arquivo_origem"], "total")
+    return counted.join(formats, file)
+
+
 @query("frequency_by_year")
 def frequency_by_year(spark, sf):
     cases = cb.cases(spark, sf)
