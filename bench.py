@@ -21,7 +21,8 @@ HEADLINE = (
     "dedup_case_versions", "drop_duplicates_by", "scd2_first_load", "scd2_merge", "rules_all",
     "rules_uniqueness", "quality_log_by_run", "latest_complete_run", "inherit_alerts",
     "blocked_terms", "pii_detect", "correct_terms", "prepare_context", "audit_log",
-    "kpi_with_alerts", "ingest_stream", "compact_and_cluster",
+    "kpi_with_alerts", "ingest_stream", "compact_and_cluster", "stages_gold", "stages_beds",
+    "scd2_table_roundtrip", "overwrite_table", "gold_checks", "news_log",
 )
 
 

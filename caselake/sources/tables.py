@@ -56,7 +56,7 @@ def write_checked(df: DataFrame, path: str, checks: Mapping[str, Column] | None
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *violated)
     parent, _, leaf = path.rstrip("/").rpartition("/")
-    aside = f"{parent}/_{leaf}-{uuid.uuid4().hex}"  # readers skip names that begin with an underscore
+    aside = f"{parent}/.{leaf}-{uuid.uuid4().hex}"  # readers skip names that begin with a dot
     counted.write.parquet(aside)
     found = seen.get
     failed = [f"{name}: {found[f'bad_{i}']} rows" for i, name in enumerate(checks) if found[f"bad_{i}"]]
