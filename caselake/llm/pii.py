@@ -39,7 +39,14 @@ KINDS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})(?![0-9A-Za-z])",
 }
-PATTERN = "|".join(KINDS.values())
+#: Numbers begin with a digit or a plus sign, which is tried before anything else; texts without "@" need no more.
+NUMERIC = "(?=[0-9+])(?:" + "|".join(p for k, p in KINDS.items() if k != "email") + ")"
+PATTERN = KINDS["email"] + "|" + NUMERIC
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def round_value(key: str, label: Column, number: Column, half: Column) -> Column:
@@ -75,9 +82,10 @@ def permute_digits(digits: Column, label: str, key: str = KEY, back: bool = Fals
     n = F.length(digits)
     left = F.floor(n / 2).cast("int")
     right = n - left
-    half = feistel(F.substring(digits, F.lit(1), left), F.substring(digits, left + 1, right),
-                   _ten_to(left), _ten_to(right), F.concat(F.lit(label), n.cast("string")), key, back)
-    return F.concat(F.lpad(half["x"].cast("string"), left, F.lit("0")), F.lpad(half["y"].cast("string"), right, F.lit("0")))
+    halves = feistel(F.substring(digits, F.lit(1), left), F.substring(digits, left + 1, right),
+                     _ten_to(left), _ten_to(right), F.concat(F.lit(label), n.cast("string")), key, back)
+    return let(halves, lambda half: F.concat(
+        F.lpad(half["x"].cast("string"), left, F.lit("0")), F.lpad(half["y"].cast("string"), right, F.lit("0"))))
 
 
 def _luhn_sum(digits: Column, doubled_from_right: int) -> Column:
@@ -96,11 +104,14 @@ def luhn_valid(digits: Column) -> Column:
 
 def refill(shape: Column, digits: Column) -> Column:
     """``shape`` with its digits replaced in order."""
-    def put(c: Column, i: Column) -> Column:
-        before = F.length(digits_of(F.substring(shape, F.lit(1), i + 1)))
-        return F.when(c.rlike("[0-9]"), F.substring(digits, before, F.lit(1))).otherwise(c)
+    def fill(new: Column) -> Column:
+        def put(c: Column, i: Column) -> Column:
+            before = F.length(digits_of(F.substring(shape, F.lit(1), i + 1)))
+            return F.when(c.rlike("[0-9]"), F.substring(new, before, F.lit(1))).otherwise(c)
+
+        return F.array_join(F.transform(F.split(shape, ""), put), "")
 
-    return F.array_join(F.transform(F.split(shape, ""), put), "")
+    return let(digits, fill)
 
 
 def kind_of(value: Column) -> Column:
@@ -115,25 +126,26 @@ def kind_of(value: Column) -> Column:
               F.when(F.try_to_date(value, "yyyy-MM-dd").between(FIRST_DAY, "2099-12-31"), "date"))
         .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
               F.when(~value.rlike("^(000|666|9..)|-00-|0000$"), "ssn"))
-        .otherwise(F.when(luhn_valid(digits), "card")))
+        .otherwise(F.when(let(digits, luhn_valid), "card")))
 
 
 def pseudonym(value: Column, kind: Column, key: str = KEY, back: bool = False) -> Column:
     """Replacement of a validated value; ``back`` returns the clear value (e-mails excepted)."""
     digits = digits_of(value)
     payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    moved = permute_digits(payload, "card", key, back)
-    card = F.concat(moved, F.pmod(F.lit(10) - _luhn_sum(moved, 0) % 10, F.lit(10)).cast("string"))
+    card = let(permute_digits(payload, "card", key, back), lambda moved: F.concat(
+        moved, F.pmod(F.lit(10) - _luhn_sum(moved, 0) % 10, F.lit(10)).cast("string")))
     last = F.substring(digits, F.length(digits) - 9, F.lit(10))  # a phone's number without the country
     phone = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), permute_digits(last, "phone", key, back))
     octet = F.transform(F.split(value, r"\."), lambda o: o.cast("long"))
     p, q = (F.lit(m) for m in IPV4_MODULI)
     net = feistel(F.get(octet, 0) * 256 + F.get(octet, 1), F.get(octet, 2) * 256 + F.get(octet, 3), p, q, F.lit("ipv4"), key, back)
-    ipv4 = F.concat_ws(".", *[F.floor(net[h] / d).cast("long") % 256 for h in ("x", "y") for d in (256, 1)])
+    ipv4 = let(net, lambda n: F.concat_ws(".", *[F.floor(n[h] / d).cast("long") % 256 for h in ("x", "y") for d in (256, 1)]))
     a, b = DAY_MODULI
     day = F.datediff(F.try_to_date(value, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
     moved_day = feistel(F.floor(day / b), day % b, F.lit(a), F.lit(b), F.lit("date"), key, back)
-    date = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (moved_day["x"] * b + moved_day["y"]).cast("int")), "yyyy-MM-dd")
+    date = let(moved_day, lambda m: F.date_format(
+        F.date_add(F.lit(FIRST_DAY).cast("date"), (m["x"] * b + m["y"]).cast("int")), "yyyy-MM-dd"))
     email = F.concat(F.lit("u"), F.substring(F.sha2(F.concat(F.lit(key + "|email|"), F.lower(value)), 256), 1, 16), F.lit("@example.com"))
     return (F.when(kind == "email", email).when(kind == "phone", refill(value, phone)).when(kind == "ipv4", ipv4)
             .when(kind == "date", date).when(kind == "ssn", refill(value, permute_digits(digits, "ssn", key, back)))
@@ -148,12 +160,16 @@ def pseudonymize_text(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_<kind>`` counts added (or put in place of columns so named)."""
     names, docs = docs.columns, packed(docs, "text")
     text = text_or_empty()
-    has = text.rlike("[0-9@]") & text.rlike(PATTERN)
-    none = F.array().cast("array<string>")
-    df = docs.withColumn("_found", F.when(has, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none))
+    mail = F.instr(text, "@") > 0
+
+    def matches(pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    found = F.when(mail, matches(PATTERN)).when(text.rlike("[0-9]"), matches(NUMERIC))
+    df = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
     df = df.withColumn("_kinds", F.transform("_found", kind_of))
     df = df.withColumn("_new", F.transform("_found", lambda v, i: pseudonym(v, F.get("_kinds", i), key)))
-    pieces = F.split(text, PATTERN, -1)
+    pieces = F.when(mail, F.split(text, PATTERN, -1)).otherwise(F.split(text, NUMERIC, -1))
     whole = F.array_join(F.transform(pieces, lambda piece, i: F.concat(piece, F.coalesce(F.get("_new", i), F.lit("")))), "")
     counts = {f"n_{k}": F.size(F.filter("_kinds", _equals(k))).cast("long") for k in KINDS}
     new = F.when(F.size("_found") > 0, whole).otherwise(F.col("text")).alias("text")
