@@ -47,13 +47,15 @@ _NEVER = -(1 << 60)
 #: What a character without a piece costs beyond the worst piece.
 _UNKNOWN_PENALTY = 10
 #: Substrings looked up at once, and words remembered between the slices of a task.
-_PROBES = 1 << 21
-_REMEMBERED = 1 << 20
+_PROBES = 1 << 17
+_REMEMBERED = 1 << 18
+#: Bytes of words that advance together.
+_TOGETHER = 1 << 18
 _TABLE_BITS = 20
 #: From this length on words are merged one by one with a heap.
 _LONG = 256
 #: Bytes of text per slice: many repeated words meet in one.
-_SLICE = 1 << 22
+_SLICE = 1 << 19
 U64 = np.uint64
 
 
@@ -287,7 +289,7 @@ class Encoder:
         counts, parts, places = np.zeros(len(starts), np.int64), [], []
         for size in np.unique(length).tolist():
             mine = np.flatnonzero(length == size)
-            chunk = max(1, (1 << 22) // (size + 1))
+            chunk = max(1, _TOGETHER // (size + 1))
             for a in range(0, len(mine), chunk):
                 some = mine[a:a + chunk]
                 ids = (merge if self.v.merges else viterbi)(self.v, data, roll, begins, starts[some], size)
@@ -401,6 +403,36 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _digested(part: pa.RecordBatch, data: np.ndarray, length: np.ndarray, whole: bool) -> pa.RecordBatch:
+    """``part`` with the SHA-256 of its decoded texts and, if wanted, their bytes."""
+    blob, stop = data.tobytes(), np.concatenate([[0], np.cumsum(length)]).tolist()
+    texts = [blob[i:j] for i, j in zip(stop, stop[1:])]
+    columns = {"decoded": pa.array(texts, pa.binary())} if whole else {}
+    columns["decoded_sha256"] = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+    return pa.RecordBatch.from_arrays([*part.columns, *columns.values()], [*part.schema.names, *columns])
+
+
+def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """``docs`` without its text, with ``token_ids`` and the SHA-256 of what they decode to, in one pass."""
+    docs = docs.drop("token_ids", "decoded_sha256")
+    held = docs.sparkSession.sparkContext.broadcast(load(path))
+    at = docs.columns.index("text")
+    rest = [i for i in range(len(docs.columns)) if i != at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(held.value)
+        for batch in batches:
+            for first, last, data, offsets in slices(batch.column(at), _SLICE):
+                ids, per = encoder.slice(data, offsets)
+                kept = [batch.column(i).slice(first, last - first) for i in rest]
+                names = [batch.schema.names[i] for i in rest]
+                part = pa.RecordBatch.from_arrays([*kept, _lists(ids, per)], [*names, "token_ids"])
+                yield _digested(part, *decode(held.value, ids, per), whole=False)
+
+    schema = docs.drop("text").schema.add("token_ids", T.ArrayType(T.IntegerType())).add("decoded_sha256", T.StringType())
+    return docs.mapInArrow(run, schema)
+
+
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes its ``token_ids`` stand for, and their SHA-256 in hex."""
     encoded = encoded.drop("decoded", "decoded_sha256")
@@ -414,11 +446,7 @@ def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
                 lists = part.column(at)
                 per = np.array([len(x) if x.is_valid else 0 for x in lists], dtype=np.int64)
                 data, length = decode(held.value, lists.flatten().to_numpy(zero_copy_only=False), per)
-                blob, stop = data.tobytes(), np.concatenate([[0], np.cumsum(length)]).tolist()
-                texts = [blob[i:j] for i, j in zip(stop, stop[1:])]
-                digest = [hashlib.sha256(t).hexdigest() for t in texts]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary()), pa.array(digest)],
-                                                 [*part.schema.names, "decoded", "decoded_sha256"])
+                yield _digested(part, data, length, whole=True)
 
     schema = encoded.select("*").schema.add("decoded", T.BinaryType()).add("decoded_sha256", T.StringType())
     return encoded.mapInArrow(run, schema)
@@ -426,5 +454,4 @@ def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode_documents(encode_documents(docs))
-    return back.selectExpr("doc_id", "cast(size(token_ids) AS long) AS n_tokens", "decoded_sha256", "token_ids")
+    return round_trip(docs).selectExpr("doc_id", "cast(size(token_ids) AS long) AS n_tokens", "decoded_sha256", "token_ids")

@@ -34,8 +34,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
-    back = pieces.decode_documents(pieces.encode_documents(docs.select("doc_id", "lang", "source", "text")))
-    return back.withColumn("n_tokens", F.size("token_ids").cast("long")).drop("decoded")
+    back = pieces.round_trip(docs.select("doc_id", "lang", "source", "text"))
+    return back.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [
