@@ -189,3 +189,27 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = extra.withColumn("text", F.lit(forged))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return digests(format_conversations(rows))
+
+
+def _sql() -> str:
+    marks = len(TEMPLATE.end)
+    headers = " ".join(f"WHEN '{r}' THEN {len(h)}" for r, h in TEMPLATE.headers.items())
+    other = len("".join(TEMPLATE.other))
+    follows = " OR ".join(f"state = '{s}' AND role = '{r}'" for s, roles in TEMPLATE.follows.items() for r in sorted(roles))
+
+    def escaped(column: str) -> str:
+        return rf"length({column}) + length(regexp_replace({column}, '[^\\#<\[\]]', '', 'g'))"
+
+    return rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, k, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(k, r)),
+s AS (SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS state FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({escaped('text')} + {marks} + CASE role {headers} ELSE {other} + {escaped('role')} END) AS BIGINT) AS formatted_chars,
+  bool_and({follows}) AS valid FROM s GROUP BY conv_id"""
+
+
+OP7_SQL = _sql()

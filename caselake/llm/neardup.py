@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caselake.llm.common import stored, table, text_or_empty
+from caselake.llm.common import packed, stored, table, text_or_empty
 from caselake.llm.components import components
 from caselake.llm.textnp import RollingHash, lower_ascii, mix, slices, words
 
@@ -272,17 +272,42 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component: the row of the least id; documents with empty sets all stay."""
+    """One row of each component: that of the least id, once if it is repeated. Rows with empty sets all stay.
+
+    Rows are found again by one hash of id and text, on which the rank of
+    repeated rows needs no further shuffle.
+    """
     found = near_duplicates(docs, percent)
     first = Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
-    kept = found.filter("n_shingles = 0").select("doc_id", "text_hash").distinct().unionByName(
-        found.filter("n_shingles > 0").withColumn("_r", F.row_number().over(first)).filter("_r = 1")
-        .select("doc_id", "text_hash"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(text_or_empty("d.text")) == F.col("k.text_hash"))
-    return docs.alias("d").join(kept.alias("k"), same, "left_semi")
+    filled = found.filter("n_shingles > 0").withColumn("_r", F.row_number().over(first)).filter("_r = 1")
+    kept = (filled.select("doc_id", "text_hash", F.lit(False).alias("all"))
+            .unionByName(found.filter("n_shingles = 0").select("doc_id", "text_hash", F.lit(True).alias("all")).distinct())
+            .withColumn("key", F.xxhash64("doc_id", "text_hash")))
+    rows = packed(docs, "doc_id", F.xxhash64(text_or_empty()).alias("text_hash"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    same = ((F.col("d.key") == F.col("k.key")) & (F.col("d.text_hash") == F.col("k.text_hash"))
+            & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
+    joined = rows.alias("d").join(kept.alias("k"), same).select("d.*", "k.all")
+    copy = Window.partitionBy("key", "doc_id", "text_hash").orderBy(F.xxhash64("_row"))
+    return joined.withColumn("_r", F.row_number().over(copy)).filter("all OR _r = 1").select("_row.*")
 
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return found.select("doc_id", "n_shingles", "component_id",
                         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:CASE WHEN len(w) < 5 THEN len(w) ELSE i + 4 END], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2)
+  JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id, r.doc_id = min(c) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""

@@ -20,7 +20,10 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_secrets": secrets.OP2_SQL,
     "op4_quality_rules": quality.OP4_SQL,
+    "op7_chat": chat.OP7_SQL,
+    "op10_neardup": neardup.OP10_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -161,3 +161,37 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "a.doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans"), 256).alias("base_sha256"), "spans",
         *[F.coalesce(f"n_{v}", none).alias(f"n_{v}") for v in ("live", "shared", "example")],
         F.coalesce("most_owners", none).alias("most_owners"))
+
+
+def _sql() -> str:
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    found = " UNION ALL ".join(
+        f"SELECT rid, {rank} AS rank, '{kind}' AS kind, {least} AS least, string_split_regex(text, {text(pattern)}) AS gaps, "
+        f"regexp_extract_all(text, {text(pattern)}) AS whole, regexp_extract_all(text, {text(pattern)}, {group}) AS value FROM d"
+        for rank, (kind, pattern, group, least) in enumerate(PATTERNS))
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind, *_ in PATTERNS)
+    verdicts = ", ".join(f"count(DISTINCT hash) FILTER (verdict = '{v}') AS n_{v}" for v in ("live", "shared", "example"))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, concat_ws('/', source, lang) AS repository, coalesce(text, '') AS text FROM documents),
+f AS ({found}),
+m AS (SELECT *, unnest(generate_series(1, len(whole))) AS i FROM f WHERE len(whole) > 0),
+sp AS (SELECT rid, rank, kind, value[i] AS value, length(whole[i]) AS n,
+         list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS s
+       FROM m WHERE length(value[i]) >= least),
+c AS (SELECT sp.*, sha256(value) AS hash, source, repository,
+        length(value) >= {LIVE_LENGTH} AND len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT}
+        AND NOT regexp_matches(value, {text(PLACEHOLDER)}) AS live FROM sp JOIN d USING (rid)),
+o AS (SELECT hash, count(DISTINCT source) AS n_owners,
+        CASE WHEN NOT any_value(live) OR count(DISTINCT source) >= {EXAMPLE_OWNERS} THEN 'example'
+             WHEN count(DISTINCT source) = 1 THEN 'live' ELSE 'shared' END AS verdict FROM c GROUP BY 1),
+g AS (SELECT rid, {counts}, string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT), ',' ORDER BY s, rank) AS spans,
+        {verdicts}, max(n_owners) AS most_owners FROM c JOIN o USING (hash) GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{x}, 0) AS n_{x}" for x in ("assign", "access", "hex", "live", "shared", "example"))},
+  coalesce(most_owners, 0) AS most_owners, coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+FROM d LEFT JOIN g USING (rid)"""
+
+
+OP2_SQL = _sql()

@@ -155,8 +155,9 @@ def test_map_versions_move_few_slots():
 
 # --- 4: quality rules ------------------------------------------------------------------------------
 
-def test_quality_rules_equal_sql(spark, data_dir):
-    assert difference(spark, database(data_dir), data_dir, quality.op4_quality_rules, quality.OP4_SQL) is None
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_equals_sql(spark, data_dir, name):
+    assert difference(spark, database(data_dir), data_dir, registry.QUERIES[name], registry.ORACLES[name]) is None
 
 
 def test_sketches_merge_and_stay_close(spark):
@@ -445,6 +446,13 @@ def test_near_duplicates_around_the_threshold(spark, monkeypatch, block):
         assert got == brute_components(rows, percent)
 
 
+def test_one_row_of_a_group_stays(spark):
+    text = "one two three four five six seven"
+    rows = [(7, text), (3, text), (3, text), (9, text + " eight"), (None, text), (5, "other words that stand alone here"), (6, None), (6, None), (4, "")]
+    left = neardup.drop_near_duplicates(cases.clashing(cases.documents(spark, rows)), 60)
+    assert cases.rows(left, "doc_id") == [(3,), (4,), (5,), (6,), (6,)]
+
+
 def test_components_of_chains_stars_and_random_links(spark):
     rng = random.Random(17)
     links = [(i, i + 1) for i in range(60)] + [(500, 501 + i) for i in range(80)] + [(1000 + rng.randrange(90), 1000 + rng.randrange(90)) for _ in range(60)]
