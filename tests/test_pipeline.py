@@ -143,7 +143,7 @@ def test_context_and_audit(spark):
          (3, "INFLUENZA hoje", "https://z.example/b", "r"), (4, "Esporte", "https://z.example/c", "r")],
         "n int, titulo string, url string, resumo string")
     got = {r.n: r for r in context.prepare_context(articles, ["n"]).collect()}
-    assert set(got) == {1, 3, 4} and got[1].confiabilidade_fonte == "Alta" and len(got[1].resumo) == 500
+    assert set(got) == {1, 3, 4} and got[1].confiabilidade_fonte == "Alta" and len(got[1].resumo) == 600
     keyed = context.prepare_context(articles, ["n"], keywords=cat.TITLE_KEYWORDS)
     assert {r.n for r in keyed.collect()} == {1, 3}
     assert [r.n for r in context.prepare_context(articles, ["n"], cap=2).collect()] == [1, 3]
@@ -153,7 +153,33 @@ def test_context_and_audit(spark):
     for name in ("queries", "fontes", "guardrails"):
         talks = talks.withColumn(name, F.col("tools"))
     row = context.audit_rows(talks, F.lit("r"), F.lit(dt.datetime(2025, 1, 1)), ["usuario"]).first()
-    assert (len(row.pergunta), row.tools_acionadas, row.status_execucao) == (500, '["t"]', "BLOQUEADO")
+    assert (len(row.pergunta), row.tools_acionadas, row.status_execucao) == (600, '["t"]', "BLOQUEADO")
+    many = talks.withColumn("tools", F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: F.concat(F.lit("a very long tool name "), i.cast("string"))))
+    logged = context.audit_rows(many, F.lit("r"), F.lit(dt.datetime(2025, 1, 1)), ["usuario"])
+    back = logged.select(F.from_json("tools_acionadas", "array<string>").alias("t")).first().t
+    assert back == [f"a very long tool name {i}" for i in range(1, 31)]
+
+
+def test_addresses_are_compared_whole(spark):
+    rows = [(1, "t", "https://a.example/x?id=1", "r"), (2, "t", "https://a.example/x?id=2", "r"), (3, "t", "https://a.example/x?id=2", "r")]
+    articles = spark.createDataFrame(rows, "n int, titulo string, url string, resumo string")
+    assert sorted(r.n for r in context.prepare_context(articles, ["n"]).collect()) == [1, 2]
+
+
+def test_read_queries_only_plan(spark, data_dir):
+    """Building a query reads table footers at most; nothing runs before its rows are asked for."""
+    from caselake.plans.queries import REGISTRY
+
+    store = spark.sparkContext._jsc.sc().statusStore()
+    for name in ("latest_complete_run", "latest_covering_gold_run", "inherit_alerts", "severity_summary", "alert_summary",
+                 "completeness_extract", "validity_extract", "consistency_extract", "severity_ordered", "kpi_with_alerts"):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        before = store.jobsList(None).size()
+        REGISTRY[name](spark, data_dir)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        jobs = store.jobsList(None)
+        started = [jobs.apply(i).name() for i in range(jobs.size() - before)]
+        assert all(j.startswith("parquet at") for j in started), (name, started)
 
 
 def test_output_guard(spark):
