@@ -35,7 +35,7 @@ Q = 8
 EDIT_PERCENT = 8
 BLOCK_CHARS = 2_000_000
 #: Characters of documents that are worked on together.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 U64 = np.uint64
 _A = 0x9E3779B97F4A7C15
 #: Stands between texts and for places outside a text; no character has these numbers.

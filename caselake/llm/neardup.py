@@ -48,7 +48,7 @@ PERCENT = 80
 SIGMAS = 6
 #: Classes of one list, and bytes of full sets of one group, that a block holds.
 LIST_BLOCK = 4096
-SET_BLOCK = 8 << 20
+SET_BLOCK = 4 << 20
 U64 = np.uint64
 _STEP = U64(0x9E3779B97F4A7C15)
 

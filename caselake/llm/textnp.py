@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on together; one longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
