@@ -20,7 +20,7 @@ def run(df, rules, **options):
     return {r.regra_qualidade: r for r in quality.run_rules(df, rules, "Bronze", "t", as_of(), now(), **options).collect()}
 
 
-def test_forty_case_rules():
+def test_forty_case_rules(spark):
     kinds = [type(r).__name__ for r in quality.case_rules()]
     assert len(kinds) == 40 and kinds.count("UniqueRule") == 2 and kinds.count("FreshRule") == 3
 
