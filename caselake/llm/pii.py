@@ -12,6 +12,14 @@ A network has two halves (x modulo p, y modulo q) and adds a keyed round value
 of one half to the other in turn; every round can be undone, so the whole is a
 bijection of the p*q values without cycle walking.
 
+Layouts: phones with "+" and country code in groups or as one number, North
+American numbers in groups of 3-3-4 with or without "1" or parentheses, and
+numbers in three groups after a trunk 0; dates of digits with the year first or
+last, separated by "-", "/" or "."; cards of 13 to 19 digits, as 4-4-4-4 or as
+4-6-5. Where day and month could be either, "/" puts the month first, "." and
+"-" the day; dates that only the other order reads stay among those. A date
+without leading zeros gets a pseudonym without them.
+
 Defined results: a null text stays null; numbers that fail validation (check
 digit, octet, calendar) stay as they are; texts without personal data come back
 unchanged; an empty table gives no rows.
@@ -31,16 +39,29 @@ ROUNDS = 10
 #: Dates from 1900-01-01 on; 73,049 days (to 2099-12-31) are 17 * 4297.
 FIRST_DAY, DAY_MODULI = "1900-01-01", (17, 4297)
 IPV4_MODULI = (65536, 65536)
+#: North American numbers: areas and offices from 200 on, four digits each of the line.
+NANP_MODULI = (800, 800 * 10_000)
+#: Steps of a walk that stays among dates after the 12th; it takes two on average.
+_WALK = 64
+_PLUS = (r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9+])\+(?:[0-9]{8,15}|"
+         r"[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-][0-9]{2,4}){1,4})(?![0-9])")
+_NANP = (r"(?:1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}|"
+         r"(?:1[ .-])?[2-9][0-9]{2}(?:-[2-9][0-9]{2}-|\.[2-9][0-9]{2}\.| [2-9][0-9]{2}[ -])[0-9]{4}")
+_TRUNK = "0[0-9]{1,4}(?: [0-9]{3,4} |-[0-9]{3,4}-)[0-9]{3,4}"
+_ISO = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_YEAR_FIRST = r"[0-9]{4}(?:/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}"
+_YEAR_LAST = r"[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.|-[0-9]{1,2}-)[0-9]{4}"
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "phone": r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
+    "phone": rf"{_PLUS}|(?<![0-9A-Za-z])(?<![0-9][.-])(?:{_NANP})(?![0-9]|[.-][0-9])|"
+             rf"(?<![0-9A-Za-z])(?<![0-9][ .-])(?:{_TRUNK})(?![0-9]|[ -][0-9]{{4}}(?![0-9]))",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
+    "date": rf"(?<![0-9-]){_ISO}(?![0-9-])|(?<![0-9/.-])(?:{_YEAR_FIRST}|{_YEAR_LAST})(?![0-9]|[/.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?<![0-9][.-])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
-#: Numbers begin with a digit or a plus sign, which is tried before anything else; texts without "@" need no more.
-NUMERIC = "(?=[0-9+])(?:" + "|".join(p for k, p in KINDS.items() if k != "email") + ")"
+#: Numbers begin with a digit, a plus sign or a parenthesis, which is tried before anything else; texts without "@" need no more.
+NUMERIC = "(?=[0-9+(])(?:" + "|".join(p for k, p in KINDS.items() if k != "email") + ")"
 PATTERN = KINDS["email"] + "|" + NUMERIC
 
 
@@ -114,16 +135,73 @@ def refill(shape: Column, digits: Column) -> Column:
     return let(digits, fill)
 
 
+def _month_first(value: Column, other: bool = False) -> Column:
+    """Whether a date with the year last has the month first: with "/", in the ``other`` order with "." and "-"."""
+    return value.contains("/") != F.lit(other)
+
+
+def _date(value: Column, other: bool = False) -> Column:
+    """The date, NULL outside the calendar or the years; ``other``: with the year last, day and month change places."""
+    parts = F.split(value, "[/.-]")
+    two = lambda i: F.lpad(F.get(parts, i), 2, "0")
+    last = F.when(_month_first(value, other), F.concat_ws("-", F.get(parts, 2), two(0), two(1))).otherwise(
+        F.concat_ws("-", F.get(parts, 2), two(1), two(0)))
+    ymd = F.length(F.get(parts, 0)) == 4
+    day = F.try_to_date(F.when(ymd, F.concat_ws("-", parts)).otherwise(last), "yyyy-MM-dd")
+    return F.when(day.between(FIRST_DAY, "2099-12-31") & ~(ymd & F.lit(other)), day)
+
+
+def _permute_date(value: Column, key: str, back: bool) -> Column:
+    """Another date of the same layout and the same reading."""
+    a, b = DAY_MODULI
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def moved(day: Column) -> Column:
+        at = feistel(F.floor(day / b), day % b, F.lit(a), F.lit(b), F.lit("date"), key, back)
+        return let(at, lambda m: m["x"] * b + m["y"])
+
+    def late(day: Column) -> Column:
+        return F.dayofmonth(F.date_add(first, day.cast("int"))) > 12
+
+    def written(day: Column) -> Column:
+        date = F.date_add(first, day.cast("int"))
+        short = value.rlike("^[0-9][^0-9]|[^0-9][0-9][^0-9]")
+        month, dom = (F.when(short, F.date_format(date, c)).otherwise(F.date_format(date, 2 * c)) for c in "Md")
+        month_first = F.when(_date(value).isNotNull(), _month_first(value)).otherwise(_month_first(value, other=True))
+        year = F.date_format(date, "yyyy")
+        new = (F.when(value.rlike("^[0-9]{4}"), F.concat_ws("-", year, month, dom))
+               .when(month_first, F.concat_ws("-", month, dom, year)).otherwise(F.concat_ws("-", dom, month, year)))
+        return F.replace(new, F.lit("-"), F.regexp_extract(value, "[/.-]", 0))
+
+    own = F.datediff(_date(value), first).cast("long")
+    # Read in the other order only: the walk goes on until a date that, too, is read so.
+    other = F.datediff(_date(value, other=True), first).cast("long")
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), moved(other),
+                       lambda day, _: F.when(late(day), day).otherwise(moved(day)))
+    return let(F.when(own.isNotNull(), moved(own)).otherwise(walk), written)
+
+
+def _permute_nanp(digits: Column, key: str, back: bool) -> Column:
+    """A North American number, with or without the leading 1, whose area and office begin with 2 to 9 again."""
+    n = F.length(digits)
+    area, rest = F.substring(digits, n - 9, F.lit(3)).cast("long"), F.substring(digits, n - 6, F.lit(7)).cast("long")
+    p, q = NANP_MODULI
+    at = feistel(area - 200, rest - 2_000_000, F.lit(p), F.lit(q), F.lit("nanp"), key, back)
+    return let(at, lambda m: F.concat(F.substring(digits, F.lit(1), n - 10), (m["x"] + 200).cast("string"),
+                                      (m["y"] + 2_000_000).cast("string")))
+
+
 def kind_of(value: Column) -> Column:
     """Kind of a match that passes validation, else NULL."""
     digits = digits_of(value)
     octets = F.forall(F.split(value, r"\."), lambda o: o.cast("int") <= 255)
     return (
         F.when(F.instr(value, "@") > 0, "email")
-        .when(value.startswith("+"), "phone")
+        .when(value.startswith("+"), F.when(F.length(digits) >= 8, "phone"))
+        .when(value.rlike(f"^(?:{_NANP}|{_TRUNK})$"), "phone")
         .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(octets, "ipv4"))
-        .when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-              F.when(F.try_to_date(value, "yyyy-MM-dd").between(FIRST_DAY, "2099-12-31"), "date"))
+        .when(value.rlike(f"^(?:{_ISO}|{_YEAR_FIRST}|{_YEAR_LAST})$"),
+              F.when(F.coalesce(_date(value), _date(value, other=True)).isNotNull(), "date"))
         .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
               F.when(~value.rlike("^(000|666|9..)|-00-|0000$"), "ssn"))
         .otherwise(F.when(let(digits, luhn_valid), "card")))
@@ -135,20 +213,17 @@ def pseudonym(value: Column, kind: Column, key: str = KEY, back: bool = False) -
     payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
     card = let(permute_digits(payload, "card", key, back), lambda moved: F.concat(
         moved, F.pmod(F.lit(10) - _luhn_sum(moved, 0) % 10, F.lit(10)).cast("string")))
-    last = F.substring(digits, F.length(digits) - 9, F.lit(10))  # a phone's number without the country
-    phone = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), permute_digits(last, "phone", key, back))
+    country = F.length(F.regexp_extract(value, r"^\+([0-9]+)", 1))  # of a number written as one: its first digit
+    fixed = F.when(country > 3, 1).when(country > 0, country).otherwise(1)
+    phone = F.when(value.rlike(f"^(?:{_NANP})$"), _permute_nanp(digits, key, back)).otherwise(F.concat(
+        F.substring(digits, F.lit(1), fixed), permute_digits(F.substring(digits, fixed + 1, F.length(digits)), "phone", key, back)))
     octet = F.transform(F.split(value, r"\."), lambda o: o.cast("long"))
     p, q = (F.lit(m) for m in IPV4_MODULI)
     net = feistel(F.get(octet, 0) * 256 + F.get(octet, 1), F.get(octet, 2) * 256 + F.get(octet, 3), p, q, F.lit("ipv4"), key, back)
     ipv4 = let(net, lambda n: F.concat_ws(".", *[F.floor(n[h] / d).cast("long") % 256 for h in ("x", "y") for d in (256, 1)]))
-    a, b = DAY_MODULI
-    day = F.datediff(F.try_to_date(value, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
-    moved_day = feistel(F.floor(day / b), day % b, F.lit(a), F.lit(b), F.lit("date"), key, back)
-    date = let(moved_day, lambda m: F.date_format(
-        F.date_add(F.lit(FIRST_DAY).cast("date"), (m["x"] * b + m["y"]).cast("int")), "yyyy-MM-dd"))
     email = F.concat(F.lit("u"), F.substring(F.sha2(F.concat(F.lit(key + "|email|"), F.lower(value)), 256), 1, 16), F.lit("@example.com"))
     return (F.when(kind == "email", email).when(kind == "phone", refill(value, phone)).when(kind == "ipv4", ipv4)
-            .when(kind == "date", date).when(kind == "ssn", refill(value, permute_digits(digits, "ssn", key, back)))
+            .when(kind == "date", _permute_date(value, key, back)).when(kind == "ssn", refill(value, permute_digits(digits, "ssn", key, back)))
             .when(kind == "card", refill(value, card)).otherwise(value))
 
 
