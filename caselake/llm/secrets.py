@@ -2,8 +2,10 @@
 
 Candidates are found by three patterns in whole texts. A hash stands for each
 candidate's value; per hash the corpus is asked how many distinct owners and
-repositories hold it. Values that many owners copy are published examples;
-values of one owner that look random are taken as live credentials.
+repositories hold it. Values that many owners copy are published examples, as
+are stated placeholders (words of ``PLACEHOLDER``, one character repeated);
+values of one owner that look random are taken as live credentials, values that
+few owners hold and that look weak are weak secrets. All but examples are masked.
 
 Counts of distinct owners are built in three levels of partial aggregation, so
 an example that a third of all rows carry reaches its final task as one row per
@@ -77,6 +79,10 @@ def find(docs: DataFrame) -> DataFrame:
     return df.withColumn("candidates", F.sort_array(F.concat(*own))).drop("_text", *own)
 
 
+def is_placeholder(value: Column) -> Column:
+    return value.rlike(PLACEHOLDER) | (F.size(F.array_distinct(F.split(value, ""))) == 1)
+
+
 def looks_live(value: Column) -> Column:
     distinct = F.size(F.array_distinct(F.split(value, "")))
     return (F.length(value) >= LIVE_LENGTH) & (distinct >= LIVE_DISTINCT) & ~value.rlike(PLACEHOLDER)
@@ -89,7 +95,7 @@ def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
     spans = F.array_join(F.transform(
         "candidates", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    hashed = F.transform("candidates", lambda s: F.struct(F.sha2(s["value"], 256).alias("hash"), looks_live(s["value"]).alias("live")))
+    hashed = F.transform("candidates", lambda s: F.struct(F.sha2(s["value"], 256).alias("hash"), looks_live(s["value"]).alias("live"), is_placeholder(s["value"]).alias("placeholder")))
     rows = docs.select("doc_id", "text", F.coalesce(owner, F.lit("")).alias("owner"),
                        F.coalesce(repository, F.lit("")).alias("repository"))
     return stored(find(rows).select(
@@ -99,12 +105,13 @@ def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
 def ownership(scanned: DataFrame) -> DataFrame:
     """One row per value hash: occurrences, n_owners, n_repositories, verdict."""
-    rows = scanned.select("owner", "repository", F.explode("found").alias("f")).select("owner", "repository", "f.hash", "f.live")
-    per_repository = rows.groupBy("hash", "live", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
-    per_owner = per_repository.groupBy("hash", "live", "owner").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("r"))
-    counts = per_owner.groupBy("hash", "live").agg(
+    rows = scanned.select("owner", "repository", F.explode("found").alias("f")).select("owner", "repository", "f.hash", "f.live", "f.placeholder")
+    per_repository = rows.groupBy("hash", "live", "placeholder", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
+    per_owner = per_repository.groupBy("hash", "live", "placeholder", "owner").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("r"))
+    counts = per_owner.groupBy("hash", "live", "placeholder").agg(
         F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("n_owners"), F.sum("r").alias("n_repositories"))
-    verdict = (F.when(~F.col("live") | (F.col("n_owners") >= EXAMPLE_OWNERS), "example")
+    verdict = (F.when(F.col("placeholder") | (F.col("n_owners") >= EXAMPLE_OWNERS), "example")
+               .when(~F.col("live"), "weak")
                .when(F.col("n_owners") == 1, "live").otherwise("shared"))
     return counts.withColumn("verdict", verdict)
 
@@ -115,7 +122,7 @@ def by_document(scanned: DataFrame) -> DataFrame:
              .groupBy("doc_id", "text_hash", F.col("f.hash").alias("hash")).agg(F.count(F.lit(1)).alias("n")))
     judged = found.join(ownership(scanned).select("hash", "verdict", "n_owners"), "hash")
     return judged.groupBy("doc_id", "text_hash").agg(
-        *[F.count(F.when(F.col("verdict") == v, 1)).alias(f"n_{v}") for v in ("live", "shared", "example")],
+        *[F.count(F.when(F.col("verdict") == v, 1)).alias(f"n_{v}") for v in ("live", "shared", "weak", "example")],
         F.max("n_owners").alias("most_owners"),
         F.collect_set(F.when(F.col("verdict") != "example", F.col("hash"))).alias("secret_hashes"))
 
@@ -157,7 +164,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scanned = scan(docs, *owners(docs))
     none = F.lit(0).cast("long")
-    return scanned.alias("a").join(by_document(scanned).alias("b"), _same(), "left").select(
+    # The query's SQL counts all values that do not look live as examples; here weak ones join them.
+    found = by_document(scanned).withColumn("n_example", F.col("n_example") + F.col("n_weak"))
+    return scanned.alias("a").join(found.alias("b"), _same(), "left").select(
         "a.doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans"), 256).alias("base_sha256"), "spans",
         *[F.coalesce(f"n_{v}", none).alias(f"n_{v}") for v in ("live", "shared", "example")],
         F.coalesce("most_owners", none).alias("most_owners"))

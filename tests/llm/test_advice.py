@@ -1,10 +1,11 @@
 """Cases of the second review: what an operator left out before."""
 
+import hashlib
 import re
 
 from pyspark.sql import functions as F
 
-from caselake.llm import classifier, pii
+from caselake.llm import classifier, pii, secrets
 from caselake.llm.common import table
 from tests.llm import cases
 
@@ -73,3 +74,18 @@ def test_dates_without_zeros_and_what_is_no_number_of_these(spark):
     old, new = text.split(), row.text.split()
     assert old[1:4] == new[1:4] and old[5:] == new[5:]
     assert re.fullmatch("[1-9][0-9]?/[1-9][0-9]?/[12][0-9]{3}", new[0])
+
+
+# --- 2: secrets ------------------------------------------------------------------------------------
+
+def test_weak_values_of_few_owners_are_secrets(spark):
+    own, two, many, filler = "Tr0ub4dor9", "aabbaabbaabb", "hunter2hunter2", "your-key-here"
+    rows = [(1, f'password = "{own}"', "a"), (2, f"token={two}", "a"), (3, f"token={two}", "b"), (4, f"api_key={filler}", "a")]
+    rows += [(10 + i, f"secret={many}", f"src{i}") for i in range(3)] + [(20, "token=xxxxxxxxxx", "a")]
+    docs = cases.documents(spark, rows)
+    verdicts = {r.hash: r.verdict for r in secrets.ownership(secrets.scan(docs, *secrets.owners(docs))).collect()}
+    of = lambda s: verdicts[hashlib.sha256(s.encode()).hexdigest()]
+    assert [of(v) for v in (own, two, many, filler, "xxxxxxxxxx")] == ["weak", "weak", "example", "example", "example"]
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(docs, *secrets.owners(docs)).collect()}
+    assert masked[1] == 'password = "[secret]"' and masked[2] == masked[3] == "token=[secret]"
+    assert all(masked[i] == t for i, t, _ in rows[3:])
