@@ -8,8 +8,8 @@ probe the sorted hashes of the pieces.
 - Unigram files: batched Viterbi. For every end position the hashes of all
   substrings that end there are probed, a vectorised maximum over the sums of
   scores picks the best piece and stores its length and id as backpointers.
-  Scores are summed as whole numbers; of equal sums the one with the longest
-  last piece wins.
+  Scores are summed as they stand in the file, in float64; of equal sums the one
+  with the longest last piece wins.
 - Merge (BPE) files define their tokens by the order of merges, which no sum of
   scores reproduces. There all words advance together by one merge a round: a
   vectorised maximum over neighbouring pairs, whose concatenations are probed
@@ -43,7 +43,7 @@ from caselake.llm.textnp import BASES, RollingHash, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Below the score of any segmentation.
-_NEVER = -(1 << 60)
+_NEVER = -float(1 << 60)
 #: What a character without a piece costs beyond the worst piece.
 _UNKNOWN_PENALTY = 10
 #: Substrings looked up at once, and words remembered between the slices of a task.
@@ -68,7 +68,7 @@ class Vocabulary:
     score: np.ndarray
     longest: int
     byte_id: np.ndarray
-    unknown: int
+    unknown: float
     table: np.ndarray
     pairs: np.ndarray
     blob: np.ndarray
@@ -86,7 +86,7 @@ def load(path: str = MODEL, rule: str | None = None) -> Vocabulary:
         proto.ParseFromString(model.serialized_model_proto())
         rule = {1: "unigram", 2: "bpe"}[proto.trainer_spec.model_type]
     n = model.vocab_size()
-    score = np.zeros(n, np.int64)
+    score = np.zeros(n)
     byte_id = np.full(256, model.unk_id(), np.int64)
     raw, normal = [], []
     for i in range(n):
@@ -99,7 +99,7 @@ def load(path: str = MODEL, rule: str | None = None) -> Vocabulary:
             raw.append(b"")
         else:
             raw.append(piece.replace(MARK, " ").encode())
-            score[i] = round(model.get_score(i))
+            score[i] = model.get_score(i)
             normal.append(i)
     pairs = np.zeros(1 << 16, bool)
     for i in normal:
@@ -113,7 +113,7 @@ def load(path: str = MODEL, rule: str | None = None) -> Vocabulary:
     known = np.zeros(1 << _TABLE_BITS, bool)
     known[(key >> U64(64 - _TABLE_BITS)).astype(np.int64)] = True
     return Vocabulary(key[order], normal[order], score, int(np.diff(bounds)[normal].max()), byte_id,
-                      int(score[normal].min()) - _UNKNOWN_PENALTY, known, pairs, blob, bounds, rule == "bpe")
+                      float(score[normal].min()) - _UNKNOWN_PENALTY, known, pairs, blob, bounds, rule == "bpe")
 
 
 def _probe(v: Vocabulary, key: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def viterbi(v: Vocabulary, data: np.ndarray, roll: RollingHash, begins: np.ndarr
     """
     n = len(first)
     lens = np.arange(min(v.longest, length), 0, -1)  # longest first, so that it wins a tie
-    best = np.full((n, length + 1), _NEVER, dtype=np.int64)
+    best = np.full((n, length + 1), _NEVER)
     best[:, 0] = 0
     step = np.zeros((n, length + 1), np.int32)
     token = np.zeros((n, length + 1), np.int32)
@@ -216,7 +216,7 @@ def merge(v: Vocabulary, data: np.ndarray, roll: RollingHash, begins: np.ndarray
         ids = _probe(v, roll(first[row] + at, first[row] + following[row, middle]))
         return np.where((middle < length) & (ids >= 0), v.score[ids], _NEVER)
 
-    score = np.full((n, length), _NEVER, np.int64)
+    score = np.full((n, length), _NEVER)
     row, at = np.nonzero(begin)
     score[row, at] = gain(row, at)
     rows = np.arange(n)
@@ -244,7 +244,7 @@ def _merge_long(v: Vocabulary, data: np.ndarray, roll: RollingHash, begin: np.nd
     following = dict(zip(at.tolist(), [*at[1:].tolist(), length]))
     before = dict(zip(at[1:].tolist(), at[:-1].tolist()))
 
-    def pairs(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def pairs(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[float, int, int]]:
         ids = _probe(v, roll(first + starts, first + ends))
         good = ids >= 0
         return zip((-v.score[ids[good]]).tolist(), starts[good].tolist(), ends[good].tolist())

@@ -1,11 +1,15 @@
 """Cases of the second review: what an operator left out before."""
 
 import hashlib
+import itertools
+import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from caselake.llm import classifier, pii, secrets
+from caselake.llm import classifier, pieces, pii, secrets
 from caselake.llm.common import table
 from tests.llm import cases
 
@@ -89,3 +93,40 @@ def test_weak_values_of_few_owners_are_secrets(spark):
     masked = {r.doc_id: r.text for r in secrets.mask_secrets(docs, *secrets.owners(docs)).collect()}
     assert masked[1] == 'password = "[secret]"' and masked[2] == masked[3] == "token=[secret]"
     assert all(masked[i] == t for i, t, _ in rows[3:])
+
+
+# --- 5: pieces -------------------------------------------------------------------------------------
+
+def test_viterbi_of_a_unigram_file_with_fractional_scores(tmp_path):
+    proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    rng = random.Random(3)
+    model = proto.ModelProto()
+    model.trainer_spec.model_type, model.trainer_spec.byte_fallback = 1, True
+    model.normalizer_spec.name, model.normalizer_spec.remove_extra_whitespaces = "identity", False
+    for name, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        model.pieces.add(piece=name, score=0, type=kind)
+    for b in range(256):
+        model.pieces.add(piece=f"<0x{b:02X}>", score=0, type=6)
+    score = {}
+    for n in (1, 2, 3, 4):
+        for word in map("".join, itertools.product("ab", repeat=n)):
+            for piece in (word, pieces.MARK + word):
+                score[piece] = float(np.float32(-n * 2.5 - rng.random()))
+    score[pieces.MARK] = -3.25
+    for piece, value in score.items():
+        model.pieces.add(piece=piece, score=value, type=1)
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    v = pieces.load(str(path))
+    encoder = pieces.Encoder(v)
+    near = 0
+    for word in ("".join(rng.choices("ab", k=rng.randrange(1, 14))) for _ in range(300)):
+        raw = word.encode()
+        ids, _ = encoder.slice(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        whole, sums = pieces.MARK + word, [0.0]
+        for e in range(1, len(whole) + 1):
+            sums.append(max(sums[s] + score[whole[s:e]] for s in range(e) if whole[s:e] in score))
+        got = [model.pieces[i].piece for i in ids]
+        assert "".join(got) == whole and abs(sum(score[p] for p in got) - sums[-1]) < 1e-9, word
+        near += len(got) > 1
+    assert near > 200
