@@ -8,6 +8,12 @@ diagonals, so one band holds them all; bands that reach the bound are verified
 by a banded alignment of the whole item, which decides. Nothing below the edit
 budget is missed.
 
+Items of ``LONG`` characters or more are also searched as overlapping windows of
+``WINDOW`` characters, each with a budget and bound of its own, so a quoted part
+of ``WINDOW + STEP`` characters is found wherever it is cut. Shorter items are
+found whole. An item gives one match per document: the whole item's, or else
+that of its best window.
+
 The benchmark is the stated query set: it is read in blocks of ``BLOCK_CHARS``
 characters, each broadcast on its own, against all documents. Documents are
 never shuffled; a task holds one Arrow batch.
@@ -34,6 +40,8 @@ Q = 8
 #: Edits allowed per hundred characters of an item.
 EDIT_PERCENT = 8
 BLOCK_CHARS = 2_000_000
+#: Items of so many characters are also searched in windows of so many, one every STEP characters.
+LONG, WINDOW, STEP = 400, 200, 100
 #: Characters of documents that are worked on together.
 SLICE_CHARS = 1 << 18
 U64 = np.uint64
@@ -72,9 +80,10 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Q-grams of a block of items, sorted, with their items and places."""
+    """Q-grams of a block of items and windows, sorted, with their items and places; ``whole``: the item of a window."""
 
     ids: list
+    whole: list
     codes: np.ndarray
     start: np.ndarray
     length: np.ndarray
@@ -91,6 +100,10 @@ def build_index(items: list[tuple], percent: int = EDIT_PERCENT) -> Index | None
     """``items``: (id, normalized text of Q characters at least)."""
     if not items:
         return None
+    windows = [(i, text[a:a + WINDOW]) for i, (_, text) in enumerate(items) if len(text) >= LONG
+               for a in [*range(0, len(text) - WINDOW, STEP), len(text) - WINDOW]]
+    whole = [*range(len(items)), *[i for i, _ in windows]]
+    items = [*items, *[(items[i][0], text) for i, text in windows]]
     codes, start, length = _codes([t for _, t in items])
     budget = np.minimum(length * percent // 100, (length - Q) // Q)  # the bound stays at 1 or more
     value, item, place = [], [], []
@@ -104,7 +117,7 @@ def build_index(items: list[tuple], percent: int = EDIT_PERCENT) -> Index | None
     grams, first = np.unique(value[order], return_index=True)
     known = np.zeros(1 << _TABLE_BITS, bool)
     known[(grams >> U64(64 - _TABLE_BITS)).astype(np.int64)] = True
-    return Index([i for i, _ in items], codes, start, length, budget, length - Q + 1 - budget * Q,
+    return Index([i for i, _ in items], whole, codes, start, length, budget, length - Q + 1 - budget * Q,
                  grams, np.append(first, len(value)), item[order], place[order], known)
 
 
@@ -190,27 +203,30 @@ def search(index: Index, texts: list[str]) -> list[list[dict]]:
         d, t = doc[a:a + 256], item[a:a + 256]
         distance, end = _align(index, codes, start, length, d, t, first[a:a + 256])
         for i in np.flatnonzero(distance <= index.budget[t]):
-            new = {"item_id": index.ids[t[i]], "distance": int(distance[i]), "shared": int(shared[a + i]), "end_char": int(end[i])}
-            old = next((x for x in found[d[i]] if x["index"] == t[i]), None)
+            own = index.whole[t[i]]
+            new = {"item_id": index.ids[own], "distance": int(distance[i]), "shared": int(shared[a + i]), "end_char": int(end[i]),
+                   "index": own, "rank": (own != t[i], int(distance[i]))}
+            old = next((x for x in found[d[i]] if x["index"] == own), None)
             if old is None:
-                found[d[i]].append(new | {"index": t[i]})
-            elif new["distance"] < old["distance"]:
+                found[d[i]].append(new)
+            elif new["rank"] < old["rank"]:
                 old.update(new)
-    return [[{n: v for n, v in x.items() if n != "index"} for x in f] for f in found]
+    return [[{n: v for n, v in x.items() if n not in ("index", "rank")} for x in f] for f in found]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """Normalized items in blocks of at most ``BLOCK_CHARS`` characters (or one longer item)."""
+    """Normalized items in blocks of at most ``BLOCK_CHARS`` characters with windows (or one longer item)."""
     block, held = [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
         text = normalized(r["text"])
         if len(text) < Q:
             continue
-        if block and held + len(text) > BLOCK_CHARS:
+        size = len(text) * (1 + WINDOW // STEP if len(text) >= LONG else 1)  # its windows count
+        if block and held + size > BLOCK_CHARS:
             yield block
             block, held = [], 0
         block.append((r["item_id"], text))
-        held += len(text)
+        held += size
     if block:
         yield block
 
@@ -247,7 +263,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without an item of the benchmark or, of long items, a window."""
     return with_matches(packed(docs, "text"), benchmark).filter(F.size("benchmark_matches") == 0).select("_row.*")
 
 

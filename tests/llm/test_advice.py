@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caselake.llm import classifier, pieces, pii, secrets
+from caselake.llm import classifier, decontaminate, pieces, pii, secrets
 from caselake.llm.common import table
 from tests.llm import cases
 
@@ -130,3 +130,25 @@ def test_viterbi_of_a_unigram_file_with_fractional_scores(tmp_path):
         assert "".join(got) == whole and abs(sum(score[p] for p in got) - sums[-1]) < 1e-9, word
         near += len(got) > 1
     assert near > 200
+
+
+# --- 8: decontamination ----------------------------------------------------------------------------
+
+def test_parts_of_long_items_are_found(spark):
+    rng = random.Random(19)
+    noise = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(n))
+    item, other = noise(220), noise(150)
+    half = len(item) // 2
+    docs = [(1, noise(20) + " " + item[:half] + " " + noise(20)), (2, noise(9) + " " + item[half:]), (3, item[len(item) // 5:]),
+            (4, noise(30) + " " + item), (5, noise(300)), (6, noise(5) + " " + item[137:137 + 300] + " " + noise(5))]
+    edited = list(item[half:])
+    for at in range(30, len(edited), 60):
+        edited[at] = "z"
+    docs += [(7, noise(10) + " " + "".join(edited)), (8, item[:90] + " " + noise(60))]
+    benchmark = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    found = decontaminate.with_matches(cases.documents(spark, docs), benchmark)
+    got = {r.doc_id: [(m.item_id, m.distance) for m in r.benchmark_matches] for r in found.collect()}
+    assert all(got[i] == [(1, 0)] for i in (1, 2, 3, 4, 6)) and [m[0] for m in got[7]] == [1]
+    assert got[5] == got[8] == []
+    left = decontaminate.drop_contaminated(cases.documents(spark, docs), benchmark)
+    assert cases.rows(left, "doc_id") == [(5,), (8,)]
