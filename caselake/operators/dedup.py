@@ -54,14 +54,12 @@ def latest_complete_run(
     """Rows of the newest run that covers enough dimensions.
 
     Runs below ``min_dimensions`` are used only when no run reaches it; with
-    ``None`` the newest among the runs of widest coverage is taken. The log is
-    read once: coverage is taken per run, and the best run is a rank whose group
-    limit leaves one run per partition before the rows meet.
+    ``None`` the newest among the runs of widest coverage is taken. Coverage is
+    a partial aggregate per run; the best run is a one-row scalar subquery, so
+    rows of the log are never sorted or gathered by run.
     """
-    per_run = Window.partitionBy(run)
-    covered = F.size(F.collect_set(dimension).over(per_run))
+    covered = F.count_distinct(dimension)
     coverage = covered if min_dimensions is None else (covered >= min_dimensions).cast("int")
-    marked = log.withColumns({"_coverage": coverage, "_last": F.max(stamp).over(per_run)})
-    order = [F.desc("_coverage"), F.desc("_last"), F.desc(run)]
-    best = marked.withColumn("_rank", F.rank().over(Window.orderBy(*order))).filter("_rank = 1")
-    return best.drop("_coverage", "_last", "_rank")
+    runs = log.groupBy(F.col(run).alias("_run")).agg(coverage.alias("_coverage"), F.max(stamp).alias("_last"))
+    best = runs.agg(F.max_by("_run", F.struct("_coverage", "_last", "_run")).alias("_run"))
+    return log.filter(F.col(run).eqNullSafe(best.scalar()))
