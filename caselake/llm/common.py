@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,23 @@ def text_or_empty(column: str | Column = "text") -> Column:
 def split_words(text: Column) -> Column:
     """Array of the words of ``text``; empty for a text without one."""
     return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != F.lit(""))
+
+
+def record_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096, chars: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of at most ``size`` rows and about ``chars`` characters."""
+    held: list[tuple] = []
+    weight = 0
+    for row in rows:
+        held.append(row)
+        weight += sum(len(v) for v in row if isinstance(v, str))
+        if len(held) >= size or weight >= chars:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, weight = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def dict_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of Arrow batches one by one."""
+    for batch in batches:
+        yield from batch.to_pylist()

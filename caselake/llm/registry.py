@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from caselake.llm import (chat, classifier, decontaminate, neardup, pieces, pii, quality, secrets, sharding, suffixes, urls)
+from caselake.llm import (chat, classifier, decontaminate, neardup, pieces, pii, quality, repair, secrets, sharding, suffixes, urls)
 
 QUERIES = {
     "op1_suffixes": suffixes.op1_suffixes,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_classifier": classifier.op9_quality_classifier,
     "op10_neardup": neardup.op10_neardup,
+    "op11_repair": repair.op11_repair,
     "op13_urls": urls.op13_urls,
     "pipeline": corpus_pipeline.run,
 }
@@ -25,6 +26,7 @@ ORACLES = {
     "op4_quality_rules": quality.OP4_SQL,
     "op7_chat": chat.OP7_SQL,
     "op10_neardup": neardup.OP10_SQL,
+    "op11_repair": repair.OP11_SQL,
     "op13_urls": urls.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
