@@ -19,15 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` written once to the shared folder and read back.
+def stored(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """The rows of ``df`` written once to the shared folder, in subfolders by ``folders``, and read back.
 
     Cuts the lineage: whatever is derived from the result reads files that all
     executors reach, so a lost executor costs no recomputation of ``df``.
     """
     spark = df.sparkSession
     folder = fresh_dir(spark, name)
-    df.write.parquet(folder)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from caselake.llm import (chat, classifier, decontaminate, neardup, pieces, pii, quality, repair, secrets, sharding, suffixes, urls)
+from caselake.llm import (chat, classifier, decontaminate, neardup, pieces, pii, quality, repair, search, secrets,
+                          sharding, suffixes, urls)
 
 QUERIES = {
     "op1_suffixes": suffixes.op1_suffixes,
@@ -17,6 +18,7 @@ QUERIES = {
     "op9_quality_classifier": classifier.op9_quality_classifier,
     "op10_neardup": neardup.op10_neardup,
     "op11_repair": repair.op11_repair,
+    "op12_search": search.op12_search,
     "op13_urls": urls.op13_urls,
     "pipeline": corpus_pipeline.run,
 }
@@ -27,6 +29,7 @@ ORACLES = {
     "op7_chat": chat.OP7_SQL,
     "op10_neardup": neardup.OP10_SQL,
     "op11_repair": repair.OP11_SQL,
+    "op12_search": search.OP12_SQL,
     "op13_urls": urls.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
