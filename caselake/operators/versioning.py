@@ -72,8 +72,8 @@ def scd2_changes(
 ) -> DataFrame:
     """Current rows after a delivery, plus every row the delivery closes.
 
-    ``only_changes`` leaves out current rows that stay as they are; of the
-    stored rows it looks at delivered keys alone.
+    ``only_changes`` leaves out current rows that stay as they are, so ``current``
+    and ``known`` need hold the delivered keys alone.
 
     ``versions``: a changed key closes its current row and opens the new
     version; several versions of a key in one delivery chain in ``order`` and
@@ -87,8 +87,6 @@ def scd2_changes(
     """
     if mode not in ("versions", "close_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
-    if only_changes:
-        current = current.join(source.select(key).distinct(), key, "left_semi").select(*current.columns)
     columns = [*current.columns, *[c for c in source.columns if c not in current.columns]]
     rows = current.withColumn("_new", F.lit(False)).unionByName(
         source.withColumn("_new", F.lit(True)), allowMissingColumns=True

@@ -567,6 +567,19 @@ SELECT {_V}, registro_mais_atual, dh_inicio_vigencia, dh_fim_vigencia FROM (
     CAST(NULL AS VARCHAR) AS dh_fim_vigencia
   FROM second s WHERE s.hash_caso NOT IN (SELECT hash_caso FROM first_load))""", "first_load", "second")
 
+_cte("runs", """
+SELECT *, CASE WHEN year(dh_ultima_atualizacao) < 1997 THEN 1 WHEN year(dh_ultima_atualizacao) < 1999 THEN 2 ELSE 3 END AS corrida
+FROM second""", "second")
+_oracle("scd2_delivery_manifest", """
+SELECT 1 AS number, 'd9' AS delivery, count(*) AS rows, '2002-01-01 00:00:00' AS newest FROM runs WHERE corrida = 1
+UNION ALL SELECT 2, 'd10', count(*) + count(DISTINCT CASE WHEN hash_caso IN (SELECT hash_caso FROM runs WHERE corrida = 1) THEN hash_caso END),
+  '2002-02-01 00:00:00' FROM (SELECT *, lag(hash_registros) OVER (PARTITION BY hash_caso
+    ORDER BY corrida, dh_ultima_atualizacao, hash_registros) AS before FROM runs WHERE corrida < 3)
+  WHERE corrida = 2 AND (before IS NULL OR before <> hash_registros)
+UNION ALL SELECT 3, 'd11', 0, '2002-02-01 00:00:00'""", "runs")
+_oracle("pending_cases", """
+SELECT caso, evolucao, classi_fin, '2002-03-01 00:00:00' AS dh_ingestao_bronze FROM runs WHERE corrida = 3""", "runs")
+
 # --- data quality ------------------------------------------------------------------------------------
 
 _SEV = ("CASE WHEN {p} < 0.8 THEN 'CRÍTICO' WHEN {p} < 0.9 THEN 'ALTO' WHEN {p} < 0.95 THEN 'MÉDIO' "

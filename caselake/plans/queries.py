@@ -474,6 +474,38 @@ def scd2_table_close_only(spark, sf):
     return history.read_history(spark, name)
 
 
+def _three_runs(spark, sf) -> tuple[str, DataFrame]:
+    """Case versions in three runs by year; two are delivered, then the last versions of the second once more."""
+    _, versions = cb.deliveries(spark, sf)
+    year = F.year("dh_ultima_atualizacao")
+    run = F.when(year < 1997, 1).when(year < 1999, 2).otherwise(3)
+    path = storage.fresh_dir(spark, "runs")
+    versions.withColumn("corrida", run).withColumn(
+        "dh_ingestao_bronze", F.make_timestamp(F.lit(2002), F.col("corrida"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    ).write.partitionBy("corrida").parquet(path)
+    bronze = tables.read_table(spark, path)
+    name = f"casos_{uuid.uuid4().hex}"
+    first, second = (bronze.filter(F.col("corrida") == c).drop("corrida") for c in (1, 2))
+    again = dedup.keep_latest(second, ["hash_caso"], "dh_ultima_atualizacao", ties=[F.desc("hash_registros")])
+    for delivery, source in (("d9", first), ("d10", second), ("d11", again)):
+        history.merge_delivery(spark, name, path + "-history", delivery, source, cb.stamp(DELIVERY))
+    return name, bronze
+
+
+@query("scd2_delivery_manifest")
+def scd2_delivery_manifest(spark, sf):
+    """What the manifest says of three deliveries; the third brings nothing new."""
+    name, _ = _three_runs(spark, sf)
+    return history.deliveries(spark, name).select("number", "delivery", "rows", "newest")
+
+
+@query("pending_cases")
+def pending_cases(spark, sf):
+    """Raw rows of the run that was not delivered, found by the manifest alone."""
+    name, bronze = _three_runs(spark, sf)
+    return stages.pending_cases(spark, bronze, name).select("caso", "evolucao", "classi_fin", "dh_ingestao_bronze")
+
+
 @query("latest_run")
 def latest_run(spark, sf):
     return dedup.latest_run(cb.bronze_cases(spark, sf)).select("nu_notific", "run_id")
@@ -864,7 +896,7 @@ def _gold(spark, sf):
         spark, tables.read_table(spark, bronze_path), f"casos_{run}", root, f"{root}/vault", cb.SALT,
         "d1", cb.stamp(RULES_AT),
     )
-    current = history.read_current(spark, f"casos_{run}")
+    current = history.read_current(spark, f"casos_{run}", settle=True)
     return stages.build_gold(current, f"g{run}", root, "run-g", cb.as_of(), cb.stamp(RULES_AT))
 
 

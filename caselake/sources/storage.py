@@ -39,6 +39,12 @@ class Folder:
         self.place = spark._jvm.org.apache.hadoop.fs.Path(path)
         self.system = self.place.getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def children(self) -> list[str]:
+        """Names of what the folder holds; none if it is missing."""
+        if not self.system.exists(self.place):
+            return []
+        return [status.getPath().getName() for status in self.system.listStatus(self.place)]
+
     def delete(self) -> None:
         self.system.delete(self.place, True)
 

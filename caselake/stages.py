@@ -39,15 +39,15 @@ def silver_cases(bronze: DataFrame, salt: str) -> DataFrame:
 def pending_cases(
     spark: SparkSession, bronze: DataFrame, name: str, stamp_column: str = "dh_ingestao_bronze"
 ) -> DataFrame:
-    """Raw rows ingested after everything the history holds, however many runs wait.
+    """Raw rows ingested after everything that was delivered, however many runs wait.
 
-    Rows that changed nothing leave no trace in the history and may be offered
-    again; merging them again changes nothing.
+    The newest delivered stamp comes from the manifest; no stored case is read.
+    Without any stamp all rows are pending.
     """
     if not tables.table_exists(spark, name):
         return bronze
-    merged_until = history.read_history(spark, name).agg(F.max(stamp_column).alias("t")).scalar()
-    return versioning.unmerged_runs(bronze, merged_until, stamp_column)
+    never = F.lit("0001-01-01").cast("timestamp")
+    return versioning.unmerged_runs(bronze, F.coalesce(history.newest_stamp(spark, name), never), stamp_column)
 
 
 def load_cases(
@@ -77,7 +77,8 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """Dimensions, fact, series, snapshot and their checks, all written and read back.
 
-    The fact is deduplicated and written once; the indicators read the stored fact.
+    ``current`` is read once per table built from it: pass settled rows. The fact
+    is deduplicated and written once; the indicators read the stored fact.
     """
     def write(name: str, df: DataFrame, n: int | None = None) -> DataFrame:
         stamped = stamp(df, run_id, now, "dh_ingestao_gold")

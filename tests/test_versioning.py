@@ -129,10 +129,13 @@ def test_stored_history(spark):
     assert summary(history.read_history(spark, name)) == expected
     # an interrupted later delivery left a folder behind: it does not show
     rows(spark, ("x", "1", 9)).withColumns({
-        "registro_mais_atual": F.lit(False), "dh_inicio_vigencia": now(22), "dh_fim_vigencia": now(22),
-    }).write.partitionBy("registro_mais_atual").parquet(f"{root}/{name}/delivery=d4")
+        "registro_mais_atual": F.lit(False), "dh_inicio_vigencia": now(22), "dh_fim_vigencia": now(22), "balde": F.lit(0),
+        "numero_entrega": F.lit(4),
+    }).write.partitionBy("balde", "registro_mais_atual").parquet(f"{root}/{name}/parte=lost")
     assert summary(history.read_history(spark, name)) == expected
     assert {r.hash_registros for r in history.read_current(spark, name).collect()} == {"3", "1"}
+    assert "parte=lost" in history.vacuum(spark, name) and history.vacuum(spark, name) == []
+    assert summary(history.read_history(spark, name)) == expected
     spark.sql(f"DROP VIEW {name}")
 
 
@@ -258,7 +261,7 @@ def test_a_delivery_writes_its_own_size(spark):
     for n in (500, 5000):
         history.merge_delivery(spark, f"{name}{n}", root, "d1", rows(spark, *[(f"k{i}", "1", 1) for i in range(n)]), now(10))
         history.merge_delivery(spark, f"{name}{n}", root, "d2", rows(spark, ("k1", "2", 5), ("new", "1", 5), ("k2", "1", 5)), now(20))
-        assert spark.read.parquet(f"{root}/{name}{n}/delivery=d2").count() == 3  # k1 closed and opened, one new
+        assert [r.rows for r in history.deliveries(spark, f"{name}{n}").orderBy("number").collect()] == [n, 3]  # k1 closed and opened, one new
         assert history.read_current(spark, f"{name}{n}").count() == n + 1
         spark.sql(f"DROP VIEW {name}{n}")
 
@@ -281,3 +284,80 @@ def test_history_gains_columns(spark):
     got = {r.hash_registros: r.nova for r in history.read_history(spark, name).collect()}
     assert got == {"1": None, "2": "n"}
     spark.sql(f"DROP VIEW {name}")
+
+
+def input_bytes(spark):
+    """Bytes that all jobs so far have read from files."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    sc = spark.sparkContext
+    none = sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList()
+    run = sc._jsc.sc().statusStore().stageList(None, False, False, *none)
+    return sum(run.apply(i).inputBytes() for i in range(run.size()))
+
+
+def test_a_small_delivery_reads_as_much_from_a_table_ten_times_larger(spark):
+    name, root, read = "historia_baldes", storage.fresh_dir(spark, "test-buckets"), {}
+    for n in (2_000, 20_000):
+        wide = spark.range(n).select(
+            F.concat(F.lit("k"), "id").alias("hash_caso"), F.lit("1").alias("hash_registros"), F.lit(ts(1)).alias("dh_ultima_atualizacao"),
+            F.sha2(F.col("id").cast("string"), 512).alias("valor"))
+        history.merge_delivery(spark, f"{name}{n}", root, "d1", wide, now(10), bucket_rows=100)
+        source = rows(spark, ("k1", "2", 5), ("new", "1", 5))
+        before = input_bytes(spark)
+        history.merge_delivery(spark, f"{name}{n}", root, "d2", source, now(20))
+        read[n] = input_bytes(spark) - before
+        got = history.read_history(spark, f"{name}{n}")
+        assert got.count() == n + 2 and summary(got.filter("hash_caso = 'k1'")) == [("k1", "1", False, 10, 20), ("k1", "2", True, 20, None)]
+        spark.sql(f"DROP VIEW {name}{n}")
+    assert read[20_000] < 1.5 * read[2_000]
+
+
+def test_deliveries_are_numbered_and_compacted_in_levels(spark):
+    """16 small deliveries: about log n parts, and the rows of the plain merge."""
+    name, root = "historia_niveis", storage.fresh_dir(spark, "test-levels")
+    rng = random.Random(5)
+    deliveries = []
+    for d in range(1, 17):
+        items = {(f"k{rng.randrange(12)}", str(rng.randrange(3))): rng.randrange(1, 28) for _ in range(3)}
+        stamp = 1 + d % 28
+        deliveries.append((stamp, [(k, c, day) for (k, c), day in items.items()]))
+        history.merge_delivery(spark, name, root, f"d{d}", rows(spark, *deliveries[-1][1]), now(stamp), bucket_rows=8)
+    with pytest.raises(ValueError, match="older"):
+        history.merge_delivery(spark, name, root, "d9b", rows(spark, ("a", "1", 1)), now(28))
+    as_tuple = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(summary(history.read_history(spark, name)), key=as_tuple) == sorted(
+        map(tuple, expected_history(deliveries)), key=as_tuple)
+    state = history._state(spark, name)
+    assert history.merged_deliveries(spark, name) == [f"d{d}" for d in range(1, 17)]
+    assert len(state.parts) <= 8 and max(p.buckets for p in state.parts) > 1
+    history.vacuum(spark, name)
+    assert len([c for c in storage.Folder(spark, f"{root}/{name}").children() if c.startswith("parte=")]) == len(state.parts)
+    assert sorted(summary(history.read_history(spark, name)), key=as_tuple) == sorted(
+        map(tuple, expected_history(deliveries)), key=as_tuple)
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_a_merge_opens_the_buckets_of_delivered_keys_only(spark):
+    name, root = "historia_alvo", storage.fresh_dir(spark, "test-target")
+    history.merge_delivery(spark, name, root, "d1", rows(spark, *[(f"k{i}", "1", 1) for i in range(400)]), now(10), bucket_rows=10)
+    state = history._state(spark, name)
+    (part,) = state.parts
+    assert part.buckets == 64
+    bucket = spark.range(1).select(F.lit("k7").alias("k")).select(history._hash("k", 64)).first()[0]
+    opened = history._read(spark, state, state.parts, {bucket}, 64)
+    assert {p.split("balde=")[1].split("/")[0] for p in opened.inputFiles()} == {str(bucket)}
+    assert opened.filter("hash_caso = 'k7'").count() == 1
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_pending_cases_reads_the_manifest_alone(spark):
+    name, root = "historia_manifesto", storage.fresh_dir(spark, "test-manifest")
+    base = rows(spark, ("a", "1", 1)).withColumn("dh_ingestao_bronze", now(3))
+    history.merge_delivery(spark, name, root, "d1", base, now(10))
+    history.merge_delivery(spark, name, root, "d2", base.withColumn("dh_ingestao_bronze", now(6)), now(11))  # changes nothing
+    bronze = base.withColumn("dh_ingestao_bronze", F.explode(F.array(now(6), now(7))))
+    pending = stages.pending_cases(spark, bronze, name)
+    assert [r.dh_ingestao_bronze for r in pending.collect()] == [ts(7)]
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert "manifest" in plan and "parte=" not in plan
+    spark.sql(f"DROP VIEW {name}")
