@@ -5,8 +5,13 @@ its checkpoint; each micro-batch then reads its files with the batch CSV
 reader, once per header layout, so columns are matched by name and may appear,
 move or disappear between files. A micro-batch owns its folders, which a replay
 overwrites, so the sink is idempotent. Rows are written once as they come; the
-format label of a file is taken from the one date column of what was written,
-and duplicates are removed over all batches of a run when the table is read.
+format label of a file is taken from the one date column of what was written.
+
+Duplicates are found when they arrive, on a narrow index: run, natural key,
+place in the settling order and place in the table of every row. A batch compares
+its keys with the run's index and lists the rows that lose; readers leave those
+out by an anti join with the list, so wide rows are never sorted or shuffled.
+Streams of one run write one after the other.
 """
 
 from __future__ import annotations
@@ -25,13 +30,16 @@ from pyspark.sql.streaming import StreamingQuery
 from caselake.catalogs import FALLBACK_KEY_COLUMNS, LINEAGE_COLUMNS, SOURCE_SYSTEM, UNKNOWN_VERSION
 from caselake.functions import as_col, dates, keys
 from caselake.functions.names import sanitize_names
-from caselake.operators import dedup
+from caselake.operators.joins import join_summary
 
 CSV_OPTIONS = {
     "sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
     "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE",
 }
 PATH = "_caminho_arquivo"
+#: Place of a row in the raw table, and what duplicates are found and settled by.
+BATCH, LINE, KEY, CONTENT = "_lote", "_linha", "_chave", "_conteudo"
+_SETTLED = ("nome_arquivo_origem", "versao_arquivo_origem", CONTENT, "dh_ingestao_bronze", BATCH, LINE)
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -115,17 +123,28 @@ def add_file_lineage(
     )
 
 
-def dedup_runs(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
-    """One row per run and natural key, settled by file and content.
+def mark_rows(df: DataFrame, batch: str, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
+    """Adds each row's natural key, content hash and place. Columns a layout lacks count as empty, so layouts agree."""
+    content = sorted(c for c in df.columns if c not in (*LINEAGE_COLUMNS, PATH))  # the hash passes over absent columns
+    parts = [F.col(c) if c in df.columns else F.lit(None).cast("string") for c in fallback]
+    identifier = F.col("nu_notific") if "nu_notific" in df.columns else F.lit(None).cast("string")
+    return df.withColumns({
+        KEY: keys.natural_key(identifier, parts), CONTENT: F.xxhash64(*content), BATCH: F.lit(batch),
+        LINE: F.monotonically_increasing_id(),
+    })
+
 
-    Neither the order of files nor the limits of micro-batches take part.
+def losing_rows(index: DataFrame, batch: str) -> DataFrame:
+    """Places of all rows but one per natural key, for the keys of a batch; ``index`` holds one run.
+
+    The row that stays is the first by file, version and content. Neither the
+    order of files nor the limits of micro-batches take part.
     """
-    content = [c for c in df.columns if c not in (*LINEAGE_COLUMNS, "stream", "batch", PATH)]
-    key = keys.natural_key("nu_notific", [c for c in fallback if c in df.columns])
-    return dedup.keep_first(
-        df, ["run_id", key],
-        ["nome_arquivo_origem", "versao_arquivo_origem", F.xxhash64(*content), "dh_ingestao_bronze"],
-    )
+    arrived = index.filter(F.col(BATCH) == batch).select(KEY)
+    rivals = index.join(arrived, KEY, "left_semi")
+    place = F.struct(*_SETTLED)
+    first = rivals.groupBy(KEY).agg(F.min(place).alias("_first"))
+    return join_summary(rivals, first, KEY).filter(place != F.col("_first")).select(BATCH, LINE)
 
 
 def ingest_csv_stream(
@@ -145,6 +164,7 @@ def ingest_csv_stream(
     Returns the running query; ``awaitTermination()`` waits for it.
     """
     stream_key = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    run_folder = f"run={hashlib.sha256(run_id.encode()).hexdigest()[:12]}"
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
 
     def process_batch(batch: DataFrame, batch_id: int) -> None:
@@ -153,11 +173,15 @@ def ingest_csv_stream(
         files = read_files(session, paths) if paths else None
         if files is None:
             return
-        own = f"stream={stream_key}/batch={batch_id}"
-        rows = add_file_lineage(files, run_id, stamp, versions, system)
+        own, name = f"stream={stream_key}/batch={batch_id}", f"{stream_key}/{batch_id}"
+        rows = mark_rows(add_file_lineage(files, run_id, stamp, versions, system), name)
         rows.write.mode("overwrite").parquet(f"{sink}/rows/{own}")
-        written = session.read.parquet(f"{sink}/rows/{own}")  # of which one column is read
+        written = session.read.parquet(f"{sink}/rows/{own}")  # of which a few columns are read
         detect_date_format(written).write.mode("overwrite").parquet(f"{sink}/formats/{own}")
+        index = f"{sink}/index/{run_folder}"
+        written.select(KEY, *_SETTLED).write.mode("overwrite").parquet(f"{index}/{own}")
+        found = session.read.schema(written.select(KEY, *_SETTLED).schema).parquet(index)
+        losing_rows(found, name).write.mode("overwrite").parquet(f"{sink}/losers/{own}")
 
     discovered = (
         spark.readStream.format("binaryFile").schema(_LISTING)
@@ -180,17 +204,22 @@ def read_bronze(
 ) -> DataFrame:
     """The raw table: columns of all layouts, one row per run and natural key.
 
-    Duplicates are removed here, over all batches of a run, so the rows do not
-    depend on how many files a batch took. ``run_id`` reads one run. Without a
-    schema the columns are merged from the files; pass the known one to plan
-    large tables without reading their footers.
+    Rows that a batch found to lose are left out by an anti join, over all
+    batches of a run, so the rows do not depend on how many files a batch took.
+    ``run_id`` reads one run. Without a schema the columns are merged from the
+    files; pass the known one to plan large tables without reading their footers.
     """
+    if schema:
+        marks = [T.StructField(c, T.LongType() if c == LINE else T.StringType()) for c in (PATH, BATCH, LINE)]
+        schema = T.StructType([*schema.fields, *[m for m in marks if m.name not in schema.names]])
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
     rows = reader.parquet(f"{sink}/rows")
     if run_id is not None:
         rows = rows.filter(F.col("run_id") == run_id)
     formats = spark.read.parquet(f"{sink}/formats")
-    kept = dedup_runs(rows).join(formats, ["stream", "batch", PATH], "left").drop("stream", "batch", PATH)
+    losers = spark.read.schema(f"{BATCH} string, {LINE} long").parquet(f"{sink}/losers").select(BATCH, LINE)
+    kept = rows.join(losers, [BATCH, LINE], "left_anti").join(formats, ["stream", "batch", PATH], "left")
+    kept = kept.drop("stream", "batch", PATH, BATCH, LINE, KEY, CONTENT)
     missing = [c for c in LINEAGE_COLUMNS if c not in kept.columns]
     if missing:
         raise ValueError(f"mandatory columns missing: {missing}")

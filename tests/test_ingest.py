@@ -61,6 +61,30 @@ def test_rows_do_not_depend_on_the_batch_size(spark, tmp_path):
     assert len(found[0]) == 7 and found[0] == found[1] == found[2]
 
 
+def test_reading_never_shuffles_wide_rows(spark, tmp_path):
+    for i in range(3):
+        drop(tmp_path / "in", f"f{i}.csv", f"NU_NOTIFIC;DT_NOTIFIC;X\n{i};2025-01-15;{i}\n7;2025-01-16;{i}\n")
+    got = run(spark, tmp_path, "r", files_per_batch=1)
+    assert sorted((r.nu_notific, r.x) for r in got.collect()) == [("0", "0"), ("1", "1"), ("2", "2"), ("7", "0")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_a_later_batch_can_win_and_a_replay_changes_nothing(spark, tmp_path):
+    """The earliest file by name stays, whichever batch brings it; each batch lists what loses by then."""
+    for i, name in enumerate(("z", "m", "a")):
+        drop(tmp_path / "in", f"{name}.csv", f"NU_NOTIFIC;DT_NOTIFIC;X\n7;2025-01-16;{name}\n{i};2025-01-16;{name}\n")
+        got = run(spark, tmp_path, "r")
+        assert [r.x for r in got.filter("nu_notific = '7'").collect()] == [name]
+    assert got.count() == 4
+    index = spark.read.parquet(*[str(p) for p in (tmp_path / "out" / "index").glob("run=*")])
+    batches = sorted(r[0] for r in index.select(ingest.BATCH).distinct().collect())
+    lost = [sorted(map(tuple, ingest.losing_rows(index.filter(F.col(ingest.BATCH) <= b), b).collect())) for b in batches]
+    assert [len(x) for x in lost] == [0, 1, 2]
+    other = run(spark, tmp_path, "s")  # nothing new
+    assert other.count() == 4
+
+
 def test_headers_of_many_files(spark, tmp_path):
     for i in range(256):
         drop(tmp_path / "in", f"f{i:03d}.csv", f"A;C{i % 3}\n1;2\n")
