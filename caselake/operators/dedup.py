@@ -35,12 +35,15 @@ def distinct_projection(df: DataFrame, columns: Iterable[Column | str]) -> DataF
     return df.select(*columns).distinct()
 
 
-def latest_run(df: DataFrame, run: str = "run_id", stamp: str = "dh_ingestao_bronze") -> DataFrame:
+def latest_run(
+    df: DataFrame, run: str = "run_id", stamp: str = "dh_ingestao_bronze", runs: DataFrame | None = None,
+) -> DataFrame:
     """Rows of the run that holds the newest timestamp.
 
-    The run id is a one-row scalar subquery; it reaches the scan as a pushed filter.
+    The run id is a one-row scalar subquery; it reaches the scan as a pushed
+    filter. ``runs`` (run, stamp) finds it without reading ``df``.
     """
-    newest = df.agg(F.max_by(F.col(run), F.struct(stamp, run)).alias("run"))
+    newest = (df if runs is None else runs).agg(F.max_by(F.col(run), F.struct(stamp, run)).alias("run"))
     return df.filter(F.col(run) == newest.scalar())
 
 
@@ -50,16 +53,18 @@ def latest_complete_run(
     run: str = "run_id",
     stamp: str = "dh_execucao",
     min_dimensions: int | None = 5,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the newest run that covers enough dimensions.
 
     Runs below ``min_dimensions`` are used only when no run reaches it; with
     ``None`` the newest among the runs of widest coverage is taken. Coverage is
     a partial aggregate per run; the best run is a one-row scalar subquery, so
-    rows of the log are never sorted or gathered by run.
+    rows of the log are never sorted or gathered by run. ``runs`` (run, dimension,
+    stamp) finds it without reading the log, of which one run is read then.
     """
     covered = F.count_distinct(dimension)
     coverage = covered if min_dimensions is None else (covered >= min_dimensions).cast("int")
-    runs = log.groupBy(F.col(run).alias("_run")).agg(coverage.alias("_coverage"), F.max(stamp).alias("_last"))
-    best = runs.agg(F.max_by("_run", F.struct("_coverage", "_last", "_run")).alias("_run"))
+    known = (log if runs is None else runs).groupBy(F.col(run).alias("_run"))
+    best = known.agg(coverage.alias("_coverage"), F.max(stamp).alias("_last")).agg(F.max_by("_run", F.struct("_coverage", "_last", "_run")).alias("_run"))
     return log.filter(F.col(run).eqNullSafe(best.scalar()))

@@ -240,6 +240,16 @@ def run_rules(
     ).select(*LOG_COLUMNS)
 
 
+def run_summary(df: DataFrame, rules: Sequence[Rule], executed_at: Column, by_run: str) -> DataFrame:
+    """What :func:`run_rules` will log per run, without evaluating a rule: run_id, dimensao_dmbok, dh_execucao.
+
+    Run selection needs no more; the rules then run over the chosen run's rows.
+    """
+    covered = F.array(*[F.lit(d) for d in dict.fromkeys(rule.dimension for rule in rules)])
+    return df.select(F.col(by_run).alias("run_id")).distinct().select(
+        "run_id", F.explode(covered).alias("dimensao_dmbok"), executed_at.alias("dh_execucao"))
+
+
 def assert_rules(df: DataFrame, rules: Sequence[Rule], as_of: Column | None = None) -> None:
     """Raise when a rule has invalid rows. One job; its result holds one row per rule."""
     now = F.current_timestamp()
@@ -258,9 +268,10 @@ def alerts(log: DataFrame) -> DataFrame:
 def inherit_alerts(
     log: DataFrame, run_id: Column, executed_at: Column,
     impacts: Mapping[str, str] = IMPACTS, recommendations: Mapping[str, str] = RECOMMENDATIONS,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Critical and high alerts of the latest run, with impact and recommendation by column."""
-    latest = alerts(dedup.latest_run(log, "run_id", "dh_execucao"))
+    latest = alerts(dedup.latest_run(log, "run_id", "dh_execucao", runs))
     fallback = F.coalesce(F.col("observacao"), F.lit(IMPACT_FALLBACK))
     return latest.withColumns(
         {

@@ -871,4 +871,17 @@ UNION ALL SELECT 'quality', count(*), CAST(sum(registros_invalidos) AS BIGINT) F
         "cases", "daily0", "monthly", "kpi", "gold_log")
 _oracle("stages_beds", f"""
 SELECT uf, ano_mes, uti_total_exist, 'run-b' AS run_id, {_AT} AS dh_ingestao_silver FROM rollup""", "rollup")
+_oracle("interleaved_clustering", f"""
+SELECT l_suppkey, count(*) AS linhas, {_day('min(l_shipdate)')} AS primeira, max(l_partkey) AS maior_peca FROM lineitem GROUP BY 1""")
+_cte("current_days", """
+SELECT dh_ultima_atualizacao::DATE AS d, count(*) AS total_casos, CAST(sum(CASE WHEN evolucao = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS total_obitos,
+  CAST(sum(CASE WHEN classi_fin <= '2' THEN 1 ELSE 0 END) AS BIGINT) AS total_graves
+FROM merged WHERE registro_mais_atual GROUP BY 1""", "merged")
+_oracle("incremental_daily_series", f"""
+SELECT {_day('d')} AS data_referencia, total_casos, total_obitos, total_graves, {_rate('total_obitos', 'total_casos')} AS taxa_mortalidade,
+  round(avg(total_casos) OVER (ORDER BY d ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS media_movel_7d_casos FROM current_days""", "current_days")
+_oracle("incremental_monthly_series", """
+SELECT strftime(d, '%Y-%m') AS ano_mes, CAST(sum(total_casos) AS BIGINT) AS total_casos, CAST(sum(total_obitos) AS BIGINT) AS total_obitos,
+  CAST(sum(total_graves) AS BIGINT) AS total_graves FROM current_days GROUP BY 1""", "current_days")
+ORACLES["stored_quality_run"] = ORACLES["latest_complete_run"]
 ORACLES["scd2_table_close_only"] = ORACLES["scd2_close_only"]

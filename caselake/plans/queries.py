@@ -18,7 +18,7 @@ from caselake.operators import (
     capacity, context, dedup, metrics, normalize, privacy, quality, star, versioning, views,
 )
 from caselake.plans import casebook as cb
-from caselake.sources import history, storage, tables
+from caselake.sources import history, runlog, series, storage, tables
 from caselake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,7 +112,8 @@ def peak_day(spark, sf):
 def trailing_30d(spark, sf):
     fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
-    return metrics.trailing_days(metrics.daily_metrics(fact), ref=ref).orderBy(
+    recent = metrics.newest_days(fact, "dt_sin_pri")
+    return metrics.trailing_days(metrics.daily_metrics(recent), ref=ref).orderBy(
         F.desc("data_referencia")
     )
 
@@ -580,37 +581,63 @@ def gold_checks(spark, sf):
     )
 
 
-def quality_log(spark, sf):
-    """Rule history: one run per year of raw cases, one two-dimension run per day of events."""
-    year_end = F.concat(F.substring("run_id", 5, 4), F.lit("-12-31")).cast("timestamp")
-    cases = quality.run_rules(
-        cb.bronze_cases(spark, sf), quality.case_rules(), "Bronze", "casos", cb.as_of(), year_end,
-        by_run="run_id",
-    )
+def _year_end():
+    return F.concat(F.substring("run_id", 5, 4), F.lit("-12-31")).cast("timestamp")
+
+
+def _case_run_source(spark, sf):
+    """Raw cases, one quality run per year."""
+    return cb.bronze_cases(spark, sf), quality.case_rules(), _year_end()
+
+
+def _event_run_source(spark, sf):
+    """Events with two-dimension rules, one quality run per day."""
     events = cb.table(spark, sf, "events").withColumns({
         "run_id": F.date_format("ts", "yyyy-MM-dd"),
         "event_type": F.when(F.col("event_type") != "error", F.col("event_type")),
     })
     rules = [*quality.completeness(["event_type"]),
              quality.RowRule("Validade - value", "Validade", "value", F.col("value") < 20)]
-    daily = quality.run_rules(
-        events, rules, "Bronze", "eventos", cb.as_of(), F.col("run_id").cast("timestamp"),
-        by_run="run_id",
-    )
-    return cases.unionByName(daily)
+    return events, rules, F.col("run_id").cast("timestamp")
+
+
+def case_log(spark, sf):
+    rows, rules, at = _case_run_source(spark, sf)
+    return quality.run_rules(rows, rules, "Bronze", "casos", cb.as_of(), at, by_run="run_id")
+
+
+def quality_log(spark, sf):
+    """Rule history: one run per year of raw cases, one two-dimension run per day of events."""
+    rows, rules, at = _event_run_source(spark, sf)
+    daily = quality.run_rules(rows, rules, "Bronze", "eventos", cb.as_of(), at, by_run="run_id")
+    return case_log(spark, sf).unionByName(daily)
+
+
+def quality_runs(spark, sf):
+    """Runs of that history with the dimensions they cover, no rule evaluated."""
+    summaries = [quality.run_summary(*source(spark, sf), "run_id") for source in (_case_run_source, _event_run_source)]
+    return summaries[0].unionByName(summaries[1])
 
 
 def gold_log(spark, sf):
     """Fact checks, one run per year."""
-    year_end = F.concat(F.substring("run_id", 5, 4), F.lit("-12-31")).cast("timestamp")
     return quality.run_rules(
-        _gold_source(spark, sf), quality.fact_rules(), "Gold", "fato", cb.as_of(), year_end,
+        _gold_source(spark, sf), quality.fact_rules(), "Gold", "fato", cb.as_of(), _year_end(),
         by_run="run_id",
     )
 
 
 def _complete(spark, sf):
-    return dedup.latest_complete_run(quality_log(spark, sf))
+    return dedup.latest_complete_run(quality_log(spark, sf), runs=quality_runs(spark, sf))
+
+
+@query("stored_quality_run")
+def stored_quality_run(spark, sf):
+    """The rule history stored by run; the newest complete run read back by its summary."""
+    path, log = storage.fresh_dir(spark, "runs"), quality_log(spark, sf)
+    runlog.append_runs(log, path, "all")
+    kept = runlog.latest_complete_run(spark, path, log.schema)
+    return kept.select("run_id", "regra_qualidade", "registros_validos", "severidade")
 
 
 @query("quality_log_by_run")
@@ -625,13 +652,14 @@ def latest_complete_run(spark, sf):
 
 @query("latest_covering_gold_run")
 def latest_covering_gold_run(spark, sf):
-    return dedup.latest_complete_run(gold_log(spark, sf), min_dimensions=None)
+    runs = quality.run_summary(_gold_source(spark, sf), quality.fact_rules(), _year_end(), "run_id")
+    return dedup.latest_complete_run(gold_log(spark, sf), min_dimensions=None, runs=runs)
 
 
 @query("inherit_alerts")
 def inherit_alerts(spark, sf):
-    log = quality_log(spark, sf).filter(F.col("tabela_avaliada") == "casos")
-    return quality.inherit_alerts(log, F.lit("run-g"), cb.stamp(RULES_AT))
+    runs = quality.run_summary(*_case_run_source(spark, sf), "run_id")
+    return quality.inherit_alerts(case_log(spark, sf), F.lit("run-g"), cb.stamp(RULES_AT), runs=runs)
 
 
 @query("severity_summary")
@@ -776,7 +804,7 @@ def kpi_with_alerts(spark, sf):
 def daily_series_view(spark, sf):
     fact = cb.indicators(spark, sf)
     ref = metrics.reference_date(fact, "dt_sin_pri")
-    return views.daily_series(metrics.daily_metrics(fact), ref)
+    return views.daily_series(metrics.daily_metrics(metrics.newest_days(fact, "dt_sin_pri")), ref)
 
 
 @query("monthly_series_view")
@@ -853,10 +881,47 @@ def file_lineage(spark, sf):
 def compact_and_cluster(spark, sf):
     path = storage.fresh_dir(spark, "clustered")
     orders = cb.table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    tables.compact_and_cluster(orders, path, ["o_orderdate", "o_orderstatus"])
+    tables.compact_and_cluster(orders, path, ["o_orderdate", "o_orderstatus"], interleave=True)
     return tables.read_table(spark, path)
 
 
+@query("interleaved_clustering")
+def interleaved_clustering(spark, sf):
+    """Line items laid out so that filters on ship date, part or supplier skip files; each supplier read back."""
+    path = storage.fresh_dir(spark, "interleaved")
+    lines = cb.table(spark, sf, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    tables.compact_and_cluster(lines, path, ["l_shipdate", "l_partkey", "l_suppkey"], files=16, interleave=True)
+    stored = tables.read_table(spark, path)
+    return stored.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("linhas"), F.min("l_shipdate").alias("primeira"), F.max("l_partkey").alias("maior_peca"))
+
+
+_CASE_SUMS = {"total_casos": "1", "total_obitos": "CASE WHEN evolucao = 'F' THEN 1 ELSE 0 END",
+              "total_graves": "CASE WHEN classi_fin <= '2' THEN 1 ELSE 0 END"}
+
+
+def _updated_series(spark, sf) -> str:
+    """The daily series of the current cases after two deliveries, each applied by its own changes."""
+    name, root = f"casos_{uuid.uuid4().hex}", storage.fresh_dir(spark, "series")
+    for delivery, source in zip((cb.FIRST_DELIVERY_BEFORE, DELIVERY), cb.deliveries(spark, sf)):
+        history.merge_delivery(spark, name, root, f"d{delivery}", source, cb.stamp(delivery))
+        number, changes = history.last_changes(spark, name)
+        series.apply_delivery(changes, f"{root}/serie", number, "dh_ultima_atualizacao", _CASE_SUMS)
+    return f"{root}/serie"
+
+
+@query("incremental_daily_series")
+def incremental_daily_series(spark, sf):
+    days = series.read_days(spark, _updated_series(spark, sf), _CASE_SUMS)
+    rated = metrics.add_rates(days, {"taxa_mortalidade": ("total_obitos", "total_casos")})
+    return metrics.moving_average(rated, "total_casos", "media_movel_7d_casos")
+
+
+@query("incremental_monthly_series")
+def incremental_monthly_series(spark, sf):
+    return series.read_months(spark, _updated_series(spark, sf), _CASE_SUMS)
+
+
 @query("append_log")
 def append_log(spark, sf):
     """Two quality runs appended to one history."""

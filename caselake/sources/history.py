@@ -263,6 +263,14 @@ def _publish(spark: SparkSession, name: str, state: State, place: dict[int, Part
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS SELECT '{manifest}' AS manifest")
 
 
+def last_changes(spark: SparkSession, name: str) -> tuple[int, DataFrame]:
+    """Number of the newest delivery, and the rows it closed and opened."""
+    state = _state(spark, name)
+    last = state.merged[-1]
+    parts = [p for p in state.parts if last.number in p.deliveries]
+    return last.number, _read(spark, state, parts).filter(F.col(NUMBER) == last.number).drop(NUMBER)
+
+
 def vacuum(spark: SparkSession, name: str) -> list[str]:
     """Deletes the folders that the manifest does not name; call it when no reader uses an earlier state."""
     state = _state(spark, name)

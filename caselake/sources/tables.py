@@ -95,28 +95,57 @@ def location(spark: SparkSession, name: str) -> str:
     return entry_properties(spark, name)["location"]
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
-    """Range-cluster rows for row-group skipping, in ``files`` evenly sized parts.
+#: Ranges per clustering column of an interleaved key, as a power of two, and rows sampled for their bounds.
+RANGE_BITS, BOUND_SAMPLE = 5, 4096
+
+
+def interleaved_key(df: DataFrame, columns: Sequence[str]) -> Column:
+    """One number whose bits are the interleaved bits of each column's range rank.
+
+    Bounds are quantiles of the rows with the least row hashes, a bounded sample
+    that reruns find again. A rank counts the bounds below a value (NULL: 0), so
+    the key works for every type that sorts and neighbours in all columns get
+    neighbouring keys.
+    """
+    row = F.xxhash64(*[F.col(c) for c in df.columns])
+    sample = df.select(*columns, row.alias("_row")).orderBy("_row").limit(BOUND_SAMPLE).collect()
+    key, n = F.lit(0).cast("long"), len(columns)
+    for j, column in enumerate(columns):
+        values = sorted(r[column] for r in sample if r[column] is not None)
+        bounds = sorted({values[i * len(values) >> RANGE_BITS] for i in range(1, 1 << RANGE_BITS)}) if values else []
+        rank = F.lit(0)
+        for bound in bounds:
+            rank = rank + F.coalesce((F.col(column) >= F.lit(bound)).cast("int"), F.lit(0))
+        for bit in range(RANGE_BITS):
+            on = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
+            key = key.bitwiseOR(F.shiftleft(on, bit * n + n - 1 - j))
+    return key
+
+
+def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, interleave: bool = False) -> DataFrame:
+    """Range-cluster rows for file and row-group skipping, in ``files`` evenly sized parts.
 
     Without a number the adaptive plan chooses it by size. A row hash follows
     the clustering columns in the range key, so one value that holds most rows
-    is cut over several files instead of filling one.
+    is cut over several files instead of filling one. In plain order a filter on
+    the first column skips files; ``interleave`` lets filters on any of them do so.
     """
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    keys = [*[F.col(c) for c in columns], spread]
+    order = [interleaved_key(df, columns)] if interleave and len(columns) > 1 else [F.col(c) for c in columns]
+    keys = [*order, spread]
     ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*columns)
 
 
 def compact_and_cluster(
-    df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None
+    df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None, interleave: bool = False,
 ) -> None:
     """Rewrite to few files in a new folder, clustered when columns are given.
 
     Without a number of files the adaptive plan merges small partitions up to its advisory size.
     """
     if columns:
-        compact = cluster(df, columns, files)
+        compact = cluster(df, columns, files, interleave)
     else:
         compact = df.repartition(files) if files else df.hint("rebalance")
     compact.write.parquet(path)

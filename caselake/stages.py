@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from caselake.operators import capacity, metrics, normalize, privacy, quality, star, versioning
 from caselake.sources import history, tables
 
-# table -> columns its files are clustered by
+# table -> columns its files are clustered by, several of them interleaved
 CLUSTERING = {
     "dim_tempo": ("data",),
     "dim_localidade": ("sg_uf",),
@@ -66,7 +66,7 @@ def load_cases(
 def publish(df: DataFrame, name: str, table: str, root: str, files: int | None) -> DataFrame:
     """Write a table clustered for its readers and return it as stored."""
     columns = CLUSTERING.get(name, ())
-    laid_out = tables.cluster(df, columns, files) if columns else df
+    laid_out = tables.cluster(df, columns, files, interleave=True) if columns else df
     tables.overwrite(laid_out, table, root)
     return tables.read_table(df.sparkSession, table)
 
