@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.common import packed, stored, table, text_or_empty
+from caselake.llm.common import packed, stored, table, text_or_empty, text_reader
 from caselake.llm.textnp import RollingHash, lower_ascii, mix, slices, words
 
 BUCKETS = 1 << 16
@@ -160,7 +160,7 @@ def with_weights(docs: DataFrame, ratio: np.ndarray, toxic: np.ndarray | None =
     """``docs`` with ``log_weight``, ``toxic_weight`` (0 without toxic ratios) and ``has_words``."""
     # BUCKETS and 2 ** TOXIC_BITS numbers
     held = docs.sparkSession.sparkContext.broadcast((ratio.astype(np.float64), toxic))
-    at = docs.columns.index("text")
+    texts = text_reader(docs)
     new = ["log_weight", "toxic_weight", "has_words"]
     schema = T.StructType(docs.schema.fields + [
         T.StructField(c, T.BooleanType() if c == "has_words" else T.DoubleType()) for c in new])
@@ -169,7 +169,7 @@ def with_weights(docs: DataFrame, ratio: np.ndarray, toxic: np.ndarray | None =
         table_, toxic_table = held.value
         for batch in batches:
             weight, toxic_weight, some = np.zeros(batch.num_rows), np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
-            for first, last, data, offsets in slices(batch.column(at)):
+            for first, last, data, offsets in slices(texts(batch)):
                 hashes, row = ngram_hashes(data, offsets)
                 total = np.bincount(row, weights=table_[in_buckets(hashes)], minlength=last - first)
                 n = np.bincount(row, minlength=last - first)
@@ -183,9 +183,9 @@ def with_weights(docs: DataFrame, ratio: np.ndarray, toxic: np.ndarray | None =
     return docs.mapInArrow(score, schema)
 
 
-def with_noise(scored: DataFrame) -> DataFrame:
-    """Adds ``noisy_weight``: log weight plus standard Gumbel noise from a hash of the row."""
-    bits = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty()), 11).cast("double")
+def with_noise(scored: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``noisy_weight``: log weight plus standard Gumbel noise from a hash of id and text."""
+    bits = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty(text)), 11).cast("double")
     uniform = (bits + 0.5) / float(1 << 53)
     return scored.withColumn("noisy_weight", F.col("log_weight") - F.log(-F.log(uniform)))
 
@@ -277,13 +277,12 @@ def fit(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, float]:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, log_weight, toxic_weight, noisy_weight and kept for every row of ``docs``, and the row itself as ``_row``."""
-    docs = packed(docs, "doc_id", "text")
     sample = labelled(docs, labels)
     ratio, cut = fit(docs, sample)
     toxic, toxic_cut = fit_toxic(sample)
-    noisy = with_noise(with_weights(docs, ratio, toxic))
+    noisy = with_noise(with_weights(packed(docs, "doc_id"), ratio, toxic), "_row.text")
     good = F.col("has_words") & (F.col("noisy_weight") >= F.lit(cut))
-    return noisy.withColumn("kept", good & (F.col("toxic_weight") < F.lit(toxic_cut))).drop("has_words", "text")
+    return noisy.withColumn("kept", good & (F.col("toxic_weight") < F.lit(toxic_cut))).drop("has_words")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

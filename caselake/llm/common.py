@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import fields
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,31 @@ def packed(docs: DataFrame, *columns: str | Column) -> DataFrame:
     return docs.select(whole, *columns)
 
 
+def text_reader(docs: DataFrame) -> Callable[[pa.RecordBatch], pa.Array]:
+    """Finds the texts in Arrow batches of ``docs``: its column ``text``, or the one inside ``_row``.
+
+    Whole rows go through Python once this way, not a second time for their texts.
+    """
+    names = docs.columns
+    if "text" in names:
+        at = names.index("text")
+        return lambda batch: batch.column(at)
+    at, inside = names.index("_row"), docs.schema["_row"].dataType.names.index("text")
+    return lambda batch: batch.column(at).field(inside)
+
+
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Bounds the bytes of text that Spark hands to Python at once, for sessions that run operators on whole rows."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(setting).rstrip("b")) <= size:
+        spark.conf.set(setting, size)
+
+
+def plain(value) -> tuple:
+    """The fields of a dataclass as a tuple, which workers unpickle without this package."""
+    return tuple(getattr(value, f.name) for f in fields(value))
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

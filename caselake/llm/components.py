@@ -1,4 +1,9 @@
-"""Connected components of a distributed list of links."""
+"""Connected components of a distributed list of links.
+
+Defined results: a link with a null end or from a node to itself links nothing,
+so such a node is in the result only if another link names it; repeated links
+count once; without links there are no rows.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caselake.llm.common import stored
+from caselake.operators.joins import join_summary
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,18 +22,18 @@ def _around(edges: DataFrame, smaller: bool) -> DataFrame:
     """One star step: every node hands its least neighbour to its larger (or its smaller) neighbours.
 
     ``edges`` are (a, b) with a > b. A node with very many neighbours is summed
-    up before the shuffle; the join back is left to the adaptive skew join.
+    up before the shuffle, and the adaptive skew join can split the join back.
     """
     if smaller:  # neighbours of u are those below it
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     else:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("_u", "m").alias("m"))
-    joined = near.join(least, F.col("u") == F.col("_u"))
+    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    joined = join_summary(near, least, "u")
     if smaller:
         linked = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(
-            least.select(F.col("_u").alias("a"), F.col("m").alias("b")))
+            least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     else:
         linked = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return linked.filter("a > b").distinct()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.common import packed, table
+from caselake.llm.common import packed, plain, table, text_reader
 
 Q = 8
 #: Edits allowed per hundred characters of an item.
@@ -237,23 +237,25 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
     docs = docs.drop(column)
     out = docs.withColumn(column, F.array().cast(MATCHES))
     schema = T.StructType(docs.schema.fields + [T.StructField(column, MATCHES)])
-    at = docs.columns.index("text")
+    read = text_reader(docs)
     for block in _blocks(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast(build_index(block, percent))  # BLOCK_CHARS bounds it
+        # BLOCK_CHARS bounds it; plain arrays, which workers read without this package
+        held = docs.sparkSession.sparkContext.broadcast(plain(build_index(block, percent)))
 
         def find(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            index = Index(*held.value)
             for batch in batches:
                 matches: list[list[dict]] = []
                 texts: list[str] = []
                 chars = 0
-                for scalar in batch.column(at):
+                for scalar in read(batch):
                     text = normalized(scalar.as_py())
                     texts.append(text)
                     chars += len(text)
                     if chars >= SLICE_CHARS:
-                        matches.extend(search(held.value, texts))
+                        matches.extend(search(index, texts))
                         texts, chars = [], 0
-                matches.extend(search(held.value, texts))
+                matches.extend(search(index, texts))
                 before = batch.column(batch.num_columns - 1).to_pylist()
                 both = pa.array([(b or []) + m for b, m in zip(before, matches)], _MATCH)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], both], batch.schema.names)
@@ -264,7 +266,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without an item of the benchmark or, of long items, a window."""
-    return with_matches(packed(docs, "text"), benchmark).filter(F.size("benchmark_matches") == 0).select("_row.*")
+    return with_matches(packed(docs), benchmark).filter(F.size("benchmark_matches") == 0).select("_row.*")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +39,14 @@ from pyspark.sql.window import Window
 from caselake.llm.common import packed, stored, table, text_or_empty
 from caselake.llm.components import components
 from caselake.llm.textnp import RollingHash, lower_ascii, mix, slices, words
+from caselake.operators.joins import join_summary
 
 WORDS = 5
 K = 64
 DROP = 24
 PERCENT = 80
 SIGMAS = 6
-#: Classes of one list, and bytes of full sets of one group, that a block holds.
+#: Classes of one list, and bytes of texts and full sets of one group, that a block holds.
 LIST_BLOCK = 4096
 SET_BLOCK = 4 << 20
 U64 = np.uint64
@@ -84,11 +84,11 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[
     return value[new], row[new]
 
 
-SKETCHES = "doc_id long, text_hash long, n long, class long, sketch array<long>"
+SKETCHES = "doc_id long, text_hash long, n long, class long, sketch array<long>, bytes long"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text, text_hash -> ids, n (size of the set), class (hash of the set), sketch (least K, as signed)."""
+    """doc_id, text, text_hash -> ids, n (size of the set), class (hash of the set), sketch (least K, as signed), bytes."""
     for batch in batches:
         for first, last, data, offsets in slices(batch.column(1)):
             value, row = shingles(data, offsets)
@@ -102,8 +102,18 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.concatenate([[0], np.cumsum(np.minimum(n, K))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, m), batch.column(2).slice(first, m), pa.array(n, pa.int64()),
-                 pa.array(cls.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(low))],
-                ["doc_id", "text_hash", "n", "class", "sketch"])
+                 pa.array(cls.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(low)), pa.array(np.diff(offsets))],
+                ["doc_id", "text_hash", "n", "class", "sketch", "bytes"])
+
+
+def _once(members: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """One row of each class, and the classes."""
+    cls, first = np.unique(members.column("class").to_numpy(), return_index=True)
+    return members.take(pa.array(first)), cls
+
+
+def _linked(cls: np.ndarray, a: list[int], b: list[int]) -> pa.Table:
+    return pa.table({"a": pa.array(cls[a], pa.int64()), "b": pa.array(cls[b], pa.int64())})
 
 
 def _forest(near, n: int) -> tuple[list[int], list[int]]:
@@ -128,13 +138,13 @@ def _estimated(percent: int):
     t = percent / 100
     lenient = t - SIGMAS * (t * (1 - t) / K) ** 0.5
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("class")
-        size = pdf["n"].to_numpy()
+    def links(members: pa.Table) -> pa.Table:
+        members, cls = _once(members)
+        size = members.column("n").to_numpy()
         kept = np.minimum(size, K)
-        flat = np.concatenate(pdf["sketch"].to_numpy())
+        flat = members.column("sketch").combine_chunks().flatten().to_numpy()
         values, column = np.unique(flat.view(U64), return_inverse=True)
-        table_ = np.full((len(pdf), K), len(values), dtype=np.int64)  # the last column stands for "no value"
+        table_ = np.full((len(cls), K), len(values), dtype=np.int64)  # the last column stands for "no value"
         table_[np.arange(K)[None, :] < kept[:, None]] = column
         places = np.zeros(len(values) + 1, dtype=np.int64)
         steps = np.arange(1, K + 1)
@@ -156,19 +166,17 @@ def _estimated(percent: int):
             places[mine] = 0
             return out
 
-        a, b = _forest(near, len(pdf))
-        cls = pdf["class"].to_numpy()
-        return pd.DataFrame({"a": cls[a], "b": cls[b]}, dtype="int64")
+        return _linked(cls, *_forest(near, len(cls)))
 
     return links
 
 
 def _exact(percent: int):
     """Spanning links of a block of texts whose full sets reach the threshold."""
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("class")
+    def links(members: pa.Table) -> pa.Table:
+        members, cls = _once(members)
         sets, bounds = [], [0]
-        for _, _, data, offsets in slices(pa.array(pdf["text"], pa.string())):
+        for _, _, data, offsets in slices(members.column("text").combine_chunks()):
             value, row = shingles(data, offsets)
             sets.append(value)
             bounds.extend((bounds[-1] + np.cumsum(np.bincount(row, minlength=len(offsets) - 1))).tolist())
@@ -193,9 +201,7 @@ def _exact(percent: int):
             mark[mine] = False
             return out
 
-        a, b = _forest(near, len(pdf))
-        cls = pdf["class"].to_numpy()
-        return pd.DataFrame({"a": cls[a], "b": cls[b]}, dtype="int64")
+        return _linked(cls, *_forest(near, len(cls)))
 
     return links
 
@@ -216,7 +222,7 @@ def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes whose estimates may reach the threshold; a spanning forest per list."""
     terms = classes.select("class", F.explode("sketch").alias("value"))
     frequent = terms.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = terms.join(frequent, "value").groupBy("class").agg(
+    shared = join_summary(terms, frequent, "value").groupBy("class").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("terms"))  # K entries at most
     sizes = classes.select("class", F.size("sketch").alias("m"))
     kept = F.col("m") - F.least(F.lit(DROP), F.floor(F.col("m") * DROP / K))  # values of the sketch that make lists
@@ -233,21 +239,21 @@ def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
     members = lists.join(once, "value").withColumn("_blocks", F.ceil(F.col("size") / LIST_BLOCK))
     rows = block_pairs(members, ["value"], F.col("_blocks")).select("value", "_i", "_j", "class")
     return (rows.join(classes, "class").groupBy("value", "_i", "_j")
-            .applyInPandas(_estimated(percent), "a long, b long").distinct())
+            .applyInArrow(_estimated(percent), "a long, b long").distinct())
 
 
 def confirmed_links(docs: DataFrame, rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes of one group (node, label) whose full sets reach the threshold."""
     chosen = rows.join(groups, F.col("class") == F.col("node")).groupBy("class", "label").agg(
-        F.min(F.struct("doc_id", "text_hash", "n")).alias("r")).select("class", "label", "r.*")
-    weight = chosen.groupBy(F.col("label").alias("_label")).agg(F.sum(8 * F.col("n")).alias("bytes"))
-    chosen = chosen.join(weight, F.col("label") == F.col("_label"))
+        F.min(F.struct("doc_id", "text_hash", "n", "bytes")).alias("r")).select("class", "label", "r.*")
+    weight = chosen.groupBy("label").agg(F.sum(8 * F.col("n") + F.col("bytes")).alias("weight"))
+    chosen = join_summary(chosen.drop("bytes"), weight, "label")
     texts = docs.select(F.col("doc_id").alias("_id"), "text", F.xxhash64(text_or_empty()).alias("_hash"))
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
     # Repeated rows give a class's text again; the search drops them.
-    members = texts.join(chosen, same).select("class", "label", "text", F.ceil(F.col("bytes") / SET_BLOCK).alias("_blocks"))
+    members = texts.join(chosen, same).select("class", "label", "text", F.ceil(F.col("weight") / SET_BLOCK).alias("_blocks"))
     pairs = block_pairs(members, ["label"], F.col("_blocks")).select("label", "_i", "_j", "class", "text")
-    return pairs.groupBy("label", "_i", "_j").applyInPandas(_exact(percent), "a long, b long").distinct()
+    return pairs.groupBy("label", "_i", "_j").applyInArrow(_exact(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -255,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hashed = docs.withColumn("text_hash", F.xxhash64(text_or_empty()))
     sketched = stored(hashed.mapInArrow(_sketches, SKETCHES), "sketches")
-    plain = sketched.select("doc_id", "text_hash", "n", "class")
+    plain = sketched.select("doc_id", "text_hash", "n", "class", "bytes")
     filled = sketched.filter("n > 0")
     one = Window.partitionBy("class").orderBy("n")
     classes = stored(filled.select("class", "n", "sketch").withColumn("_r", F.row_number().over(one))
@@ -265,8 +271,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = components(links, "near-duplicate-groups").select(F.col("node").alias("_node"), "label")
     labelled = plain.join(labels, (F.col("n") > 0) & (F.col("class") == F.col("_node")), "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "class")).drop("_node")
-    least = labelled.filter("n > 0").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("_least"))
-    return labelled.join(least, (F.col("n") > 0) & (F.col("label") == F.col("_label")), "left").select(
+    least = labelled.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least"))
+    return join_summary(labelled, least, "label", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from caselake.llm.common import table
+from caselake.llm.common import plain, table
 from caselake.llm.textnp import BASES, RollingHash, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -386,12 +386,12 @@ def _lists(ids: np.ndarray, per: np.ndarray) -> pa.Array:
 def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` without its text, with ``token_ids``."""
     docs = docs.drop("token_ids")
-    held = docs.sparkSession.sparkContext.broadcast(load(path))
+    held = docs.sparkSession.sparkContext.broadcast(plain(load(path)))  # plain arrays, which workers read without this package
     at = docs.columns.index("text")
     rest = [i for i in range(len(docs.columns)) if i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        encoder = Encoder(Vocabulary(*held.value))
         for batch in batches:
             for first, last, data, offsets in slices(batch.column(at), _SLICE):
                 ids, per = encoder.slice(data, offsets)
@@ -415,19 +415,20 @@ def _digested(part: pa.RecordBatch, data: np.ndarray, length: np.ndarray, whole:
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` without its text, with ``token_ids`` and the SHA-256 of what they decode to, in one pass."""
     docs = docs.drop("token_ids", "decoded_sha256")
-    held = docs.sparkSession.sparkContext.broadcast(load(path))
+    held = docs.sparkSession.sparkContext.broadcast(plain(load(path)))  # plain arrays, which workers read without this package
     at = docs.columns.index("text")
     rest = [i for i in range(len(docs.columns)) if i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        vocabulary = Vocabulary(*held.value)
+        encoder = Encoder(vocabulary)
         for batch in batches:
             for first, last, data, offsets in slices(batch.column(at), _SLICE):
                 ids, per = encoder.slice(data, offsets)
                 kept = [batch.column(i).slice(first, last - first) for i in rest]
                 names = [batch.schema.names[i] for i in rest]
                 part = pa.RecordBatch.from_arrays([*kept, _lists(ids, per)], [*names, "token_ids"])
-                yield _digested(part, *decode(held.value, ids, per), whole=False)
+                yield _digested(part, *decode(vocabulary, ids, per), whole=False)
 
     schema = docs.drop("text").schema.add("token_ids", T.ArrayType(T.IntegerType())).add("decoded_sha256", T.StringType())
     return docs.mapInArrow(run, schema)
@@ -436,16 +437,17 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes its ``token_ids`` stand for, and their SHA-256 in hex."""
     encoded = encoded.drop("decoded", "decoded_sha256")
-    held = encoded.sparkSession.sparkContext.broadcast(load(path))
+    held = encoded.sparkSession.sparkContext.broadcast(plain(load(path)))  # plain arrays, which workers read without this package
     at = encoded.columns.index("token_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(*held.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
                 lists = part.column(at)
                 per = np.array([len(x) if x.is_valid else 0 for x in lists], dtype=np.int64)
-                data, length = decode(held.value, lists.flatten().to_numpy(zero_copy_only=False), per)
+                data, length = decode(vocabulary, lists.flatten().to_numpy(zero_copy_only=False), per)
                 yield _digested(part, data, length, whole=True)
 
     schema = encoded.select("*").schema.add("decoded", T.BinaryType()).add("decoded_sha256", T.StringType())
