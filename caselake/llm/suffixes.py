@@ -374,4 +374,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
 
 def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+    """Beside the counts: whether anything was removed, and the text left (U+FFFD where a cut splits a character)."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"),
+                        left.alias("text"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from caselake.llm import classifier, decontaminate, pieces, pii, secrets
 from caselake.llm.common import table
-from caselake.operators import dedup
 from tests.llm import cases
 
 # --- 9: classifier ---------------------------------------------------------------------------------
@@ -153,15 +152,3 @@ def test_parts_of_long_items_are_found(spark):
     assert got[5] == got[8] == []
     left = decontaminate.drop_contaminated(cases.documents(spark, docs), benchmark)
     assert cases.rows(left, "doc_id") == [(5,), (8,)]
-
-
-# --- runs of a log ---------------------------------------------------------------------------------
-
-def test_best_run_is_found_without_a_window(spark):
-    rows = [("a", d, 3) for d in range(5)] + [("b", d % 4, 9) for d in range(8)] + [("c", d, 5) for d in range(5)] + [(None, d, 4) for d in range(5)]
-    log = spark.createDataFrame(rows, "run_id string, dimensao_dmbok int, dh_execucao int")
-    best = dedup.latest_complete_run(log)
-    assert cases.rows(best) == [r for r in rows if r[0] == "c"]
-    assert "Window" not in best._jdf.queryExecution().toString()
-    assert cases.rows(dedup.latest_complete_run(log.filter("run_id IS NULL"))) == [r for r in rows if r[0] is None]
-    assert dedup.latest_complete_run(log.limit(0)).count() == 0

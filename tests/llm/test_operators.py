@@ -490,3 +490,14 @@ def test_stages_decide_and_keep_the_rest(spark, data_dir, texts):
     assert left["secret_scan"] == left["piece_encoding"] == left["benchmark_decontamination"] < left["near_dedup"]
     whole = registry.QUERIES["pipeline"](spark, data_dir)
     assert cases.rows(whole.select("doc_id", "n_tokens")) == cases.rows(docs.select("doc_id", "n_tokens"))
+
+
+def test_the_query_of_repeats_gives_the_text_left(spark, tmp_path):
+    base = "ab é" * 200
+    rows = [(1, base + "x"), (2, "y" + base), (3, "alone é"), (4, None), (5, "é" * 250 + "q"), (6, "é" * 250)]
+    cases.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffixes.op1_suffixes(spark, str(tmp_path)).collect()}
+    assert {i: r.has_repeats for i, r in got.items()} == {1: True, 2: True, 3: False, 4: False, 5: True, 6: True}
+    assert (got[3].text, got[4].text, got[1].text, got[2].text) == ("alone é", "", "x", "y")
+    for i, t in rows:
+        assert got[i].n_removed > 0 or got[i].text == (t or "")
