@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm import classifier, decontaminate, neardup, pieces, secrets
-from caselake.llm.common import stored, table
+from caselake.llm.common import small_batches, stored, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the labelled good texts keeps."""
+    small_batches(spark)
     judged = classifier.classify(docs, table(spark, sf_dir, "labels"))
     return judged.filter("kept").select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates (five-word shingles, similarity of 0.8 or more)."""
+    small_batches(spark)
     return neardup.drop_near_duplicates(docs, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -34,6 +37,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
+    small_batches(spark)
     back = pieces.round_trip(docs.select("doc_id", "lang", "source", "text"))
     return back.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
