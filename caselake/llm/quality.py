@@ -7,8 +7,11 @@ per language and source: histograms whose bucket of a value keeps its leading
 six binary digits (relative error below 1/32, exact below 64). Sketches of
 parts of a corpus merge by adding counts, which is what the partial aggregation
 does. A cutoff is the upper quartile plus ``SPREAD`` times the distance of the
-quartiles, and never stricter than a stated floor, so that groups of clean
-texts lose nothing.
+quartiles (the lower quartile minus as much, for a lower cutoff). Where the
+quartiles lie closer than ``LEAST_SPREAD``, as in groups whose texts all have
+rate 0, that distance takes their place. A group of fewer than ``LEAST_GROUP``
+texts is too small to judge by: the merged sketch of its language takes its
+place, or that of the whole corpus if the language is as small.
 
 Defined results: a null text has no words and fails the base rule; null
 languages or sources form groups of their own; an empty table gives no rows.
@@ -28,10 +31,11 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SPREAD = 3
-#: Upper cutoffs of measures are never below these values.
-FLOORS = {"symbol_rate": 100, "dup_line_rate": 300, "repeat_rate": 300, "word_length": 1200}
-#: Lower cutoffs are never above these values.
-CEILINGS = {"word_length": 250}
+#: Least distance of the quartiles of a measure, in its units; measures with a lower cutoff as well.
+LEAST_SPREAD = {"symbol_rate": 30, "dup_line_rate": 100, "repeat_rate": 100, "word_length": 60}
+LOWER = ("word_length",)
+#: Texts with words that a group needs for cutoffs of its own.
+LEAST_GROUP = 50
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -79,30 +83,46 @@ def bucket(value: str) -> Column:
 
 def sketches(rated: DataFrame, groups: list[str]) -> DataFrame:
     """Mergeable quantile sketches: groups, measure, bucket, n. Add the counts of two to merge them."""
-    entries = F.array(*[F.struct(F.lit(m).alias("measure"), bucket(m).alias("bucket")) for m in FLOORS])
+    entries = F.array(*[F.struct(F.lit(m).alias("measure"), bucket(m).alias("bucket")) for m in LEAST_SPREAD])
     return (rated.select(*groups, F.explode(entries).alias("e")).filter("e.bucket IS NOT NULL")
             .groupBy(*groups, F.col("e.measure").alias("measure"), F.col("e.bucket").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def cutoffs(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and measure: the lower and upper cutoff, one column each."""
+    """Per group: its size (texts with words) and the upper and lower cutoffs, one column each."""
+    merged = sketch.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
     per = Window.partitionBy(*groups, "measure")
     up_to = per.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sketch.withColumn("below", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(per))
+    ranked = merged.withColumn("below", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(per))
     quartiles = ranked.groupBy(*groups, "measure").agg(
         F.min(F.when(4 * F.col("below") >= F.col("total"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("below") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"))
-    columns = []
-    for m, floor in FLOORS.items():
-        of = F.when(F.col("measure") == m, F.col("q3") + SPREAD * (F.col("q3") - F.col("q1")))
-        columns.append(F.greatest(F.max(of), F.lit(floor)).alias(f"max_{m}"))
-    for m, ceiling in CEILINGS.items():
-        of = F.when(F.col("measure") == m, F.col("q1") - SPREAD * (F.col("q3") - F.col("q1")))
-        columns.append(F.least(F.max(of), F.lit(ceiling)).alias(f"min_{m}"))
+        F.min(F.when(4 * F.col("below") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
+        F.max("total").alias("total"))
+    columns = [F.max("total").alias("size")]
+    for m, least in LEAST_SPREAD.items():
+        reach = SPREAD * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+        columns.append(F.max(F.when(F.col("measure") == m, F.col("q3") + reach)).alias(f"max_{m}"))
+        if m in LOWER:
+            columns.append(F.max(F.when(F.col("measure") == m, F.col("q1") - reach)).alias(f"min_{m}"))
     return quartiles.groupBy(*groups).agg(*columns)
 
 
+def applied_cutoffs(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """Per group the cutoffs that apply: its own, those of its first key (the language), or those of all texts.
+
+    A row for each language and one for the corpus; all are far smaller than the sketches.
+    """
+    names = [f"max_{m}" for m in LEAST_SPREAD] + [f"min_{m}" for m in LOWER]
+    first = groups[0]
+    corpus = cutoffs(sketch.withColumn("_all", F.lit(0)), ["_all"]).agg(F.struct(*[F.max(c).alias(c) for c in names])).scalar()
+    wider = cutoffs(sketch, [first]).select(
+        F.col(first).alias("_first"), F.when(F.col("size") >= LEAST_GROUP, F.struct(*names)).alias("_wider"))
+    own = cutoffs(sketch, groups).join(wider, F.col(first).eqNullSafe(F.col("_first")))
+    chosen = F.when(F.col("size") >= LEAST_GROUP, F.struct(*names)).otherwise(F.coalesce("_wider", corpus))
+    return own.select(*groups, chosen.alias("_c")).select(*groups, "_c.*")
+
+
 def judge(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """doc_id, groups, base measures, base_failed, cutoffs that apply and kept.
 
@@ -112,14 +132,13 @@ def judge(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> Data
     """
     keys = list(groups)
     rated = stored(with_rates(base_measures(docs.select("doc_id", *keys, "text"))).drop("text"), "quality")
-    limits = cutoffs(sketches(rated, keys), keys).select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        *[f"max_{m}" for m in FLOORS], *[f"min_{m}" for m in CEILINGS])
+    limits = applied_cutoffs(stored(sketches(rated, keys), "quantile-sketches"), keys)
+    limits = limits.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in limits.columns if c not in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # Cutoffs are edges of buckets, so the value's own bucket is compared.
-    inside = [bucket(m) <= F.col(f"max_{m}") for m in FLOORS] + [bucket(m) >= F.col(f"min_{m}") for m in CEILINGS]
+    # Quartiles are edges of buckets, so the edge of the value's own bucket is compared.
+    inside = [bucket(m) <= F.col(f"max_{m}") for m in LEAST_SPREAD] + [bucket(m) >= F.col(f"min_{m}") for m in LOWER]
     within = F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(False))
     return (rated.join(limits, same, "left").withColumn("base_failed", base_failed)
             .withColumn("kept", ~F.col("base_failed") & within))
@@ -134,15 +153,26 @@ def _sql() -> str:
     space = r"[\x20\x09-\x0D]"
     quartile = "min(bucket) FILTER (WHERE 4 * below >= {0} * total)"
     shift = "greatest(0, length(bin(v)) - 6)"
-    limits = ", ".join(
-        f"greatest(max(q3 + {SPREAD} * (q3 - q1)) FILTER (WHERE measure = '{m}'), {v}) AS max_{m}" for m, v in FLOORS.items())
-    lows = ", ".join(
-        f"least(max(q1 - {SPREAD} * (q3 - q1)) FILTER (WHERE measure = '{m}'), {v}) AS min_{m}" for m, v in CEILINGS.items())
-    rows = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in FLOORS)
+    names = [f"max_{m}" for m in LEAST_SPREAD] + [f"min_{m}" for m in LOWER]
+
+    def limits(by: str) -> str:
+        """Cutoffs of the sketches merged by some of the group's columns."""
+        keys = f"{by}, " if by else ""
+        reach = f"{SPREAD} * greatest(q3 - q1, {{0}})"
+        columns = [f"max(q3 + {reach.format(v)}) FILTER (WHERE measure = '{m}') AS max_{m}" for m, v in LEAST_SPREAD.items()]
+        columns += [f"max(q1 - {reach.format(LEAST_SPREAD[m])}) FILTER (WHERE measure = '{m}') AS min_{m}" for m in LOWER]
+        return (f"SELECT {keys}max(total) AS size, {', '.join(columns)} FROM (SELECT {keys}measure, {quartile.format(1)} AS q1, "
+                f"{quartile.format(3)} AS q3, max(total) AS total FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bucket) "
+                f"AS below, sum(n) OVER (PARTITION BY {keys}measure) AS total FROM (SELECT {keys}measure, bucket, sum(n) AS n FROM sk GROUP BY ALL)) "
+                f"GROUP BY {keys}measure) {'GROUP BY ' + by if by else ''}")
+
+    applied = ", ".join(f"CASE WHEN g.size >= {LEAST_GROUP} THEN g.{c} WHEN l.size >= {LEAST_GROUP} THEN l.{c} ELSE c.{c} END AS {c}" for c in names)
+    rows = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in LEAST_SPREAD)
+
     def edge(m: str) -> str:
         return f"((CAST({m} AS BIGINT) >> greatest(0, length(bin({m})) - 6)) << greatest(0, length(bin({m})) - 6))"
 
-    inside = " AND ".join([f"{edge(m)} <= max_{m}" for m in FLOORS] + [f"{edge(m)} >= min_{m}" for m in CEILINGS])
+    inside = " AND ".join([f"{edge(m)} <= max_{m}" for m in LEAST_SPREAD] + [f"{edge(m)} >= min_{m}" for m in LOWER])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
@@ -165,10 +195,8 @@ rated AS (SELECT *, 100 * word_chars // nullif(n_words, 0) AS word_length, 1000
 v AS ({rows}),
 sk AS (SELECT lang, source, measure, (v >> {shift}) << {shift} AS bucket, count(*) AS n
        FROM (SELECT * REPLACE (CAST(v AS BIGINT) AS v) FROM v WHERE v IS NOT NULL) GROUP BY ALL),
-rk AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS below,
-         sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM sk),
-q AS (SELECT lang, source, measure, {quartile.format(1)} AS q1, {quartile.format(3)} AS q3 FROM rk GROUP BY ALL),
-lim AS (SELECT lang, source, {limits}, {lows} FROM q GROUP BY ALL)
+lim AS (SELECT g.lang, g.source, {applied} FROM ({limits("lang, source")}) g
+  JOIN ({limits("lang")}) l ON l.lang IS NOT DISTINCT FROM g.lang, ({limits("")}) c)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
   n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
   NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND coalesce({inside}, false) AS kept

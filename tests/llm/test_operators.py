@@ -163,8 +163,8 @@ def test_query_equals_sql(spark, data_dir, name):
 def test_sketches_merge_and_stay_close(spark):
     rng = random.Random(5)
     values = [int(rng.lognormvariate(5, 2)) for _ in range(3000)]
-    schema = "g int, " + ", ".join(f"{m} long" for m in quality.FLOORS)
-    df = spark.createDataFrame([(0, *[v] * len(quality.FLOORS)) for v in values], schema)
+    schema = "g int, " + ", ".join(f"{m} long" for m in quality.LEAST_SPREAD)
+    df = spark.createDataFrame([(0, *[v] * len(quality.LEAST_SPREAD)) for v in values], schema)
     whole = quality.sketches(df, ["g"])
     halves = quality.sketches(df.filter("symbol_rate % 2 = 0"), ["g"]).unionByName(quality.sketches(df.filter("symbol_rate % 2 = 1"), ["g"]))
     merged = halves.groupBy("g", "measure", "bucket").agg(F.sum("n").alias("n"))
@@ -177,11 +177,29 @@ def test_sketches_merge_and_stay_close(spark):
 
 
 def test_thresholds_follow_the_group(spark):
+    """A fixed symbol rate of 100 and word length of 12 would keep the long words and reject all code."""
     prose = " ".join(f"word{i}" for i in range(100))
-    rows = [(i, prose, "plain") for i in range(30)] + [(100, " ".join(f"# w{i} | x{i}" for i in range(40)), "plain")]
-    rows += [(200 + i, " ".join(f"# w{i}x{j} |" for j in range(30)), "code") for i in range(30)]
+    code = lambda i, n: " ".join(f"# w{i}x{j} |" if j < n else f"w{i}x{j}" for j in range(60))
+    rows = [(i, prose, "plain") for i in range(60)] + [(200 + i, code(i, 10 + i // 2), "code") for i in range(60)]
+    rows += [(100, " ".join(f"# w{i} | x{i}" for i in range(40)), "plain"), (101, " ".join(f"longword{i:03}" for i in range(100)), "plain")]
     kept = {r.doc_id: r.kept for r in quality.judge(cases.documents(spark, rows)).collect()}
-    assert all(kept[i] for i in range(30)) and not kept[100] and all(kept[200 + i] for i in range(30))
+    assert all(kept[i] for i in range(60)) and all(kept[200 + i] for i in range(60))
+    assert not kept[100] and not kept[101]  # word length 11: under a fixed 12, over this group's 5.9 + 3 * 0.6
+
+
+def test_small_groups_are_judged_by_their_language(spark):
+    prose, long = " ".join(f"word{i}" for i in range(100)), " ".join(f"longword{i:03}" for i in range(100))
+    rows = [(i, prose, "big", "en") for i in range(quality.LEAST_GROUP)] + [(100 + i, long, "small", "en") for i in range(5)]
+    rows += [(200 + i, prose, "own", "de") for i in range(5)] + [(300, long, "own", "de")]  # a small language: the corpus
+    rows += [(400 + i, long, "long", "en") for i in range(quality.LEAST_GROUP)]
+    kept = {r.doc_id: r.kept for r in quality.judge(cases.documents(spark, rows)).collect()}
+    assert all(kept[400 + i] for i in range(quality.LEAST_GROUP))  # judged by themselves
+    applied = {(r.lang, r.source): r for r in quality.judge(cases.documents(spark, rows)).select(
+        "lang", "source", "max_word_length", "min_word_length").distinct().collect()}
+    by_language, whole = applied["en", "small"], applied["de", "own"]
+    assert by_language.max_word_length > applied["en", "big"].max_word_length
+    assert (whole.max_word_length, whole.min_word_length) != (applied["en", "big"].max_word_length, applied["en", "big"].min_word_length)
+    assert kept[100] and kept[300]
 
 
 # --- 5: pieces -------------------------------------------------------------------------------------
