@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,7 +150,6 @@ def cheapest(symbols: str, entry: int, leave: int) -> tuple[int, str] | None:
     return best
 
 
-@functools.lru_cache(maxsize=1 << 15)
 def block_table(symbols: str, entries: tuple[int, ...], leaves: tuple[int, ...]) -> Table:
     found = {(p, q): cheapest(symbols, p, q) for p in entries for q in leaves}
     return {pq: best for pq, best in found.items() if best is not None}
@@ -167,10 +166,11 @@ def join_tables(left: Table, right: Table) -> Table:
     return out
 
 
-def table_of(symbols: Iterable[str], starts: bool, ends: bool) -> Table:
+def table_of(symbols: Iterable[str], starts: bool, ends: bool, aligned: Callable[..., Table] = block_table) -> Table:
     """Table of a run of turns; neighbours of equal size are joined first, so letters are copied log n times.
 
-    ``starts`` and ``ends`` tell that the run is known to begin or end its conversation.
+    ``starts`` and ``ends`` tell that the run is known to begin or end its
+    conversation; ``aligned`` gives the table of a block.
     """
     text = "".join(symbols)
     stack: list[tuple[int, Table]] = []
@@ -178,7 +178,7 @@ def table_of(symbols: Iterable[str], starts: bool, ends: bool) -> Table:
     for k, block in enumerate(blocks):
         entries = (START,) if starts and k == 0 else tuple(PHASES)
         leaves = ACCEPTED if ends and k == len(blocks) - 1 else tuple(PHASES)
-        size, found = 1, block_table(block, entries, leaves)
+        size, found = 1, aligned(block, entries, leaves)
         while stack and stack[-1][0] == size:
             size, found = 2 * size, join_tables(stack.pop()[1], found)
         stack.append((size, found))
@@ -233,8 +233,10 @@ def _judged(turns: DataFrame) -> DataFrame:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each conversation's stretch of a partition: its counts and its table of alignments."""
+    remembered = functools.lru_cache(maxsize=1 << 15)(block_table)  # short conversations look alike
+
     def close(run: dict, symbols: list[str], starts: bool, ends: bool) -> tuple:
-        found = table_of(symbols, starts, ends)
+        found = table_of(symbols, starts, ends, remembered)
         cells = [found.get((p, q)) for p in PHASES for q in PHASES]
         return (*(run[f.name] for f in list(_RUN_SCHEMA)[:-2]), [c and c[0] for c in cells], [c and c[1] for c in cells])
 
