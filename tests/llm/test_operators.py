@@ -103,8 +103,38 @@ def test_spans_equal_brute_force(spark, data_dir, texts):
     registered = {r.doc_id: r for r in registry.QUERIES["op2_secrets"](spark, data_dir).collect()}
     for i, t in texts.items():
         r = registered[i]
-        assert r.spans == brute_spans(t) and r.base_sha256 == hashlib.sha256(brute_spans(t).encode()).hexdigest()
-        assert r.n_assign + r.n_access + r.n_hex == len([s for s in r.spans.split(",") if s])
+        base = [s for s in r.spans.split(",") if s and not s.startswith("owned")]
+        assert ",".join(base) == brute_spans(t) and r.base_sha256 == hashlib.sha256(brute_spans(t).encode()).hexdigest()
+        assert r.n_assign + r.n_access + r.n_hex == len(base) and r.n_owned == r.spans.count("owned")
+
+
+def brute_owned(text, secret):
+    """Places of the values in ``secret`` beside those where a pattern found them."""
+    known = {(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 8}
+    known |= {m.span() for m in re.finditer("AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", text)}
+    found = {m.span() for value in secret for m in re.finditer(re.escape(value), text)}
+    return sorted(found - known)
+
+
+def test_further_places_of_owned_values_are_spans(spark):
+    own, copied, dull, many = "Zx81kQpLw0vRt5", "Ab3dE6gH9jKlMn", "Tr0ub4dor9", [hashlib.md5(str(i).encode()).hexdigest()[:20] for i in range(40)]
+    texts = {
+        1: f"é🙂 password={own} then {own}, ({own}) and x{own}y; token={own}",
+        2: f"token={copied} and {copied} again", 3: f"secret: {copied}", 4: f"api_key={copied}",
+        5: f"{dull} {dull} secret={dull}.{dull}", 6: f"{own} stands alone", 7: None, 8: "",
+        9: " ".join(f"token={v}" for v in many) + " " + " ".join(many * 20),
+        10: "ab" * 8 + " token=" + "ab" * 5 + " " + "ab" * 5 + "ab" * 3,
+    }
+    rows = [(i, t, {2: "a", 3: "b", 4: "c"}.get(i, "d")) for i, t in texts.items()]
+    docs = cases.documents(spark, rows)
+    got = {r.doc_id: r for r in secrets.all_spans(docs, *secrets.owners(docs)).collect()}
+    held = {1: [own], 5: [dull, f"{dull}.{dull}"], 9: many, 10: ["ab" * 5]}
+    for i, t in texts.items():
+        owned = [tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith("owned")]
+        values = [v for v in held.get(i, []) if any(m[2] == v for m in ASSIGN.finditer(t))]
+        assert owned == brute_owned(t or "", values), i
+        assert got[i].n_owned == len(owned) and got[i].base_spans == brute_spans(t)
+    assert got[1].n_owned == 3 and got[9].n_owned == 800 and got[2].n_example == 1 and got[5].n_weak + got[5].n_live == 1
 
 
 def test_ownership_separates_examples_from_secrets(spark):
