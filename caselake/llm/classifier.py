@@ -7,9 +7,10 @@ Rows are drawn without replacement in proportion to their weights by Gumbel
 top-k: the k largest of log weight plus Gumbel noise stay. The noise comes from
 a hash of id and text, so a task that runs again draws the same numbers.
 
-How many rows stay (k) is not a fixed share: the cut on the noisy weight is
-fitted on labelled rows that the target model has not seen, and k is the number
-of rows at or above it. :func:`top_k` draws a given number instead.
+How many rows are drawn (k) is not a fixed share: it is the number of rows that
+the two models take for target text, those whose log weight is at or above the
+cut with the fewest errors on labelled rows that the target model has not seen.
+Which rows they are the noisy weights decide, by :func:`top_k`'s way.
 
 Toxic rows are told by a second ratio, which asks in how many toxic and in how
 many other labelled texts an n-gram stands: a few words make a text toxic,
@@ -21,7 +22,8 @@ Labelled rows are a sample of at most ``MAX_LABELLED`` rows (by hash of the id),
 which bounds the broadcast and what reaches the driver. The models are tables of
 ``BUCKETS`` counts whatever the corpus; raw counts cover all documents.
 
-Defined results: a document without words has weight 0 and is rejected; null
+Defined results: a document without words has weight 0 and is never drawn; rows
+that tie with the k-th weight all stay, rows without a weight do not; null
 ids and labels of absent documents are harmless; rows labelled several times
 count as good only if all their labels are, and as toxic if one of them is;
 without good labels no text is rejected for its quality, without toxic or
@@ -190,31 +192,35 @@ def with_noise(scored: DataFrame, text: str = "text") -> DataFrame:
     return scored.withColumn("noisy_weight", F.col("log_weight") - F.log(-F.log(uniform)))
 
 
-def top_k(noisy: DataFrame, k: int) -> DataFrame:
-    """The k rows of the largest ``noisy_weight``: a filter on the k-th largest value, no global sort.
+def kth_largest(values: DataFrame, k: int) -> float:
+    """The k-th largest value of the one column of ``values`` (nulls aside), found without a global sort.
 
-    The value is found by narrowing an interval of 1,000 bins until its rows
-    weigh the same; rows that tie with it all stay.
+    An interval is narrowed to one of 1,000 bins until its rows weigh the same.
+    Infinite for k of 0 or less, minus infinite if there are no more than k.
     """
-    if k <= 0:
-        return noisy.filter(F.lit(False))
-    low, high, total = noisy.agg(F.min("noisy_weight"), F.max("noisy_weight"), F.count("noisy_weight")).first()
-    if total <= k:
-        return noisy
+    value = F.col(values.columns[0])
+    low, high, total = values.agg(F.min(value), F.max(value), F.count(value)).first()
+    if k <= 0 or total <= k:
+        return float("inf") if k <= 0 else float("-inf")
     above = 0  # rows over the interval
     while low < high:
         width = (high - low) / 1000
         if low + width <= low:
             break
-        inside = noisy.filter(F.col("noisy_weight").between(low, high))
-        bins = inside.groupBy(F.least(F.floor((F.col("noisy_weight") - low) / width), F.lit(999)).alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("noisy_weight").alias("low"), F.max("noisy_weight").alias("high"))
+        inside = values.filter(value.between(low, high))
+        bins = inside.groupBy(F.least(F.floor((value - low) / width), F.lit(999)).alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
         for r in sorted(bins.collect(), key=lambda r: -r["bin"]):  # 1,000 rows at most
             if above + r["n"] >= k:
                 low, high = r["low"], r["high"]
                 break
             above += r["n"]
-    return noisy.filter(F.col("noisy_weight") >= low)
+    return low
+
+
+def top_k(noisy: DataFrame, k: int) -> DataFrame:
+    """The k rows of the largest ``noisy_weight`` and all that tie with the last of them."""
+    return noisy.filter(F.col("noisy_weight") >= kth_largest(noisy.select("noisy_weight"), k))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -257,7 +263,7 @@ def fit_toxic(sample: DataFrame) -> tuple[np.ndarray | None, float]:
 
 
 def fit(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, float]:
-    """Log ratios from all documents and the labelled rows, and the cut on the noisy weight.
+    """Log ratios from all documents and the labelled rows, and the cut on the log weight.
 
     Toxic rows teach neither the target model nor the cut; they have a model of
     their own (:func:`fit_toxic`). The cut is fitted across two folds, each
@@ -268,8 +274,8 @@ def fit(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, float]:
     folds = [model(sample.filter(F.col("good") & (F.col("fold") == f))) for f in (0, 1)]
     if not (folds[0].sum() + folds[1].sum()):
         return np.zeros(BUCKETS), float("-inf")
-    seen = [with_noise(with_weights(sample.filter(F.col("fold") == f), log_ratio(folds[1 - f], raw)))
-            .select("noisy_weight", "good") for f in (0, 1)]
+    seen = [with_weights(sample.filter(F.col("fold") == f), log_ratio(folds[1 - f], raw))
+            .filter("has_words").select("log_weight", "good") for f in (0, 1)]
     rows = seen[0].unionByName(seen[1]).collect()  # MAX_LABELLED pairs at most
     cut = best_cut(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=bool))
     return log_ratio(folds[0] + folds[1], raw), cut
@@ -280,9 +286,17 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = labelled(docs, labels)
     ratio, cut = fit(docs, sample)
     toxic, toxic_cut = fit_toxic(sample)
-    noisy = with_noise(with_weights(packed(docs, "doc_id"), ratio, toxic), "_row.text")
-    good = F.col("has_words") & (F.col("noisy_weight") >= F.lit(cut))
-    return noisy.withColumn("kept", good & (F.col("toxic_weight") < F.lit(toxic_cut))).drop("has_words")
+    may_stay = F.col("has_words") & (F.col("toxic_weight") < F.lit(toxic_cut))
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        return with_noise(with_weights(rows, ratio, toxic), "_row.text" if "_row" in rows.columns else "text")
+
+    # Two numbers a row: the k-th weight is looked for in them, and the rows are weighed again, alike, where they are used.
+    weights = stored(weighed(docs.select("doc_id", "text")).filter(may_stay).select("noisy_weight", "log_weight"), "weights")
+    k = weights.filter(F.col("log_weight") >= F.lit(cut)).count()
+    least = kth_largest(weights.select("noisy_weight"), k)
+    kept = may_stay & (F.col("noisy_weight") >= F.lit(least))
+    return weighed(packed(docs, "doc_id")).withColumn("kept", kept).drop("has_words")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

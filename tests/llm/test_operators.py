@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -433,6 +434,34 @@ def test_top_k_is_exact(spark):
         values = sorted((r.noisy_weight for r in df.collect()), reverse=True)
         cut = values[min(k, 5000) - 1] if k else float("inf")
         assert classifier.top_k(df, k).count() == sum(v >= cut for v in values)
+        assert classifier.top_k(df.union(spark.sql("SELECT 7L, CAST(NULL AS double)")), k).count() == sum(v >= cut for v in values)
+
+
+def ngrams(text):
+    words = [w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    return [(w,) for w in words] + list(zip(words, words[1:]))
+
+
+def test_rows_are_drawn_as_by_brute_force(spark):
+    random = np.random.default_rng(9)
+    good, bad = [f"fine{i}" for i in range(8)], [f"spam{i}" for i in range(8)]  # too few n-grams to share a bucket
+    texts = {i: " ".join(random.choice(good if i % 3 else bad, 12 + i % 9)) for i in range(300)} | {300: "", 301: None}
+    docs = cases.documents(spark, list(texts.items()))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(0, 302, 2)], "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r for r in classifier.classify(docs, labels).collect()}
+    raw = collections.Counter(g for t in texts.values() for g in ngrams(t))
+    target = collections.Counter(g for i, t in texts.items() if i % 2 == 0 and i % 3 for g in ngrams(t))
+    scale = sum(target.values()) / sum(raw.values())
+    for i, t in texts.items():
+        ratios = [math.log((target[g] + classifier.SMOOTHING) / (scale * raw[g] + classifier.SMOOTHING)) for g in ngrams(t)]
+        want = classifier.PASSAGE * sum(ratios) / max(1, len(ratios))
+        assert abs(rows[i].log_weight - want) < 1e-6, i
+    _, cut = classifier.fit(docs, classifier.labelled(docs, labels))
+    may_stay = sorted(((rows[i].noisy_weight, rows[i].log_weight) for i, t in texts.items() if ngrams(t)), reverse=True)
+    k = sum(w >= cut for _, w in may_stay)
+    least = may_stay[k - 1][0]
+    assert 195 <= k <= 205
+    assert all(rows[i].kept == (bool(ngrams(t)) and rows[i].noisy_weight >= least) for i, t in texts.items())
 
 
 def test_noise_is_standard_gumbel(spark):
