@@ -5,7 +5,7 @@ permutation of their own format: a card number becomes another card number with
 a right check digit, an address another address, a date another date. The
 permutation depends on key, kind and length alone, so equal values get equal
 pseudonyms in all documents, different values never collide, and the holder of
-the key can go back. E-mail addresses, which have no fixed format, get a keyed
+the key can go back; the key has no default. E-mail addresses, which have no fixed format, get a keyed
 hash as local part.
 
 A network has two halves (x modulo p, y modulo q) and adds a keyed round value
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from caselake.llm.common import packed, table, text_or_empty
 
-KEY = "pii-key"
 ROUNDS = 10
 #: Dates from 1900-01-01 on; 73,049 days (to 2099-12-31) are 17 * 4297.
 FIRST_DAY, DAY_MODULI = "1900-01-01", (17, 4297)
@@ -76,7 +75,7 @@ def round_value(key: str, label: Column, number: Column, half: Column) -> Column
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def feistel(x: Column, y: Column, p: Column, q: Column, label: Column, key: str = KEY, back: bool = False) -> Column:
+def feistel(x: Column, y: Column, p: Column, q: Column, label: Column, key: str, back: bool = False) -> Column:
     """Struct (x, y) permuted; ``back`` undoes it. ``label`` separates kinds and lengths."""
     rounds = F.array(*[F.lit(r) for r in (reversed(range(ROUNDS)) if back else range(ROUNDS))])
     sign = -1 if back else 1
@@ -98,7 +97,7 @@ def _ten_to(n: Column) -> Column:
     return F.pow(F.lit(10), n).cast("long")
 
 
-def permute_digits(digits: Column, label: str, key: str = KEY, back: bool = False) -> Column:
+def permute_digits(digits: Column, label: str, key: str, back: bool = False) -> Column:
     """Another string of as many digits."""
     n = F.length(digits)
     left = F.floor(n / 2).cast("int")
@@ -207,7 +206,7 @@ def kind_of(value: Column) -> Column:
         .otherwise(F.when(let(digits, luhn_valid), "card")))
 
 
-def pseudonym(value: Column, kind: Column, key: str = KEY, back: bool = False) -> Column:
+def pseudonym(value: Column, kind: Column, key: str, back: bool = False) -> Column:
     """Replacement of a validated value; ``back`` returns the clear value (e-mails excepted)."""
     digits = digits_of(value)
     payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
@@ -231,7 +230,7 @@ def _equals(kind: str) -> Callable[[Column], Column]:
     return lambda x: x == kind
 
 
-def pseudonymize_text(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymize_text(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_<kind>`` counts added (or put in place of columns so named)."""
     names, docs = docs.columns, packed(docs, "text")
     text = text_or_empty()
@@ -252,6 +251,10 @@ def pseudonymize_text(docs: DataFrame, key: str = KEY) -> DataFrame:
     return df.select(*rest, *[n.alias(c) for c, n in counts.items()])
 
 
+#: Key of the query alone, so that its rows are the same in every session; data of one's own need a secret key.
+QUERY_KEY = "pii-key"
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymize_text(docs).select("doc_id", "text", *[f"n_{k}" for k in KINDS])
+    return pseudonymize_text(docs, QUERY_KEY).select("doc_id", "text", *[f"n_{k}" for k in KINDS])

@@ -51,13 +51,13 @@ CARDS = ("3782-822463-10005", "3782 822463 10005", "4111111111111111", "4111-111
 def test_common_layouts_get_pseudonyms_and_go_back(spark):
     wanted = {v: kind for kind, values in (("phone", PHONES), ("date", DATES), ("card", CARDS)) for v in values}
     text = "; ".join(f"see No.{v} now" if k == "card" else f"see {v}, now" for v, k in wanted.items())
-    row = pii.pseudonymize_text(cases.documents(spark, [(1, text)])).first()
+    row = pii.pseudonymize_text(cases.documents(spark, [(1, text)]), "k").first()
     assert (row.n_phone, row.n_date, row.n_card) == (len(PHONES), len(DATES), len(CARDS))
     assert not any(v in row.text for v in wanted)
     assert re.sub("[0-9]", "9", row.text) == re.sub("[0-9]", "9", text)
     df = spark.createDataFrame([(v,) for v in wanted], "v string").withColumn("kind", pii.kind_of(F.col("v")))
-    df = df.withColumn("new", pii.pseudonym(F.col("v"), F.col("kind"))).withColumn("kind2", pii.kind_of(F.col("new")))
-    rows = df.withColumn("back", pii.pseudonym(F.col("new"), F.col("kind"), back=True)).collect()
+    df = df.withColumn("new", pii.pseudonym(F.col("v"), F.col("kind"), "k")).withColumn("kind2", pii.kind_of(F.col("new")))
+    rows = df.withColumn("back", pii.pseudonym(F.col("new"), F.col("kind"), "k", back=True)).collect()
     for r in rows:
         assert r.kind == wanted[r.v] == r.kind2 and r.back == r.v and re.fullmatch(pii.KINDS[r.kind], r.new), r
 
@@ -65,15 +65,15 @@ def test_common_layouts_get_pseudonyms_and_go_back(spark):
 def test_dates_of_a_layout_are_permuted(spark):
     days = spark.range(0, 73_049, 7).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     both = days.select(F.date_format("d", "MM/dd/yyyy").alias("v")).union(days.select(F.date_format("d", "dd/MM/yyyy"))).distinct()
-    new = both.select("v", pii.pseudonym(F.col("v"), pii.kind_of(F.col("v"))).alias("new"))
-    new = new.withColumn("back", pii.pseudonym(F.col("new"), pii.kind_of(F.col("new")), back=True))
+    new = both.select("v", pii.pseudonym(F.col("v"), pii.kind_of(F.col("v")), "k").alias("new"))
+    new = new.withColumn("back", pii.pseudonym(F.col("new"), pii.kind_of(F.col("new")), "k", back=True))
     n, different, returned = new.agg(F.count("*"), F.count_distinct("new"), F.count_if(F.col("back") == F.col("v"))).first()
     assert n == different == returned
 
 
 def test_dates_without_zeros_and_what_is_no_number_of_these(spark):
     text = "1/5/2024 13/13/2024 2024/13/01 32.01.2024 1.2.3.4 10.1.2.3.4 123-45-678 102-555-0143 1.4111111111111111 v3.10.2024.1"
-    row = pii.pseudonymize_text(cases.documents(spark, [(1, text)])).first()
+    row = pii.pseudonymize_text(cases.documents(spark, [(1, text)]), "k").first()
     assert (row.n_date, row.n_phone, row.n_card, row.n_ipv4) == (1, 0, 0, 1)
     old, new = text.split(), row.text.split()
     assert old[1:4] == new[1:4] and old[5:] == new[5:]

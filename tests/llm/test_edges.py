@@ -29,7 +29,7 @@ def operators(labels, items):
         "sharding": lambda d: sharding.shard_documents(d, shards=4, slots=64),
         "quality": lambda d: quality.judge(d),
         "pieces": lambda d: pieces.decode_documents(pieces.encode_documents(d)),
-        "pii": lambda d: pii.pseudonymize_text(d),
+        "pii": lambda d: pii.pseudonymize_text(d, "k"),
         "decontaminate": lambda d: decontaminate.with_matches(d, items),
         "classifier": lambda d: classifier.classify(d, labels),
         "neardup": lambda d: neardup.near_duplicates(d),

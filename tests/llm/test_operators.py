@@ -300,8 +300,8 @@ def test_pseudonyms_keep_format_link_and_go_back(spark):
     values += ["2024-02-29", "1900-01-01", "2099-12-31", "123-45-6789", "4444 3333 2222 1111"]
     values = sorted(set(values))
     df = spark.createDataFrame([(v,) for v in values], "v string").withColumn("kind", pii.kind_of(F.col("v")))
-    df = df.withColumn("new", pii.pseudonym(F.col("v"), F.col("kind"))).withColumn("kind2", pii.kind_of(F.col("new")))
-    rows = df.withColumn("back", pii.pseudonym(F.col("new"), F.col("kind"), back=True)).collect()
+    df = df.withColumn("new", pii.pseudonym(F.col("v"), F.col("kind"), "k")).withColumn("kind2", pii.kind_of(F.col("new")))
+    rows = df.withColumn("back", pii.pseudonym(F.col("new"), F.col("kind"), "k", back=True)).collect()
     for r in rows:
         assert r.kind and r.kind2 == r.kind and r.back == r.v
         if r.kind != "ipv4":
@@ -312,7 +312,7 @@ def test_pseudonyms_keep_format_link_and_go_back(spark):
 def test_feistel_is_a_bijection(spark):
     p, q = 17, 43
     grid = spark.range(p * q).select((F.col("id") / q).cast("int").alias("x"), (F.col("id") % q).alias("y"))
-    moved = grid.select(pii.feistel(F.col("x"), F.col("y"), F.lit(p), F.lit(q), F.lit("t")).alias("m")).select("m.*").distinct()
+    moved = grid.select(pii.feistel(F.col("x"), F.col("y"), F.lit(p), F.lit(q), F.lit("t"), "k").alias("m")).select("m.*").distinct()
     assert moved.count() == p * q and moved.filter(f"x < 0 OR x >= {p} OR y < 0 OR y >= {q}").count() == 0
 
 
@@ -320,7 +320,7 @@ def test_texts_lose_personal_data_and_nothing_else(spark, data_dir, texts):
     own = {900001: "Mail a.b@c.example.org, call +1 (017) 555-7713 at 10.1.2.3; card 4845168114407329 or 4845168114407328; "
                    "born 2024-02-29 or 2023-02-29; v 1.2.3.4.5, 999.1.1.1; id 123-45-6789", 900002: "4845168114407329 again"}
     docs = table(spark, data_dir, "documents").unionByName(cases.documents(spark, list(own.items())))
-    got = {r.doc_id: r for r in pii.pseudonymize_text(docs).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymize_text(docs, "k").collect()}
     text = got[900001].text
     for gone in ("a.b@c.example.org", "555-7713", "10.1.2.3", "4845168114407329", "2024-02-29", "123-45-6789"):
         assert gone not in text
