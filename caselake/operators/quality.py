@@ -306,22 +306,32 @@ def severity_summary(log: DataFrame) -> DataFrame:
 
 
 def alert_summary(log: DataFrame) -> DataFrame:
-    """Critical and high counts, overall level and the alerts as text, worst first.
+    """Critical and high counts, overall level and the alerts as text, worst first, of one run's log.
 
-    The list is bounded by the number of rules of a run.
+    Lists are built per run, so the rules of a run bound them; a log with alerts
+    of several runs raises an error.
     """
-    found = alerts(log)
     line = F.concat_ws(" | ", "severidade", "coluna_avaliada",
                        F.format_string("%.1f", F.round(F.col("percentual_validade") * 100, 1)))
     items = F.array_sort(F.collect_list(
         F.struct(codes.severity_rank("severidade").alias("r"), F.col("regra_qualidade").alias("k"),
                  line.alias("t"))
     ))
-    counted = found.agg(
+    by_run = alerts(log).groupBy("run_id").agg(
         F.count_if(F.col("severidade") == "CRÍTICO").alias("criticos"),
         F.count_if(F.col("severidade") == "ALTO").alias("altos"),
         F.concat_ws("; ", F.transform(items, lambda x: x["t"])).alias("alertas"),
     )
+
+    def only(value: Column, empty: int | str) -> Column:
+        several = F.raise_error(F.lit("the log holds alerts of several runs; choose one first"))
+        return F.when(F.count(F.lit(1)) > 1, several).otherwise(F.coalesce(F.max(value), F.lit(empty)))
+
+    counted = by_run.agg(
+        only(F.col("criticos"), 0).cast("long").alias("criticos"),
+        only(F.col("altos"), 0).cast("long").alias("altos"),
+        only(F.col("alertas"), "").alias("alertas"),
+    )
     return counted.withColumn(
         "nivel_geral",
         F.when(F.col("criticos") > 0, "CRÍTICO").when(F.col("altos") > 0, "ALTO")

@@ -297,6 +297,11 @@ _entries += [(c, f"CAST(CAST(round({c} * 100, 2) AS DECIMAL(18,2)) AS VARCHAR) |
 _oracle("kpi_report_long", "\nUNION ALL ".join(
     f"SELECT {i} AS ordem, '{n}' AS indicador, coalesce({e}, 'N/D') AS valor FROM kpi"
     for i, (n, e) in enumerate(_entries, start=1)), "kpi")
+_oracle("measured_rows", "\nUNION ALL ".join(
+    f"SELECT l_returnflag, {i} AS ordem, '{n}' AS medida, CAST({e} AS BIGINT) AS valor FROM lineitem GROUP BY 1"
+    for i, (n, e) in enumerate((
+        ("linhas", "count(*)"), ("fornecedores", "count(DISTINCT l_suppkey)"), ("maior_pedido", "max(l_orderkey)"),
+        ("linhas_grandes", "count(*) FILTER (l_quantity > 25)")), start=1)))
 _oracle("category_mix", """
 SELECT *, CASE WHEN evolucao <> 0 THEN round(obitos / evolucao::DOUBLE * 100, 2) END AS taxa_mortalidade_pct,
   CASE WHEN hosp <> 0 THEN round(uti / hosp::DOUBLE * 100, 2) END AS taxa_uso_uti_pct

@@ -88,6 +88,16 @@ def kpi_report_long(spark, sf):
     return metrics.kpi_report_long(_kpi(spark, sf))
 
 
+@query("measured_rows")
+def measured_rows(spark, sf):
+    return metrics.measured_rows(cb.table(spark, sf, "lineitem"), {
+        "linhas": F.count(F.lit(1)),
+        "fornecedores": F.count_distinct("l_suppkey"),
+        "maior_pedido": F.max("l_orderkey").cast("long"),
+        "linhas_grandes": F.count_if(F.col("l_quantity") > 25),
+    }, by=["l_returnflag"])
+
+
 @query("category_mix")
 def category_mix(spark, sf):
     fact = cb.indicators(spark, sf)

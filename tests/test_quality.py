@@ -128,6 +128,8 @@ def test_summaries(spark):
     assert (alert.criticos, alert.altos, alert.nivel_geral, alert.alertas) == (0, 1, "ALTO", "ALTO | x | 85.0")
     empty = quality.alert_summary(bronze.filter("false")).first()
     assert (empty.altos, empty.nivel_geral, empty.alertas) == (0, "ACEITÁVEL", "")
+    with pytest.raises(Exception, match="several runs"):
+        quality.alert_summary(df).collect()
     assert [r.run_id for r in quality.run_history(df).collect()] == ["a"]
     scores = {r.dimensao_dmbok: (r.score_bronze, r.score_gold) for r in quality.dimension_scores(df).collect()}
     assert scores["Completude"] == (0.85, None) and scores["Acurácia"] == (None, 0.5)
