@@ -12,12 +12,12 @@ def join_summary(rows: DataFrame, summary: DataFrame, key: str, how: str = "inne
     The adaptive skew join splits a partition only when both join sides come
     straight from a shuffle. An aggregate is already partitioned by its key,
     Spark would reuse that and the rows of a hot key would stay in one task.
-    Joining on a hash of the key as well makes Spark shuffle the narrow summary
-    once more and leaves the wide side open to splitting.
+    Joining on the length of the key as well makes Spark shuffle the narrow summary
+    once more and leaves the wide side open to splitting; lengths hardly add to the shuffle.
     """
-    hashed = F.xxhash64(key)
+    length = F.octet_length(F.col(key).cast("string"))
     return (
-        rows.withColumn("_key_hash", hashed)
-        .join(summary.withColumn("_key_hash", hashed), [key, "_key_hash"], how)
-        .drop("_key_hash")
+        rows.withColumn("_key_length", length)
+        .join(summary.withColumn("_key_length", length), [key, "_key_length"], how)
+        .drop("_key_length")
     )

@@ -138,24 +138,36 @@ def class_dimension(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(current: DataFrame) -> DataFrame:
-    """Fact projection of the current case versions: keys, dates, measures, flags."""
-    return current.select(
+FACT_VALUES = ("hash_caso", *FACT_DATES, *FACT_MEASURES, *FLAG_NAMES, "dh_ultima_atualizacao")
+
+
+def _fact_columns() -> list[Column]:
+    return [
         keys.surrogate_key("hash_caso").alias("sk_caso"),
-        "hash_caso",
+        F.col("hash_caso"),
         keys.time_key("dt_sin_pri").alias("sk_tempo"),
         place_key().alias("sk_localidade"),
         profile_key().alias("sk_perfil"),
         class_key().alias("sk_classificacao"),
-        *FACT_DATES, *FACT_MEASURES, *FLAG_NAMES, "dh_ultima_atualizacao",
-    )
+        *[F.col(c) for c in FACT_VALUES[1:]],
+    ]
+
+
+def fact_rows(current: DataFrame) -> DataFrame:
+    """Fact projection of the current case versions: keys, dates, measures, flags."""
+    return current.select(*_fact_columns())
 
 
 def fact_table(current: DataFrame) -> DataFrame:
-    """One fact row per case: the most recently updated one."""
-    rows = fact_rows(current)
-    tie = F.xxhash64(*[F.col(c) for c in rows.columns])
-    return dedup.keep_latest(rows, ["hash_caso"], "dh_ultima_atualizacao", ties=[tie])
+    """One fact row per case: the most recently updated one.
+
+    What the keys are computed from is shuffled, not the keys: five digests a row.
+    """
+    needed = dict.fromkeys((*FACT_VALUES, *PLACE_KEY, *PROFILE_KEY, *CLASS_KEY))
+    rows = current.select(*needed, F.xxhash64(*_fact_columns()).alias("_tie"))
+    digests = keys.digest_columns(rows)
+    kept = dedup.keep_latest(keys.pack_digests(rows, digests), ["hash_caso"], "dh_ultima_atualizacao", ties=["_tie"])
+    return fact_rows(keys.unpack_digests(kept, digests))
 
 
 def orphan_counts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:

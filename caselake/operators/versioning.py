@@ -28,10 +28,12 @@ def fingerprint_cases(df: DataFrame, exclude: Iterable[str] = TECHNICAL_COLUMNS)
 def dedup_case_versions(df: DataFrame, fallback: Iterable[str] = FALLBACK_KEY_COLUMNS) -> DataFrame:
     """One row per (natural key, content): the latest ingested."""
     key = keys.natural_key("nu_notific", [c for c in fallback if c in df.columns])
-    return dedup.keep_latest(
-        df.withColumn("_key", key), ["_key", "hash_registros"], "dh_ingestao_bronze",
+    digests = keys.digest_columns(df)
+    kept = dedup.keep_latest(
+        keys.pack_digests(df.withColumn("_key", key), digests), ["_key", "hash_registros"], "dh_ingestao_bronze",
         ties=[c for c in ("nome_arquivo_origem",) if c in df.columns],
-    ).drop("_key")
+    )
+    return keys.unpack_digests(kept.drop("_key"), digests)
 
 
 def current_view(df: DataFrame, flag: str = CURRENT) -> DataFrame:
@@ -43,16 +45,23 @@ def _position(order: Iterable[str], fingerprint: str) -> Column:
     return F.struct(*order, fingerprint)
 
 
+def _packed(df: DataFrame, key: str, digests: Iterable[str]) -> DataFrame:
+    """Rows of known keys with packed digests. A packed key cannot be NULL, so that joins on it need not filter it again."""
+    packed = keys.pack_digests(df.filter(F.col(key).isNotNull()), digests)
+    return packed.withColumn(key, F.coalesce(key, F.lit(bytearray()))) if key in digests else packed
+
+
 def scd2_first_load(
     source: DataFrame, now: Column, key: str = "hash_caso", fingerprint: str = "hash_registros",
     order: Iterable[str] = ("dh_ultima_atualizacao",),
 ) -> DataFrame:
     """History of a first delivery: the last version of every key is the current one."""
-    position = _position(order, fingerprint)
-    last = source.groupBy(key).agg(F.max(position).alias("_last"))
+    position, digests = _position(order, fingerprint), keys.digest_columns(source, key, fingerprint)
+    rows = _packed(source, key, digests)
+    last = rows.groupBy(key).agg(F.max(position).alias("_last"))
     is_last = position == F.col("_last")
-    return join_summary(source, last, key).select(
-        *source.columns,
+    return join_summary(rows, last, key).select(
+        *[keys.unpack_digest(c).alias(c) if c in digests else F.col(c) for c in source.columns],
         is_last.alias(CURRENT),
         now.alias(START),
         F.when(~is_last, now).alias(END),

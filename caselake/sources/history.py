@@ -15,6 +15,9 @@ is recognised by its closed copy (same key, start and content).
 - **Manifest.** One row per delivery: number, id, rows, newest stamp, part. It is
   written anew by each merge; consumers that need a delivery's newest stamp read
   this small file and no case.
+- **Room.** Digests are shuffled packed, folders are compressed with zstd, and each
+  step frees its shuffles when its rows are written: the rows of a delivery are
+  computed into the shared folder before they are dealt to buckets.
 - **Publication.** The catalogue entry names the manifest and is replaced in one
   call after everything is written. Folders the manifest does not name are left
   over from interrupted or compacted runs; they are not read, and :func:`vacuum`
@@ -36,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselake.functions import keys
 from caselake.operators import versioning
 from caselake.sources import storage, tables
 
@@ -160,20 +164,31 @@ def _settled(rows: DataFrame, state: State, parts: list[Part]) -> DataFrame:
     return closed.unionByName(_open(rows, state.key, state.fingerprint))
 
 
-def _write_part(df: DataFrame, folder: str, key: str, buckets: int) -> Part | None:
+def _write_part(df: DataFrame, folder: str, key: str, buckets: int, spent: Iterable[str] = ()) -> Part | None:
     """Writes a part and counts its rows by the footers; None if there are none.
 
-    The rebalance splits a bucket that a hot key fills over several files.
+    The rebalance splits a bucket that a hot key fills over several files; the
+    rows are stored before it. ``spent`` names folders that go when the rows
+    have been computed from them.
     """
-    part = uuid.uuid4().hex
+    spark, part, spent = df.sparkSession, uuid.uuid4().hex, list(spent)
     dealt = df.withColumn(BUCKET, _hash(key, buckets))
     if buckets > 1:
-        dealt = dealt.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, versioning.CURRENT, key)
+        computed, digests = storage.fresh_dir(spark, "computed"), keys.digest_columns(df, key)
+        storage.save(dealt, computed)
+        while spent:
+            storage.Folder(spark, spent.pop()).delete()
+        spent.append(computed)
+        packed = keys.pack_digests(spark.read.schema(dealt.schema).parquet(computed), digests)
+        ordered = packed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, versioning.CURRENT, key)
+        dealt = keys.unpack_digests(ordered, digests)
     path = f"{folder}/{PART}={part}"
-    dealt.write.partitionBy(BUCKET, versioning.CURRENT).parquet(path)
-    rows = df.sparkSession.read.schema(f"{NUMBER} long").parquet(path).count()
+    storage.save(dealt, path, (BUCKET, versioning.CURRENT))
+    for used in spent:
+        storage.Folder(spark, used).delete()
+    rows = spark.read.schema(f"{NUMBER} long").parquet(path).count()
     if not rows:
-        storage.Folder(df.sparkSession, path).delete()
+        storage.Folder(spark, path).delete()
         return None
     return Part(part, rows, buckets, ())
 
@@ -229,7 +244,7 @@ def merge_delivery(
     number = len(known) + 1
 
     prepared, work = storage.fresh_dir(spark, "delivery"), storage.fresh_dir(spark, "touched")
-    source.write.parquet(prepared)
+    storage.save(source, prepared)
     source = spark.read.schema(source.schema).parquet(prepared)
     newest = F.max(stamp).cast("timestamp") if stamp in source.columns else F.lit(None).cast("timestamp")
     n_rows, newest = source.agg(F.count(F.lit(1)), newest).first()
@@ -239,7 +254,8 @@ def merge_delivery(
         changes = versioning.scd2_first_load(source, now, state.key, state.fingerprint, **options)
     columns = _columns(changes)
     buckets = _buckets(n_rows, state.bucket_rows)
-    part = _write_part(changes.withColumn(NUMBER, F.lit(number).cast("long")), folder, state.key, buckets)
+    numbered = changes.withColumn(NUMBER, F.lit(number).cast("long"))
+    part = _write_part(numbered, folder, state.key, buckets, (prepared, work))
 
     row = T.Row(*[f.name for f in T._parse_datatype_string(MANIFEST)])(
         number, delivery, part.rows if part else 0, newest, part and part.id,
@@ -247,8 +263,6 @@ def merge_delivery(
     state = State(folder, state.key, state.fingerprint, state.bucket_rows, (*state.merged, row))
     place = {n: p for p in _compacted(spark, state) for n in p.deliveries}
     _publish(spark, name, state, place)
-    for path in (prepared, work):
-        storage.Folder(spark, path).delete()
 
 
 def _publish(spark: SparkSession, name: str, state: State, place: dict[int, Part]) -> None:
@@ -303,6 +317,4 @@ def read_current(spark: SparkSession, name: str, settle: bool = False) -> DataFr
     current = _open(rows, state.key, state.fingerprint).drop(NUMBER)
     if not settle:
         return current
-    folder = storage.fresh_dir(spark, "current")
-    current.write.parquet(folder)
-    return spark.read.schema(current.schema).parquet(folder)
+    return storage.kept(current, "current")

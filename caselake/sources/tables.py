@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.functions import keys as hashed
 from caselake.sources import storage
 
 
@@ -57,7 +58,7 @@ def write_checked(df: DataFrame, path: str, checks: Mapping[str, Column] | None
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *violated)
     parent, _, leaf = path.rstrip("/").rpartition("/")
     aside = f"{parent}/.{leaf}-{uuid.uuid4().hex}"  # readers skip names that begin with a dot
-    counted.write.parquet(aside)
+    storage.save(counted, aside)
     found = seen.get
     failed = [f"{name}: {found[f'bad_{i}']} rows" for i, name in enumerate(checks) if found[f"bad_{i}"]]
     if found["rows"] == 0:
@@ -74,7 +75,7 @@ def overwrite(df: DataFrame, name: str, root: str) -> str:
     """Rebuild table ``name``; returns the folder that now holds it."""
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    df.write.parquet(location)
+    storage.save(df, location)
     point_at(spark, name, location)
     return location
 
@@ -108,7 +109,8 @@ def interleaved_key(df: DataFrame, columns: Sequence[str]) -> Column:
     neighbouring keys.
     """
     row = F.xxhash64(*[F.col(c) for c in df.columns])
-    sample = df.select(*columns, row.alias("_row")).orderBy("_row").limit(BOUND_SAMPLE).collect()
+    with storage.freed_shuffles(df.sparkSession):
+        sample = df.select(*columns, row.alias("_row")).orderBy("_row").limit(BOUND_SAMPLE).collect()
     key, n = F.lit(0).cast("long"), len(columns)
     for j, column in enumerate(columns):
         values = sorted(r[column] for r in sample if r[column] is not None)
@@ -129,12 +131,15 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, int
     the clustering columns in the range key, so one value that holds most rows
     is cut over several files instead of filling one. In plain order a filter on
     the first column skips files; ``interleave`` lets filters on any of them do so.
+    Digests beside the clustering columns are packed for the shuffle.
     """
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    digests = [c for c in hashed.digest_columns(df) if c not in columns]
     order = [interleaved_key(df, columns)] if interleave and len(columns) > 1 else [F.col(c) for c in columns]
     keys = [*order, spread]
-    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*columns)
+    packed = hashed.pack_digests(df, digests)
+    ranged = packed.repartitionByRange(files, *keys) if files else packed.repartitionByRange(*keys)
+    return hashed.unpack_digests(ranged, digests).sortWithinPartitions(*columns)
 
 
 def compact_and_cluster(
