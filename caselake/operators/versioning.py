@@ -92,7 +92,8 @@ def scd2_changes(
 
     ``source`` holds at most one row per (key, fingerprint). Stored and
     delivered rows travel together, so the wide rows are shuffled once; the
-    per-key summary beside them carries only key, order and fingerprint.
+    per-key summary beside them carries only key, order and fingerprint; digests
+    are packed for both.
     """
     if mode not in ("versions", "close_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
@@ -100,11 +101,14 @@ def scd2_changes(
     rows = current.withColumn("_new", F.lit(False)).unionByName(
         source.withColumn("_new", F.lit(True)), allowMissingColumns=True
     )
+    digests = keys.digest_columns(rows, key, fingerprint)
+    rows = _packed(rows, key, digests)
     new, position = F.col("_new"), _position(order, fingerprint)
     narrow = rows.select(key, "_new", *order, fingerprint)
     if known is not None:
         narrow = narrow.unionByName(
-            known.select(key, F.lit(False).alias("_new")), allowMissingColumns=True
+            _packed(known.select(key), key, [c for c in digests if c == key]).withColumn("_new", F.lit(False)),
+            allowMissingColumns=True,
         )
     summary = narrow.groupBy(key).agg(
         F.min(F.when(new, position)).alias("_first"),
@@ -134,7 +138,7 @@ def scd2_changes(
                 END: F.when(~F.col("_is_current"), now),
             }
         )
-        .select(*columns)
+        .select(*[keys.unpack_digest(c).alias(c) if c in digests else F.col(c) for c in columns])
     )
 
 

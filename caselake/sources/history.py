@@ -150,10 +150,13 @@ def _read(spark: SparkSession, state: State, parts: Iterable[Part], touched: set
 
 def _open(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
     """Current rows that no later delivery has closed; only key, start and content of closed rows are compared."""
+    digests = keys.digest_columns(rows, key, fingerprint)
+    rows = keys.pack_digests(rows, digests)
     closed = rows.filter(~F.col(versioning.CURRENT)).select(key, versioning.START, fingerprint, NUMBER).alias("c")
     same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (key, versioning.START, fingerprint)]
     later = F.col(f"c.{NUMBER}") > F.col(f"o.{NUMBER}")
-    return versioning.current_view(rows).alias("o").join(closed, reduce(lambda a, b: a & b, same) & later, "left_anti")
+    current = versioning.current_view(rows).alias("o").join(closed, reduce(lambda a, b: a & b, same) & later, "left_anti")
+    return keys.unpack_digests(current, digests)
 
 
 def _settled(rows: DataFrame, state: State, parts: list[Part]) -> DataFrame:
@@ -200,8 +203,12 @@ def _changes(
     parts, key = state.parts, state.key
     most = max((p.buckets for p in parts), default=1)
     touched = {r[0] for r in source.select(_hash(key, most)).distinct().collect()}  # numbers below the bucket count
-    stored = _read(spark, state, parts, touched, most).join(source.select(key), key, "left_semi")
-    stored.write.partitionBy(versioning.CURRENT).parquet(work)
+    stored, delivered = _read(spark, state, parts, touched, most), source.select(key)
+    digests = keys.digest_columns(stored, key, state.fingerprint) if keys.digest_columns(delivered, key) else []
+    packed = keys.pack_digests(stored, digests).join(
+        keys.pack_digests(delivered, [c for c in digests if c == key]), key, "left_semi")
+    stored = keys.unpack_digests(packed, digests)
+    storage.save(stored, work, (versioning.CURRENT,))
     stored = spark.read.schema(stored.schema).parquet(work)
     closed = stored.filter(~F.col(versioning.CURRENT))
     current = _open(stored, key, state.fingerprint) if len(parts) > 1 else versioning.current_view(stored)
